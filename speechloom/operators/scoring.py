@@ -8,6 +8,7 @@ import numpy as np
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 # Builds a scorer once per Python worker; a scorer maps paths to as many texts.
 ScorerFactory = Callable[[], Callable[[Sequence[str]], Sequence[str]]]
@@ -35,7 +36,7 @@ def transcribe(
 
         return predict
 
-    run = predict_batch_udf(make_predict, return_type="string", batch_size=batch_size)
+    run = predict_batch_udf(make_predict, return_type=StringType(), batch_size=batch_size)
     return df.withColumn(output, run(F.col(source)))
 
 

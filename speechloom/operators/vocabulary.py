@@ -97,9 +97,10 @@ def independent_merges(
         lefts.add(left)
         rights.add(right)
         piece = left + right
-        if left == right or piece in known:
-            break
+        undecided = left == right or piece in known
         known.add(piece)
+        if undecided:
+            break
     return chosen
 
 

@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from speechloom.functions.waveform import (
     UnreadableAudio,
@@ -18,6 +19,11 @@ from speechloom.operators.ladders import within_duration
 from speechloom.schema import TARGET_RATE
 from speechloom.sources.audio_files import MAX_CONTENT, probed_files
 
+_RESAMPLED_FILE = T.StructType([
+    T.StructField("wav", T.BinaryType()),
+    T.StructField("duration", T.DoubleType()),
+])
+
 
 def _rows(arrays: pa.Array):
     """Each list of an Arrow list column as a numpy view, None for NULL."""
@@ -28,7 +34,7 @@ def _rows(arrays: pa.Array):
         yield values[offsets[i] : offsets[i + 1]] if ok else None
 
 
-@F.arrow_udf("array<float>")
+@F.arrow_udf(T.ArrayType(T.FloatType()))
 def _resampled(arrays: pa.Array, rates: pa.Array) -> pa.Array:
     out = []
     for x, rate in zip(_rows(arrays), rates.to_pylist()):
@@ -59,7 +65,7 @@ def resample_waveforms(df: DataFrame, audio: str = "audio") -> DataFrame:
     )
 
 
-@F.arrow_udf("binary")
+@F.arrow_udf(T.BinaryType())
 def _encoded(arrays: pa.Array, rates: pa.Array) -> pa.Array:
     return pa.array(
         [None if x is None else encode_wav(x, rate) for x, rate in zip(_rows(arrays), rates.to_pylist())],
@@ -71,7 +77,7 @@ def encoded_wav(audio: Column) -> Column:
     return _encoded(audio["array"], audio["sampling_rate"])
 
 
-@F.arrow_udf("struct<wav: binary, duration: double>")
+@F.arrow_udf(_RESAMPLED_FILE)
 def _resampled_file(contents: pa.Array) -> pa.Array:
     out = []
     for content in contents:

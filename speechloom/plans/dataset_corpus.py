@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from speechloom.functions.paths import name_audio_file
 from speechloom.operators.ladders import (
-    duration_of_waveform,
     guard_text,
     manifest_text,
     skip_reason_dataset,
@@ -18,7 +17,7 @@ from speechloom.operators.splits import split_summary
 from speechloom.operators.waveforms import encoded_wav, export_audio_files, resample_waveforms
 from speechloom.sources.datasets import first_n
 from speechloom.sources.manifests import write_manifest
-from speechloom.workspace import written
+from speechloom.workspace import written_at
 
 
 def explain_dataset(
@@ -40,12 +39,15 @@ def dataset_waveforms(
     language_tag: str | None = None,
     prefix_split: bool = False,
 ) -> DataFrame:
-    """Valid rows at 16 kHz: ``row_idx, split, audio_filepath, text, duration, audio``.
+    """Rows at 16 kHz: ``row_idx, split, audio_filepath, text, duration, audio, reason``.
 
-    Files are named after the source position, so skipped rows leave gaps.
+    Files are named after the source position, so skipped rows leave gaps. Waveforms of skipped
+    rows are dropped before any Python function sees them.
     """
-    valid = explained.where(F.col("reason").isNull())
-    valid = valid.withColumn("_text", manifest_text(guard_text(valid, text), language_tag=language_tag))
+    spoken = manifest_text(guard_text(explained, text), language_tag=language_tag)
+    valid = explained.withColumn("_text", spoken).withColumn(
+        audio, F.when(F.col("reason").isNull(), F.col(audio))
+    )
     name = name_audio_file(F.col("row_idx"), F.col("split") if prefix_split else None)
     return resample_waveforms(valid, audio).select(
         "row_idx",
@@ -74,21 +76,22 @@ def prepare_dataset_corpus(
 ) -> dict[str, DataFrame]:
     """Manifests below ``out/manifests`` and the encoded waveforms below ``out/audio_table``.
 
-    ``max_samples`` limits the source rows of each split. Single WAV files are written on request.
+    The dataset is read once: the audio table keeps every source row with its skip reason, and a
+    WAV for the valid ones. Manifests, summaries and single WAV files (on request) come from it.
+    ``max_samples`` limits the source rows of each split.
     """
-    df = first_n(df, max_samples)
-    explained = explain_dataset(df, shortest, longest, audio, text)
+    explained = explain_dataset(first_n(df, max_samples), shortest, longest, audio, text)
     audio_dir = audio_dir or f"{out}/audio"
     waves = dataset_waveforms(explained, audio_dir, audio, text, language_tag, prefix_split)
-    table = waves.select(
-        "row_idx", "split", "audio_filepath", "text", "duration", "reason",
-        encoded_wav(F.col("audio")).alias("wav"),
+    table = written_at(
+        waves.select(
+            "row_idx", "split", "audio_filepath", "text", "duration", "reason",
+            encoded_wav(F.col("audio")).alias("wav"),
+        ),
+        f"{out}/audio_table",
     )
-    table.write.parquet(f"{out}/audio_table")
-    table = df.sparkSession.read.schema(table.schema).parquet(f"{out}/audio_table")
     if save_files:
-        export_audio_files(table)
+        export_audio_files(table.where(F.col("reason").isNull()))
     manifest = to_manifest(table, "split")
     write_manifest(manifest, f"{out}/manifests", splits)
-    reasons = written(explained.select("split", "reason"), "reasons")
-    return {"skipped": skip_summary(reasons, "split"), "splits": split_summary(manifest)}
+    return {"skipped": skip_summary(table, "split"), "splits": split_summary(manifest)}

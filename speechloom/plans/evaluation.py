@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from speechloom.operators.error_rates import corpus_error_rates
 from speechloom.operators.scoring import ScorerFactory, sample_record, transcribe
@@ -35,9 +34,3 @@ def evaluate_manifest(
         "scored",
     )
     return corpus_error_rates(scored, strip_tag), sample_record(scored)
-
-
-def transcription_map(results: DataFrame) -> DataFrame:
-    """Small results as one ``path -> text`` map, the shape of a report; not for whole corpora."""
-    entries = F.collect_list(F.struct("path", "transcription"))
-    return results.agg(F.map_from_entries(entries).alias("transcriptions"))

@@ -6,6 +6,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from speechloom.functions.waveform import UnreadableAudio, wav_duration, wav_layout
 from speechloom.schema import AUDIO_EXTENSIONS
@@ -42,7 +43,7 @@ def sort_by_path(df: DataFrame) -> DataFrame:
     return df.orderBy("path")
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(T.DoubleType())
 def probe_wav_duration(content: pa.Array) -> pa.Array:
     """Seconds of each WAV file, NULL when it cannot be read."""
     return pa.array([wav_duration(c.as_buffer()) for c in content], pa.float64())

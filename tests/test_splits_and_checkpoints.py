@@ -1,0 +1,70 @@
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from speechloom.operators import splits
+from speechloom.operators.checkpoints import best_checkpoints
+
+
+def hashed_order(ids, seed):
+    return sorted(ids, key=lambda i: (hashlib.md5(f"{seed}:{i}".encode()).hexdigest(), i))
+
+
+@pytest.mark.parametrize("n,fraction", [(25, 0.1), (9, 0.1), (1000, 0.333), (40, 1.0), (1, 0.5), (0, 0.5)])
+def test_exact_split(spark, n, fraction):
+    df = spark.range(n).withColumnRenamed("id", "row_idx")
+    got = {r["row_idx"]: r["split"] for r in splits.exact_split(df, fraction, 7).collect()}
+    val = set(hashed_order(range(n), 7)[: int(n * fraction)])
+    assert got == {i: "val" if i in val else "train" for i in range(n)}
+
+
+def test_exact_split_is_stable_and_has_no_window(spark):
+    df = spark.range(500).withColumnRenamed("id", "row_idx")
+    one = splits.exact_split(df, 0.2)
+    two = splits.exact_split(df.repartition(7).orderBy(F.rand(1)), 0.2)
+    assert one.where("split = 'val'").exceptAll(two.where("split = 'val'")).isEmpty()
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Window" not in plan
+
+
+def test_exact_split_needs_unique_ids_only_at_the_cut(spark):
+    copies = spark.createDataFrame([(1,)] * 30, "row_idx bigint")
+    with pytest.raises(ValueError, match="not unique"):
+        splits.exact_split(copies, 0.5)
+    assert splits.exact_split(copies, 0.01).where("split = 'val'").count() == 0
+
+
+def test_hash_split_fraction(spark):
+    df = spark.range(20000).withColumnRenamed("id", "row_idx")
+    share = splits.hash_split(df, 0.1).where("split = 'val'").count() / 20000
+    assert abs(share - 0.1) < 0.01
+
+
+def test_order_preview_and_summary(spark):
+    df = spark.createDataFrame([(i, "train" if i else "val", 1.0005 + i) for i in range(8)], "row_idx bigint, split string, duration double")
+    assert [r["row_idx"] for r in splits.shuffle_rows(df, 3).collect()] == hashed_order(range(8), 3)
+    assert [r["row_idx"] for r in splits.preview(df.orderBy(F.desc("row_idx"))).collect()] == [0, 1, 2, 3, 4]
+    got = {r["split"]: (r["entries"], r["total_ms"]) for r in splits.split_summary(df.withColumn("duration", F.round("duration", 3))).collect()}
+    assert got["train"][0] == 7 and got["val"] == (1, 1001)
+    assert {r["split"]: r["n"] for r in splits.dataset_counts(df).collect()} == {"train": 7, "val": 1}
+
+
+WER = [0.9, 0.5, 0.4, 0.3, 0.35, 0.2, 0.6]
+
+
+def test_best_checkpoints(spark):
+    log = spark.createDataFrame(list(enumerate(WER)), "epoch int, val_wer double")
+    kept = best_checkpoints(log).orderBy("val_wer").collect()
+    assert [r["epoch"] for r in kept] == [5, 3, 4, 2, 1, 6]
+    assert kept[0]["name"] == "05-0.2000"
+    assert best_checkpoints(log, keep_last=False).count() == 5
+
+
+def test_best_checkpoints_per_run(spark):
+    rows = [(run, e, w) for run in "ab" for e, w in enumerate(WER)] + [("c", 0, 1.0)]
+    log = spark.createDataFrame(rows, "run string, epoch int, val_wer double")
+    kept = best_checkpoints(log, run="run")
+    got = {r["run"]: r["n"] for r in kept.groupBy("run").agg(F.count("*").alias("n")).collect()}
+    assert got == {"a": 6, "b": 6, "c": 1}
+    assert "WindowGroupLimit" in kept._jdf.queryExecution().executedPlan().toString()

@@ -11,6 +11,8 @@ TABLES = (
     "benchmark labels conversations"
 ).split()
 
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
 
 def duckdb_views(sf_dir: str):
     import duckdb
@@ -39,6 +41,10 @@ def difference(spark, con, query, sql, sf_dir) -> str | None:
     names = [d[0] for d in result.description]
     if sorted(df.columns) != sorted(names):
         return f"columns {sorted(df.columns)} != {sorted(names)}"
+    types = {d[0]: str(d[1]).upper() for d in result.description}
+    odd = [(c, t, types[c]) for c, t in df.dtypes if TYPES.get(t) != types[c]]
+    if odd:
+        return f"types differ: {odd}"
     ours, theirs = _rows(df.columns, df.collect()), _rows(names, result.fetchall())
     if len(ours) != len(theirs):
         return f"{len(ours)} rows != {len(theirs)} rows"

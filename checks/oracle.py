@@ -115,9 +115,10 @@ listed AS (SELECT * FROM wav_files WHERE vec_id % 7 <> 1)
 PAIRS = f"""
 turns AS (SELECT conv_id || ':' || turn AS row_id, {_words('text')} AS r, text FROM conversations),
 pairs AS (
-  SELECT row_id, r, list_filter(list_transform(r, lambda w, i:
-    CASE WHEN (i - 1) % 7 = 3 THEN NULL WHEN (i - 1) % 5 = 2 THEN reverse(lower(w)) ELSE w END),
-    lambda w: w IS NOT NULL) AS h
+  SELECT row_id, r, list_filter(string_split(array_to_string(list_filter(list_transform(r, lambda w, i:
+    CASE WHEN (i - 1) % 7 = 3 THEN NULL WHEN (i - 1) % 5 = 2 THEN reverse(lower(w))
+      WHEN (i - 1) % 11 = 6 THEN w || ' um' ELSE w END),
+    lambda w: w IS NOT NULL), ' '), ' '), lambda w: w <> '') AS h
   FROM turns)
 """
 

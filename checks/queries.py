@@ -52,6 +52,11 @@ def _manifest(spark, sf_dir) -> DataFrame:
     return ladders.to_manifest(_explained(spark, sf_dir), "row_idx")
 
 
+def _staged_manifest(spark, sf_dir) -> DataFrame:
+    """The manifest written once, for queries that read it several times."""
+    return written(_manifest(spark, sf_dir), "manifest")
+
+
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcripts joined to their files, checked, normalised and rounded."""
     return _manifest(spark, sf_dir)
@@ -116,7 +121,7 @@ def with_row_idx(spark, sf_dir):
 
 def write_manifest(spark, sf_dir):
     out = fresh_dir(spark, "manifest")
-    manifests.write_manifest(splits.exact_split(_manifest(spark, sf_dir), 0.1), out)
+    manifests.write_manifest(splits.exact_split(_staged_manifest(spark, sf_dir), 0.1), out)
     return manifests.union_splits(
         {s: manifests.read_manifest(spark, manifests.split_path(out, s)) for s in ("train", "val")}
     )
@@ -208,13 +213,13 @@ def export_audio_query(spark, sf_dir):
 
 def reuse_or_build(spark, sf_dir):
     out = fresh_dir(spark, "reuse")
-    manifests.reuse_or_build(spark, out, lambda: splits.exact_split(_manifest(spark, sf_dir), 0.1))
+    manifests.reuse_or_build(spark, out, lambda: splits.exact_split(_staged_manifest(spark, sf_dir), 0.1))
     return manifests.union_splits(manifests.reuse_or_build(spark, out, lambda: None, reuse=True))
 
 
 def read_local_manifests(spark, sf_dir):
     out = fresh_dir(spark, "local")
-    manifests.write_manifest(splits.exact_split(_manifest(spark, sf_dir), 0.1), out)
+    manifests.write_manifest(splits.exact_split(_staged_manifest(spark, sf_dir), 0.1), out)
     both = manifests.read_local_manifests(
         spark, manifests.split_path(out, "train"), manifests.split_path(out, "val")
     )
@@ -356,7 +361,7 @@ def skip_summary(spark, sf_dir):
 
 
 def split_summary(spark, sf_dir):
-    return splits.split_summary(splits.exact_split(_manifest(spark, sf_dir), 0.1))
+    return splits.split_summary(splits.exact_split(_staged_manifest(spark, sf_dir), 0.1))
 
 
 def dataset_counts(spark, sf_dir):
@@ -467,7 +472,7 @@ def validate_audio_table_query(spark, sf_dir):
 
 
 def train_bpe(spark, sf_dir):
-    learned = vocabulary.train_bpe(_frequencies(spark, sf_dir), BPE_MERGES)
+    learned = vocabulary.train_bpe(written(_frequencies(spark, sf_dir), "words"), BPE_MERGES)
     return vocabulary.merges_table(spark, learned)
 
 

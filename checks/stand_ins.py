@@ -85,12 +85,15 @@ def wav_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spoken_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``row_id, reference, hypothesis``: turns with words dropped, and reversed and lowered."""
+    """``row_id, reference, hypothesis``: turns with words dropped, changed and put in."""
     spoken = words(F.col("text"))
     heard = F.filter(
         F.transform(
             F.col("w"),
-            lambda w, i: F.when(i % 7 == 3, None).when(i % 5 == 2, F.reverse(F.lower(w))).otherwise(w),
+            lambda w, i: F.when(i % 7 == 3, None)
+            .when(i % 5 == 2, F.reverse(F.lower(w)))
+            .when(i % 11 == 6, F.concat(w, F.lit(" um")))
+            .otherwise(w),
         ),
         lambda w: w.isNotNull(),
     )

@@ -30,7 +30,7 @@ def normalize_path(path: Column) -> Column:
     authority = F.regexp_extract(path, f"({_AUTHORITY})", 1)
     rest = F.regexp_replace(path, _AUTHORITY, "")
     return F.when(
-        rest.rlike(r"//|/\.|/$"), F.concat(authority, _without_dots(rest))
+        path.rlike(r"(?<!:)//|/\.|/$"), F.concat(authority, _without_dots(rest))
     ).otherwise(path)
 
 

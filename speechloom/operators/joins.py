@@ -14,18 +14,20 @@ def join_audio_files(
     path: str = "audio_filepath",
     row_id: str = "row_idx",
     hot_rows: int = 1_000_000,
+    sizes_from: DataFrame | None = None,
 ) -> DataFrame:
     """Left join of transcripts with ``files(path, measured)``, one row per file; adds ``found``.
 
     Many transcripts may name one file. Paths are counted in hash buckets first, which moves at
     most 65,536 rows; buckets far above the average are salted by row id on the transcript side and
     their few files repeated, so no task receives a whole hot path. Without hot buckets this is a
-    plain join and Spark picks the strategy.
+    plain join and Spark picks the strategy. ``sizes_from`` may give a cheaper table with at least
+    these paths to count in.
     """
     listed = files.select(
         F.col("path").alias(path), "measured", F.lit(True).alias("_listed")
     )
-    salts = _hot_bucket_salts(transcripts, path, hot_rows)
+    salts = _hot_bucket_salts(transcripts if sizes_from is None else sizes_from, path, hot_rows)
     keys = [path]
     if salts:
         spark = transcripts.sparkSession

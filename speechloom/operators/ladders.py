@@ -19,8 +19,18 @@ def within_duration(duration: Column, shortest: float, longest: float) -> Column
     return duration.between(shortest, longest)
 
 
-def _out_of_range(reason: Column, duration: Column, shortest: float, longest: float) -> Column:
-    return reason.when(duration < shortest, "too_short").when(duration > longest, "too_long")
+def _range_checks(duration: Column, shortest: float, longest: float) -> list[tuple[Column, str]]:
+    return [(duration < shortest, "too_short"), (duration > longest, "too_long")]
+
+
+def _first_reason(checks: list[tuple[Column, str]], normalized: Column | None = None) -> Column:
+    """The reason of the first check that holds; empty normalised text is looked at last."""
+    if normalized is not None:
+        checks = [*checks, (normalized == "", "empty_text")]
+    reason = F.when(*checks[0])
+    for check in checks[1:]:
+        reason = reason.when(*check)
+    return reason
 
 
 def parse_duration(supplied: Column) -> Column:
@@ -51,46 +61,47 @@ def guard_text(df: DataFrame, text: str) -> Column:
 
 
 def skip_reason_local(
-    text: Column,
-    audio: Column,
     found: Column,
     measured: Column,
-    supplied: Column,
+    duration: Column,
     shortest: float,
     longest: float,
+    text: Column | None = None,
+    audio: Column | None = None,
     normalized: Column | None = None,
 ) -> Column:
     """Transcript rows checked against audio files.
 
-    ``audio`` is the path as given: an empty one names the folder itself, which exists but cannot
-    be read. Both the measured and the supplied duration must be in range.
+    ``duration`` is the supplied or else the measured one; both it and the measured one must be in
+    range. ``text`` and ``audio`` (the path as given) may be left out where they are known not to
+    be blank. An empty path names the folder itself, which exists but cannot be read.
     """
-    duration = override_duration(supplied, measured)
-    reason = (
-        F.when(strip_text(text) == "", "empty_text")
-        .when(audio == "", "read_error")
-        .when(~found, "not_found")
-        .when(measured.isNull(), "read_error")
-    )
-    reason = _out_of_range(reason, measured, shortest, longest)
-    reason = _out_of_range(reason, duration, shortest, longest)
-    return reason if normalized is None else reason.when(normalized == "", "empty_text")
+    checks = [] if text is None else [(strip_text(text) == "", "empty_text")]
+    if audio is not None:
+        checks.append((audio == "", "read_error"))
+    checks += [
+        (~found, "not_found"),
+        (measured.isNull(), "read_error"),
+        (measured < shortest, "too_short"),
+        (measured > longest, "too_long"),
+        *_range_checks(duration, shortest, longest),
+    ]
+    return _first_reason(checks, normalized)
 
 
 def skip_reason_local_resampled(
-    text: Column,
     measured: Column,
-    supplied: Column,
+    duration: Column,
     shortest: float,
     longest: float,
+    text: Column | None = None,
     normalized: Column | None = None,
 ) -> Column:
     """As above after resampling: any file failure is a read error, and a supplied duration
     replaces the measured one before the only range check."""
-    duration = override_duration(supplied, measured)
-    reason = F.when(strip_text(text) == "", "empty_text").when(measured.isNull(), "read_error")
-    reason = _out_of_range(reason, duration, shortest, longest)
-    return reason if normalized is None else reason.when(normalized == "", "empty_text")
+    checks = [] if text is None else [(strip_text(text) == "", "empty_text")]
+    checks += [(measured.isNull(), "read_error"), *_range_checks(duration, shortest, longest)]
+    return _first_reason(checks, normalized)
 
 
 def duration_of_waveform(df: DataFrame, audio: str = "audio") -> Column:
@@ -109,21 +120,22 @@ def skip_reason_dataset(
     """Dataset rows with an embedded waveform, eight reasons."""
     if audio not in df.columns:
         return F.lit("no_audio_col")
-    reason = F.when(F.col(audio).isNull(), "no_audio_col")
+    missing = F.when(F.col(audio).isNull(), "no_audio_col")
     kind = df.schema[audio].dataType
-    if not isinstance(kind, (T.StructType, T.MapType)):
-        return reason.otherwise("audio_not_dict")
+    if not isinstance(kind, T.StructType):
+        return missing.otherwise("audio_not_dict")
     if "array" not in kind.names:
-        return reason.otherwise("no_array")
+        return missing.otherwise("no_array")
     given = guard_text(df, text)
     duration = duration_of_waveform(df, audio)
-    reason = (
-        reason.when(F.col(audio)["array"].isNull(), "no_array")
-        .when(given.isNull(), "no_text")
-        .when(strip_text(given) == "", "empty_text")
-        .when(duration.isNull(), "error")
-    )
-    return _out_of_range(reason, duration, shortest, longest)
+    return _first_reason([
+        (F.col(audio).isNull(), "no_audio_col"),
+        (F.col(audio)["array"].isNull(), "no_array"),
+        (given.isNull(), "no_text"),
+        (strip_text(given) == "", "empty_text"),
+        (duration.isNull(), "error"),
+        *_range_checks(duration, shortest, longest),
+    ])
 
 
 def skip_reason_dataset_compact(reason: Column) -> Column:

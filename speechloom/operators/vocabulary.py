@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,15 +52,19 @@ def _covered(chars: DataFrame, coverage: float) -> DataFrame:
 
 def pair_counts(symbols: DataFrame) -> DataFrame:
     """``left, right, n`` over neighbouring symbols of the framed words."""
-    parts = F.split(F.translate("symbols", OPEN, ""), CLOSE)
-    split = symbols.select("n", parts.alias("s"), (F.size(parts) - 2).alias("pairs"))
-    zipped = F.arrays_zip(
-        F.slice("s", F.lit(1), F.col("pairs")).alias("left"),
-        F.slice("s", F.lit(2), F.col("pairs")).alias("right"),
-    )
+    parts = F.split(F.replace("symbols", F.lit(OPEN), F.lit("")), CLOSE)  # ends with an empty part
+    split = symbols.select("n", parts.alias("s"))
+    # explode_outer and coalesce, because explode and plain comparisons make Spark add filters on
+    # the split words below, which would split every word twice
+    neighbours = F.when(F.size("s") > 2, F.sequence(F.lit(1), F.size("s") - 2))
+    placed = split.select("n", "s", F.explode_outer(neighbours).alias("i"))
+
+    def known(symbol):
+        return F.coalesce(symbol, F.lit(UNKNOWN)) != UNKNOWN
+
     return (
-        split.select("n", F.inline(zipped).alias("left", "right"))
-        .where((F.col("left") != UNKNOWN) & (F.col("right") != UNKNOWN))
+        placed.select(F.get("s", F.col("i") - 1).alias("left"), F.get("s", "i").alias("right"), "n")
+        .where(known("left") & known("right"))
         .groupBy("left", "right")
         .agg(F.sum("n").alias("n"))
     )
@@ -120,7 +123,7 @@ def train_bpe(
     frequencies: DataFrame,
     merges: int,
     coverage: float = 0.9999,
-    table_every: int = 8,
+    table_every: int = 4,
 ) -> list[tuple[int, str, str, str, int]]:
     """Learn byte-pair merges from a word-frequency table until there are ``merges`` pieces.
 
@@ -128,20 +131,24 @@ def train_bpe(
     Each round counts pairs over the distinct words, brings the most frequent ones to the driver,
     and applies every merge that is certain to come next. Words that are down to one symbol leave
     the table. The word table is written to the shared folder every ``table_every`` rounds to cut
-    its lineage.
+    its lineage. ``frequencies`` is read twice, so it should be a stored table.
     """
     spark = frequencies.sparkSession
+    # words are short but cost many pairs each, so the byte-sized partitions Spark would choose
+    # leave most cores idle
+    slices = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
     chars = _covered(char_frequencies(frequencies), coverage)
     uncovered = [r[0] for r in chars.where("NOT covered").select("char").collect()]
 
-    def more_than_one(df):
-        return df.where(F.instr("symbols", CLOSE + OPEN) > 0)
+    def stored(df, path):
+        # filtered on the stored column: a filter over the merged one would merge a second time
+        return written_at(df, path).where(F.instr("symbols", CLOSE + OPEN) > 0)
 
     table = fresh_dir(spark, "bpe")
-    current = written_at(more_than_one(framed_words(frequencies, uncovered)), table)
+    current = stored(framed_words(frequencies, uncovered).repartition(slices, "symbols"), table)
     known: set[str] = set()
     learned: list[tuple[int, str, str, str, int]] = []
-    previous, rounds = None, 0
+    rounds = 0
     while len(known) < merges:
         top = [
             (r["n"], r["left"], r["right"])
@@ -150,8 +157,6 @@ def train_bpe(
             .limit(CANDIDATES)
             .collect()
         ]
-        if previous is not None:
-            previous.unpersist()  # counting has filled the cache of its successor
         batch = independent_merges(top, len(top) < CANDIDATES, known, merges - len(known))
         if not batch:
             break
@@ -159,16 +164,12 @@ def train_bpe(
         for count, left, right in batch:
             learned.append((len(learned), left, right, left + right, count))
             symbols = F.replace(symbols, F.lit(_frame(left) + _frame(right)), F.lit(_frame(left + right)))
-        previous, current = current, more_than_one(current.select(symbols.alias("symbols"), "n"))
+        current = current.select(symbols.alias("symbols"), "n")
         rounds += 1
         if rounds % table_every == 0:
             older, table = table, fresh_dir(spark, "bpe")
-            current = written_at(current, table)
-            previous.unpersist()
+            current = stored(current, table)
             discard(spark, older)
-        else:
-            current = current.persist(StorageLevel.MEMORY_AND_DISK)
-    current.unpersist()
     discard(spark, table)
     return learned
 

@@ -9,7 +9,7 @@ from speechloom.functions.paths import resampled_path, resolve_audio_path
 from speechloom.functions.text import append_language_tag, normalize_text, strip_text
 from speechloom.operators.joins import join_audio_files
 from speechloom.operators.ladders import (
-    override_duration,
+    parse_duration,
     skip_reason_local,
     skip_reason_local_resampled,
     skip_summary,
@@ -45,31 +45,32 @@ def explain_transcripts(
         "row_idx",
         "audio",
         resolve_audio_path(F.col("audio"), base_dir, working_dir).alias("audio_filepath"),
-        text.alias("text"),
-        F.col("duration").alias("supplied"),
+        text.alias("stripped"),
+        parse_duration(F.col("duration")).alias("supplied"),
         (normalize_text(text, keep_marks) if normalize else text).alias("spoken"),
     )
-    undecided = (F.col("text") != "") & (F.col("audio") != "")
+    undecided = (F.col("stripped") != "") & (F.col("audio") != "")
+    tagged = append_language_tag(F.col("spoken"), language_tag).alias("text")
     set_aside = rows.where(~undecided).select(
         "row_idx",
         "audio_filepath",
-        append_language_tag(F.col("spoken"), language_tag).alias("text"),
+        tagged,
         F.lit(None).cast("double").alias("duration"),
-        F.when(F.col("text") == "", "empty_text").otherwise("read_error").alias("reason"),
+        F.when(F.col("stripped") == "", "empty_text").otherwise("read_error").alias("reason"),
     )
-    joined = join_audio_files(rows.where(undecided), files, hot_rows=hot_rows)
-    checked = [F.col("measured"), F.col("supplied"), shortest, longest, F.col("spoken")]
+    # only what later steps need goes through the join
+    joinable = rows.where(undecided).select("row_idx", "audio_filepath", "supplied", "spoken")
+    joined = join_audio_files(
+        joinable, files, hot_rows=hot_rows, sizes_from=rows.where(F.col("audio") != "").select("audio_filepath")
+    ).withColumn("duration", F.coalesce("supplied", "measured"))
+    measured, duration = F.col("measured"), F.col("duration")
     if resampled:
-        reason = skip_reason_local_resampled(F.col("text"), *checked)
+        reason = skip_reason_local_resampled(measured, duration, shortest, longest, normalized=F.col("spoken"))
     else:
-        reason = skip_reason_local(F.col("text"), F.col("audio"), F.col("found"), *checked)
-    decided = joined.select(
-        "row_idx",
-        "audio_filepath",
-        append_language_tag(F.col("spoken"), language_tag).alias("text"),
-        override_duration(F.col("supplied"), F.col("measured")).alias("duration"),
-        reason.alias("reason"),
-    )
+        reason = skip_reason_local(
+            F.col("found"), measured, duration, shortest, longest, normalized=F.col("spoken")
+        )
+    decided = joined.select("row_idx", "audio_filepath", tagged, "duration", reason.alias("reason"))
     return decided.unionByName(set_aside)
 
 

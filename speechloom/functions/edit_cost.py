@@ -1,8 +1,8 @@
 """Word edit counts for a whole Arrow batch at once.
 
-The cost of a deletion or insertion is B and of a substitution B + 1, so the minimum over all
-alignments orders by (number of edits, number of substitutions) and both can be read back from one
-integer. Pairs of similar size are stacked into a matrix, one dynamic-programming row per step, so
+The cost of a deletion or insertion is B and of a substitution B + 1, with B above any possible
+number of substitutions. So the minimum over all alignments orders by (number of edits, number of
+substitutions) and both can be read back from one integer. Pairs of similar size are stacked into a matrix, one dynamic-programming row per step, so
 the Python overhead is paid per step of a stack and not per utterance.
 """
 
@@ -11,8 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 
-B = 1 << 20
-CELLS = 1 << 20  # matrix entries held per stack
+CELLS = 1 << 16  # matrix entries per stack, small enough for a core's cache
 COUNTS = ["substitutions", "deletions", "insertions", "hits"]
 
 
@@ -21,10 +20,9 @@ def edit_counts(references: list, hypotheses: list) -> pd.DataFrame:
     pairs = len(references)
     n = np.array([len(r) for r in references], np.int64)
     m = np.array([len(h) for h in hypotheses], np.int64)
-    if pairs and max(n.max(), m.max()) >= B:
-        raise ValueError(f"utterances of {B} words or more are not supported")
     ref_ids, hyp_ids = _word_ids(references, hypotheses, n, m)
-    best = np.zeros(pairs, np.int64)
+    edits = np.zeros(pairs, np.int64)
+    subs = np.zeros(pairs, np.int64)
     longest = np.maximum(n, m)
     order = np.argsort(-longest, kind="stable")
     at = 0
@@ -32,11 +30,10 @@ def edit_counts(references: list, hypotheses: list) -> pd.DataFrame:
         take = max(1, CELLS // (int(longest[order[at]]) + 1))
         stack = order[at : at + take]
         stack = stack[np.argsort(-n[stack], kind="stable")]
-        best[stack] = _stack_cost(
+        edits[stack], subs[stack] = _stack_cost(
             [ref_ids[i] for i in stack], [hyp_ids[i] for i in stack], n[stack], m[stack]
         )
         at += take
-    edits, subs = best // B, best % B
     deletions = (edits - subs - (m - n)) // 2
     insertions = deletions + m - n
     hits = n - subs - deletions
@@ -52,23 +49,28 @@ def _word_ids(references, hypotheses, n, m):
 
 
 def _stack_cost(refs, hyps, n, m):
-    """Minimum cost of each pair; ``n`` is in descending order."""
-    pairs, width = len(refs), int(m.max())
-    ref = np.full((pairs, int(n.max())), -1, np.int64)
-    hyp = np.full((pairs, width), -2, np.int64)
+    """Edits and substitutions of each pair; ``n`` is in descending order."""
+    pairs, height, width = len(refs), int(n.max()), int(m.max())
+    b = max(height, width) + 1
+    kind = np.int32 if (height + width + 2) * (b + 1) < 2**31 else np.int64
+    ref = np.full((pairs, height), -1, np.int32)
+    hyp = np.full((pairs, width), -2, np.int32)
     for p in range(pairs):
         ref[p, : n[p]] = refs[p]
         hyp[p, : m[p]] = hyps[p]
-    ramp = np.arange(width + 1, dtype=np.int64) * B
+    ramp = np.arange(width + 1, dtype=kind) * kind(b)
     row = np.tile(ramp, (pairs, 1))
-    active = np.searchsorted(-n, -np.arange(1, ref.shape[1] + 1), side="right")
+    active = np.searchsorted(-n, -np.arange(1, height + 1), side="right")
     for i, k in enumerate(active):
         old = row[:k]
-        new = old + B
-        sub = old[:, :-1] + np.where(hyp[:k] == ref[:k, i : i + 1], 0, B + 1)
-        np.minimum(new[:, 1:], sub, out=new[:, 1:])
+        new = old + kind(b)
+        changed = (hyp[:k] != ref[:k, i : i + 1]).astype(kind)
+        changed *= kind(b + 1)
+        changed += old[:, :-1]
+        np.minimum(new[:, 1:], changed, out=new[:, 1:])
         new -= ramp
         np.minimum.accumulate(new, axis=1, out=new)
         new += ramp
         row[:k] = new
-    return row[np.arange(pairs), m]
+    best = row[np.arange(pairs), m].astype(np.int64)
+    return best // b, best % b

@@ -45,13 +45,16 @@ def wav_layout(stream, size: int) -> dict:
     return layout
 
 
-def wav_duration(content: pa.Buffer | None) -> float | None:
-    """Seconds of audio in a WAV file, or None when it cannot be read."""
+def wav_duration(content: pa.Buffer | None, size: int) -> float | None:
+    """Seconds of audio in a WAV file of ``size`` bytes, or None when it cannot be read.
+
+    ``content`` may end after the chunk headers.
+    """
     if content is None:
         return None
     try:
-        layout = wav_layout(pa.BufferReader(content), content.size)
-    except (UnreadableAudio, struct.error):
+        layout = wav_layout(pa.BufferReader(content), size)
+    except (UnreadableAudio, struct.error, pa.ArrowInvalid, OSError):
         return None
     return (layout["length"] // layout["block"]) / layout["rate"]
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -19,6 +21,8 @@ from speechloom.operators.ladders import within_duration
 from speechloom.schema import TARGET_RATE
 from speechloom.sources.audio_files import MAX_CONTENT, probed_files
 
+SLICE_BYTES = 64 << 20
+
 _RESAMPLED_FILE = T.StructType([
     T.StructField("wav", T.BinaryType()),
     T.StructField("duration", T.DoubleType()),
@@ -34,16 +38,31 @@ def _rows(arrays: pa.Array):
         yield values[offsets[i] : offsets[i + 1]] if ok else None
 
 
+def _in_slices(rows: Iterable, kind: pa.DataType, size: Callable[[object], int]) -> Iterator[pa.Array]:
+    """Rows as Arrow arrays of bounded bytes: resampling can make a batch much larger than its input."""
+    held, weight = [], 0
+    for row in rows:
+        held.append(row)
+        weight += 0 if row is None else size(row)
+        if weight >= SLICE_BYTES:
+            yield pa.array(held, kind)
+            held, weight = [], 0
+    if held:
+        yield pa.array(held, kind)
+
+
 @F.arrow_udf(T.ArrayType(T.FloatType()))
-def _resampled(arrays: pa.Array, rates: pa.Array) -> pa.Array:
-    out = []
-    for x, rate in zip(_rows(arrays), rates.to_pylist()):
-        if x is None:
-            out.append(None)
-        else:
-            n_out = resampled_length(len(x), rate, TARGET_RATE)
-            out.append(fourier_resample(x, n_out).astype(np.float32))
-    return pa.array(out, pa.list_(pa.float32()))
+def _resampled(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def rows():
+        for arrays, rates in batches:
+            for x, rate in zip(_rows(arrays), rates.to_pylist()):
+                if x is None:
+                    yield None
+                else:
+                    n_out = resampled_length(len(x), rate, TARGET_RATE)
+                    yield fourier_resample(x, n_out).astype(np.float32)
+
+    return _in_slices(rows(), pa.list_(pa.float32()), lambda x: x.nbytes)
 
 
 def resample_waveforms(df: DataFrame, audio: str = "audio") -> DataFrame:
@@ -77,20 +96,23 @@ def encoded_wav(audio: Column) -> Column:
     return _encoded(audio["array"], audio["sampling_rate"])
 
 
+def _resample_content(content: pa.Scalar) -> dict | None:
+    if not content.is_valid:
+        return None
+    try:
+        x, rate = wav_samples(content.as_buffer())
+    except UnreadableAudio:
+        return None
+    n_out = resampled_length(len(x), rate, TARGET_RATE, round_up=True)
+    wav = encode_wav(fourier_resample(x, n_out), TARGET_RATE)
+    return {"wav": wav, "duration": n_out / TARGET_RATE}
+
+
 @F.arrow_udf(_RESAMPLED_FILE)
-def _resampled_file(contents: pa.Array) -> pa.Array:
-    out = []
-    for content in contents:
-        row = None
-        if content.is_valid:
-            try:
-                x, rate = wav_samples(content.as_buffer())
-                n_out = resampled_length(len(x), rate, TARGET_RATE, round_up=True)
-                row = {"wav": encode_wav(fourier_resample(x, n_out), TARGET_RATE), "duration": n_out / TARGET_RATE}
-            except UnreadableAudio:
-                pass
-        out.append(row)
-    return pa.array(out, pa.struct([("wav", pa.binary()), ("duration", pa.float64())]))
+def _resampled_file(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    rows = (_resample_content(content) for contents in batches for content in contents)
+    kind = pa.struct([("wav", pa.binary()), ("duration", pa.float64())])
+    return _in_slices(rows, kind, lambda row: len(row["wav"]))
 
 
 def resample_files(files: DataFrame) -> DataFrame:

@@ -76,6 +76,7 @@ def test_hot_paths_are_salted_without_changing_the_result(spark):
     assert key(salted) == key(plain)
     assert salted.where("found").count() == 2001
     assert missing_audio(transcripts, files).count() == 999
+    assert missing_audio(transcripts, files, hot_rows=100).count() == 999
 
 
 def test_pair_hypotheses(spark):

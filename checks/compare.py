@@ -57,6 +57,7 @@ def main(sf_dir: str, keys: list[str]) -> int:
 
     from checks.oracle import ORACLE
     from checks.queries import QUERIES
+    from speechloom.workspace import clear
 
     spark = (
         SparkSession.builder.master("local[8]")
@@ -77,6 +78,7 @@ def main(sf_dir: str, keys: list[str]) -> int:
             problem = f"{type(e).__name__}: {str(e)[:1500]}"
         failed += problem is not None
         print(f"{key:32s} {time.time() - start:6.2f}s {'ok' if problem is None else problem}", flush=True)
+    clear(spark)
     return failed
 
 

@@ -19,7 +19,7 @@ from speechloom.functions.waveform import (
 )
 from speechloom.operators.ladders import within_duration
 from speechloom.schema import TARGET_RATE
-from speechloom.sources.audio_files import MAX_CONTENT, probed_files
+from speechloom.sources.audio_files import MAX_CONTENT, open_filesystem, probed_files
 
 SLICE_BYTES = 64 << 20
 
@@ -65,21 +65,28 @@ def _resampled(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Arra
     return _in_slices(rows(), pa.list_(pa.float32()), lambda x: x.nbytes)
 
 
+def resampled_duration(n_samples: Column, rate: Column) -> Column:
+    """Seconds at 16 kHz; the new length is known from the old one, so no samples are needed."""
+    new_length = F.floor(n_samples.cast("double") * TARGET_RATE / rate.cast("double"))
+    return new_length.cast("double") / TARGET_RATE
+
+
 def resample_waveforms(df: DataFrame, audio: str = "audio") -> DataFrame:
     """Waveforms at 16 kHz with their new ``duration``.
 
-    Filter first: rows must have a positive rate. Rows already at 16 kHz never leave the JVM.
+    Filter first: rows must have a positive rate. Rows already at 16 kHz never leave the JVM, and
+    nothing does when only the duration is selected afterwards.
     """
     array, rate = F.col(audio)["array"], F.col(audio)["sampling_rate"]
     other = rate != TARGET_RATE
     changed = _resampled(F.when(other, array), F.when(other, rate))
     return (
         df.withColumn("_array", F.when(other, changed).otherwise(array))
+        .withColumn("duration", resampled_duration(F.size(array), rate))
         .withColumn(
             audio,
             F.struct(F.col("_array").alias("array"), F.lit(TARGET_RATE).alias("sampling_rate")),
         )
-        .withColumn("duration", F.size("_array") / float(TARGET_RATE))
         .drop("_array")
     )
 
@@ -142,17 +149,15 @@ def export_audio(df: DataFrame, path: str, audio: str = "audio") -> None:
 def export_audio_files(wavs: DataFrame) -> None:
     """Write each ``wav`` of a table to its own ``audio_filepath``, from the tasks.
 
-    The paths must be on a file system that all executors share. A retried task writes the same
-    bytes again.
+    The paths must be on a file system that all executors share; without a scheme they are on the
+    cluster's default one. A retried task writes the same bytes again.
     """
+    default_fs = wavs.sparkSession.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
 
     def write(rows):
-        from pyarrow import fs
-
         made = set()
         for row in rows:
-            target = row["audio_filepath"]
-            opened, name = fs.FileSystem.from_uri(target) if "://" in target else (fs.LocalFileSystem(), target)
+            opened, name = open_filesystem(row["audio_filepath"], default_fs)
             folder = name.rsplit("/", 1)[0]
             if folder not in made:
                 opened.create_dir(folder, recursive=True)

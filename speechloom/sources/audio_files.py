@@ -39,6 +39,15 @@ def scan_audio_dir(
     return files.select(*columns)
 
 
+def open_filesystem(path: str, default_fs: str = "file:///"):
+    """Arrow file system and name for a path or URI, for use inside tasks."""
+    from pyarrow import fs
+
+    if "://" not in path and not default_fs.startswith("file:"):
+        path = default_fs.rstrip("/") + path
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+
+
 def sort_by_path(df: DataFrame) -> DataFrame:
     return df.orderBy("path")
 
@@ -78,12 +87,10 @@ def probed_headers(files: DataFrame) -> DataFrame:
     """
 
     def read(batches):
-        from pyarrow import fs
-
         for batch in batches:
             measured = []
             for path, length in zip(batch["path"], batch["length"]):
-                opened, name = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+                opened, name = open_filesystem(path)
                 with opened.open_input_file(name) as stream:
                     try:
                         layout = wav_layout(stream, int(length))

@@ -13,6 +13,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _local_base: dict[str, str] = {}
+_handed_out: dict[str, list[str]] = {}
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -29,7 +30,15 @@ def shared_base(spark: SparkSession) -> str:
 
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
     """A new, not yet existing folder name below the shared base."""
-    return f"{shared_base(spark)}/speechloom-{purpose}-{uuid.uuid4().hex}"
+    path = f"{shared_base(spark)}/speechloom-{purpose}-{uuid.uuid4().hex}"
+    _handed_out.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def clear(spark: SparkSession) -> None:
+    """Remove every intermediate folder of this application; call it when its results are stored."""
+    for path in _handed_out.pop(spark.sparkContext.applicationId, []):
+        discard(spark, path)
 
 
 def written(df: DataFrame, purpose: str) -> DataFrame:

@@ -1,0 +1,30 @@
+"""Every registered query against its SQL counterpart on the smallest tables."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry
+from checks.compare import difference, duckdb_views
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duckdb_views(SF_DIR)
+
+
+def test_every_query_has_a_counterpart():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("key", list(entry.queries()))
+def test_query(spark, con, key):
+    assert difference(spark, con, entry.queries()[key], entry.oracle_sql()[key], SF_DIR) is None
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == ["row_idx", "audio_filepath", "text", "duration"]

@@ -12,6 +12,7 @@ from speechloom.workspace import discard, fresh_dir, written_at
 WORD_START = "▁"
 OPEN, CLOSE, UNKNOWN = "\x01", "\x02", "\x03"
 CANDIDATES = 512  # pairs brought to the driver per round
+PENDING = 48  # merges per round, and merges after which the word table is written
 
 
 def corpus_text(df: DataFrame, text: str = "text") -> DataFrame:
@@ -130,8 +131,9 @@ def train_bpe(
     Returns rank, left, right, piece and count per merge; ties go to the smaller left, then right.
     Each round counts pairs over the distinct words, brings the most frequent ones to the driver,
     and applies every merge that is certain to come next. Words that are down to one symbol leave
-    the table. The word table is written to the shared folder every ``table_every`` rounds to cut
-    its lineage. ``frequencies`` is read twice, so it should be a stored table.
+    the table. The word table is written to the shared folder every ``table_every`` rounds, or
+    sooner after many merges, to cut its lineage and keep the generated code small. ``frequencies``
+    is read twice, so it should be a stored table.
     """
     spark = frequencies.sparkSession
     # words are short but cost many pairs each, so the byte-sized partitions Spark would choose
@@ -148,7 +150,7 @@ def train_bpe(
     current = stored(framed_words(frequencies, uncovered).repartition(slices, "symbols"), table)
     known: set[str] = set()
     learned: list[tuple[int, str, str, str, int]] = []
-    rounds = 0
+    rounds = pending = 0
     while len(known) < merges:
         top = [
             (r["n"], r["left"], r["right"])
@@ -157,7 +159,8 @@ def train_bpe(
             .limit(CANDIDATES)
             .collect()
         ]
-        batch = independent_merges(top, len(top) < CANDIDATES, known, merges - len(known))
+        room = min(PENDING, merges - len(known))
+        batch = independent_merges(top, len(top) < CANDIDATES, known, room)
         if not batch:
             break
         symbols = F.col("symbols")
@@ -166,7 +169,9 @@ def train_bpe(
             symbols = F.replace(symbols, F.lit(_frame(left) + _frame(right)), F.lit(_frame(left + right)))
         current = current.select(symbols.alias("symbols"), "n")
         rounds += 1
-        if rounds % table_every == 0:
+        pending += len(batch)
+        if rounds >= table_every or pending >= PENDING:
+            rounds = pending = 0
             older, table = table, fresh_dir(spark, "bpe")
             current = stored(current, table)
             discard(spark, older)

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from speechloom.functions.text import null_tokens_to_empty as empty_if_missing
 from speechloom.schema import AUDIO_COLUMNS, MISSING_TOKENS, TEXT_COLUMNS
 
+_ODD_ROW, _MARK = "_odd_row", "\x01"
+
 
 def sniff_delimiter(spark: SparkSession, path: str) -> str:
     """Tab, comma or pipe, whichever the first line holds first in that order."""
@@ -28,6 +30,12 @@ def resolve_column(columns: list[str], candidates: tuple[str, ...], role: str) -
     raise ValueError(f"no {role} column among {columns}; name it with {role}_column=")
 
 
+def _named(columns: list[str], name: str) -> int:
+    if name not in columns:
+        raise ValueError(f"no column {name!r} among {columns}")
+    return columns.index(name)
+
+
 def null_tokens_to_empty(df: DataFrame) -> DataFrame:
     """Missing cells and missing-value tokens become the empty string in every text column."""
     text_columns = {name for name, kind in df.dtypes if kind == "string"}
@@ -48,39 +56,43 @@ def read_transcripts(
 ) -> DataFrame:
     """Columns ``audio``, ``text`` and ``duration`` of a delimited file with a header.
 
+    Missing cells at the end of a row are empty; a row with more cells than the header fails.
     ``multi_line`` is needed only for quoted cells with line breaks; it makes each file one task.
     """
     sep = sep or sniff_delimiter(spark, path)
-    reader = (
-        spark.read.option("sep", sep)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("multiLine", multi_line)
-    )
+    dialect = {"sep": sep, "quote": '"', "escape": '"'}
+    reader = spark.read.options(**dialect).option("multiLine", multi_line)
     header = reader.option("header", False).csv(path).first()
     if header is None:
         raise ValueError(f"no header in {path}")
     names = ["" if cell is None else cell for cell in header]
-    audio = names.index(audio_column) if audio_column else resolve_column(names, AUDIO_COLUMNS, "audio")
-    text = names.index(text_column) if text_column else resolve_column(names, TEXT_COLUMNS, "text")
+    audio = _named(names, audio_column) if audio_column else resolve_column(names, AUDIO_COLUMNS, "audio")
+    text = _named(names, text_column) if text_column else resolve_column(names, TEXT_COLUMNS, "text")
     duration = names.index(duration_column) if duration_column in names else None
 
-    reader = reader.option("header", True)
+    # rows of another length than the header come back whole in one more column; seeing them needs
+    # all columns parsed
+    reader = reader.options(header=True, columnPruning=False, columnNameOfCorruptRecord=_ODD_ROW)
     if len({n.lower() for n in names}) == len(names) and "" not in names:
         # names are checked against the header of every further file
-        schema = ", ".join(f"`{n.replace('`', '``')}` STRING" for n in names)
-        df = reader.option("enforceSchema", False).schema(schema).csv(path)
-        cells = [F.col(f"`{n.replace('`', '``')}`") for n in names]
+        reader = reader.option("enforceSchema", False)
+        columns = [f"`{n.replace('`', '``')}`" for n in names]
     else:
-        schema = ", ".join(f"c{i} STRING" for i in range(len(names)))
-        df = reader.schema(schema).csv(path)
-        cells = [F.col(f"c{i}") for i in range(len(names))]
+        columns = [f"c{i}" for i in range(len(names))]
+    df = reader.schema(", ".join(f"{c} STRING" for c in [*columns, _ODD_ROW])).csv(path)
+
+    # with marks appended, the last header column of a short row holds a mark
+    marked = F.concat(F.rtrim(F.col(_ODD_ROW), F.lit("\r\n")), F.lit(f"{sep}{_MARK}" * len(names)))
+    recut = F.from_csv(marked, F.lit(", ".join(f"c{i} STRING" for i in range(len(names)))), dialect)
+    is_short = F.coalesce(recut[f"c{len(names) - 1}"] == _MARK, F.lit(False))
+    too_long = F.col(_ODD_ROW).isNotNull() & ~is_short
 
     def cell(i):
-        return empty_if_missing(cells[i], MISSING_TOKENS)
+        return empty_if_missing(F.col(columns[i]), MISSING_TOKENS)
 
+    complaint = F.raise_error(F.concat(F.lit("more cells than the header: "), F.col(_ODD_ROW)))
     return df.select(
-        cell(audio).alias("audio"),
+        F.when(too_long, complaint.cast("string")).otherwise(cell(audio)).alias("audio"),
         cell(text).alias("text"),
         (cell(duration) if duration is not None else F.lit("")).alias("duration"),
     )

@@ -62,6 +62,20 @@ def test_read_transcripts_headers(spark, tmp_path):
     assert read_transcripts(spark, path, multi_line=True).first()["text"] == "one\ntwo"
 
 
+def test_read_transcripts_rejects_long_rows(spark, tmp_path):
+    for name, row in (("long", "a,b,c,d\n"), ("blank", "a,b,c,\n"), ("quoted", 'a,"b,b",c,d\n')):
+        path = put(tmp_path, name, "audio,text,more\n" + row)
+        for multi_line in (False, True):
+            with pytest.raises(Exception, match="more cells than the header"):
+                read_transcripts(spark, path, multi_line=multi_line).collect()
+    path = put(tmp_path, "short", 'audio,text,more\na\nb,"c,d"\n')
+    for multi_line in (False, True):
+        rows = read_transcripts(spark, path, multi_line=multi_line).collect()
+        assert {r["audio"]: r["text"] for r in rows} == {"a": "", "b": "c,d"}
+    with pytest.raises(ValueError, match="nope"):
+        read_transcripts(spark, path, audio_column="nope")
+
+
 def test_read_transcripts_rejects_other_headers(spark, tmp_path):
     put(tmp_path, "1.csv", "audio,text\na.wav,one\n")
     put(tmp_path, "2.csv", "text,audio\ntwo,b.wav\n")

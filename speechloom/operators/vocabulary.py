@@ -113,8 +113,12 @@ def _frame(symbol: str) -> str:
 
 
 def framed_words(frequencies: DataFrame, uncovered: list[str]) -> DataFrame:
-    """Words as a row of framed characters; characters outside the alphabet become one mark."""
-    word = F.translate("word", "".join(uncovered), UNKNOWN * len(uncovered)) if uncovered else F.col("word")
+    """Words as a row of framed characters; characters outside the alphabet become one mark.
+
+    The three control characters used as frames and mark are never part of the alphabet.
+    """
+    outside = "".join(dict.fromkeys([*uncovered, OPEN, CLOSE, UNKNOWN]))
+    word = F.translate("word", outside, UNKNOWN * len(outside))
     chars = F.filter(F.split(word, ""), lambda c: c != "")
     framed = F.concat(F.lit(OPEN), F.array_join(chars, CLOSE + OPEN), F.lit(CLOSE))
     return frequencies.select(framed.alias("symbols"), "n")

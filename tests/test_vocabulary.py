@@ -85,6 +85,15 @@ def test_uncovered_characters_are_not_merged(spark):
     assert [(l, r, n) for _, l, r, _, n in got] == one_at_a_time(words, 20, kept)
 
 
+def test_characters_beyond_the_basic_plane_and_controls(spark):
+    words = {"▁😀😀a": 9, "▁\x01a\x02b": 7, "▁𝒳b": 4}
+    freq = frequencies(spark, words)
+    assert {r["char"]: r["n"] for r in V.char_frequencies(freq).collect()}["😀"] == 18
+    alphabet = set("".join(words)) - {"\x01", "\x02"}
+    got = V.train_bpe(freq, 20, coverage=1.0)
+    assert [(l, r, n) for _, l, r, _, n in got] == one_at_a_time(words, 20, alphabet)
+
+
 def test_word_and_char_frequencies(spark):
     df = spark.createDataFrame([(" a b\na ",), ("",), (None,), ("  ",)], "text string")
     corpus = V.corpus_text(df)

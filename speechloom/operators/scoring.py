@@ -14,6 +14,13 @@ from pyspark.sql.types import StringType
 ScorerFactory = Callable[[], Callable[[Sequence[str]], Sequence[str]]]
 
 
+def spread(df: DataFrame, rows_per_task: int = 2000) -> DataFrame:
+    """Even partitions for costly rows: a file split of a manifest may hold a million of them."""
+    rows = df.count()
+    tasks = max(min(rows, df.sparkSession.sparkContext.defaultParallelism), -(-rows // rows_per_task), 1)
+    return df.repartition(tasks)
+
+
 def transcribe(
     df: DataFrame,
     make_scorer: ScorerFactory,

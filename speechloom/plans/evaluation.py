@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from speechloom.operators.error_rates import corpus_error_rates
-from speechloom.operators.scoring import ScorerFactory, sample_record, transcribe
+from speechloom.operators.scoring import ScorerFactory, sample_record, spread, transcribe
 from speechloom.schema import AUDIO_EXTENSIONS
 from speechloom.sources.audio_files import scan_audio_dir
 from speechloom.workspace import written
@@ -17,20 +17,25 @@ def transcribe_directory(
     make_scorer: ScorerFactory,
     extensions: tuple[str, ...] | list[str] = AUDIO_EXTENSIONS,
     batch_size: int = 8,
+    rows_per_task: int = 2000,
 ) -> DataFrame:
     """``path, transcription`` of every audio file below ``path``."""
     files = scan_audio_dir(spark, path, extensions).select("path")
-    return transcribe(files, make_scorer, batch_size, source="path")
+    return transcribe(spread(files, rows_per_task), make_scorer, batch_size, source="path")
 
 
 def evaluate_manifest(
-    manifest: DataFrame, make_scorer: ScorerFactory, batch_size: int = 8, strip_tag: bool = False
+    manifest: DataFrame,
+    make_scorer: ScorerFactory,
+    batch_size: int = 8,
+    strip_tag: bool = False,
+    rows_per_task: int = 2000,
 ) -> tuple[DataFrame, DataFrame]:
     """One-row metrics and the samples. Scoring runs once; both are read from its written result."""
     scored = written(
-        transcribe(manifest, make_scorer, batch_size, output="hypothesis").withColumnRenamed(
-            "text", "reference"
-        ),
+        transcribe(
+            spread(manifest, rows_per_task), make_scorer, batch_size, output="hypothesis"
+        ).withColumnRenamed("text", "reference"),
         "scored",
     )
     return corpus_error_rates(scored, strip_tag), sample_record(scored)

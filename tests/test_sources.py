@@ -90,6 +90,12 @@ def test_with_row_idx(spark, tmp_path):
     assert len(rows) == 400 and all(r["row_idx"] == int(r["value"]) for r in rows)
 
 
+def test_with_row_idx_of_transcripts(spark, tmp_path):
+    path = put(tmp_path, "t.csv", "audio,text\n" + "".join(f"{i}.wav,t{i}\n" for i in range(50)))
+    rows = positions.with_row_idx(read_transcripts(spark, path)).collect()
+    assert {r["row_idx"]: r["audio"] for r in rows} == {i: f"{i}.wav" for i in range(50)}
+
+
 def test_with_row_idx_over_file_blocks(spark, tmp_path):
     path = put(tmp_path, "big.txt", "".join(f"{i}\n" for i in range(20000)))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")

@@ -55,5 +55,6 @@ def attach_transcriptions(
     return scored.groupBy(path).agg(text.alias("transcription"))
 
 
-def sample_record(df: DataFrame) -> DataFrame:
-    return df.select("audio_filepath", "reference", "hypothesis", "duration")
+def sample_record(df: DataFrame, *keep: str) -> DataFrame:
+    """Samples of a report; ``keep`` names further columns, such as the row id for a preview."""
+    return df.select(*keep, "audio_filepath", "reference", "hypothesis", "duration")

@@ -31,11 +31,15 @@ def evaluate_manifest(
     strip_tag: bool = False,
     rows_per_task: int = 2000,
 ) -> tuple[DataFrame, DataFrame]:
-    """One-row metrics and the samples. Scoring runs once; both are read from its written result."""
+    """One-row metrics and the samples, with ``row_idx`` if the manifest has it.
+
+    Scoring runs once; both are read from its written result.
+    """
     scored = written(
         transcribe(
             spread(manifest, rows_per_task), make_scorer, batch_size, output="hypothesis"
         ).withColumnRenamed("text", "reference"),
         "scored",
     )
-    return corpus_error_rates(scored, strip_tag), sample_record(scored)
+    position = [c for c in scored.columns if c == "row_idx"]
+    return corpus_error_rates(scored, strip_tag), sample_record(scored, *position)

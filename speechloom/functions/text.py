@@ -30,6 +30,12 @@ def normalize_text(text: Column, keep_marks: bool = False) -> Column:
     return collapse_spaces(kept)
 
 
+def normalizes_to_nothing(text: Column, keep_marks: bool = False) -> Column:
+    """Whether ``normalize_text`` leaves an empty text; stops at the first character it keeps."""
+    marks = r"\p{M}" if keep_marks else ""
+    return ~text.rlike(rf"[\p{{L}}\p{{N}}_{marks}]")
+
+
 def append_language_tag(text: Column, tag: str | Column | None) -> Column:
     """``text <tag>``; an empty or missing tag leaves the text alone."""
     if tag is None or (isinstance(tag, str) and tag == ""):

@@ -23,10 +23,7 @@ def _range_checks(duration: Column, shortest: float, longest: float) -> list[tup
     return [(duration < shortest, "too_short"), (duration > longest, "too_long")]
 
 
-def _first_reason(checks: list[tuple[Column, str]], normalized: Column | None = None) -> Column:
-    """The reason of the first check that holds; empty normalised text is looked at last."""
-    if normalized is not None:
-        checks = [*checks, (normalized == "", "empty_text")]
+def _first_reason(checks: list[tuple[Column, str]]) -> Column:
     reason = F.when(*checks[0])
     for check in checks[1:]:
         reason = reason.when(*check)
@@ -68,13 +65,14 @@ def skip_reason_local(
     longest: float,
     text: Column | None = None,
     audio: Column | None = None,
-    normalized: Column | None = None,
+    nothing_left: Column | None = None,
 ) -> Column:
     """Transcript rows checked against audio files.
 
     ``duration`` is the supplied or else the measured one; both it and the measured one must be in
     range. ``text`` and ``audio`` (the path as given) may be left out where they are known not to
     be blank. An empty path names the folder itself, which exists but cannot be read.
+    ``nothing_left`` tells whether normalising empties the text; it is looked at last.
     """
     checks = [] if text is None else [(strip_text(text) == "", "empty_text")]
     if audio is not None:
@@ -86,7 +84,9 @@ def skip_reason_local(
         (measured > longest, "too_long"),
         *_range_checks(duration, shortest, longest),
     ]
-    return _first_reason(checks, normalized)
+    if nothing_left is not None:
+        checks.append((nothing_left, "empty_text"))
+    return _first_reason(checks)
 
 
 def skip_reason_local_resampled(
@@ -95,13 +95,15 @@ def skip_reason_local_resampled(
     shortest: float,
     longest: float,
     text: Column | None = None,
-    normalized: Column | None = None,
+    nothing_left: Column | None = None,
 ) -> Column:
     """As above after resampling: any file failure is a read error, and a supplied duration
     replaces the measured one before the only range check."""
     checks = [] if text is None else [(strip_text(text) == "", "empty_text")]
     checks += [(measured.isNull(), "read_error"), *_range_checks(duration, shortest, longest)]
-    return _first_reason(checks, normalized)
+    if nothing_left is not None:
+        checks.append((nothing_left, "empty_text"))
+    return _first_reason(checks)
 
 
 def duration_of_waveform(df: DataFrame, audio: str = "audio") -> Column:

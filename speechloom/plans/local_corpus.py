@@ -6,7 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from speechloom.functions.paths import resampled_path, resolve_audio_path
-from speechloom.functions.text import append_language_tag, normalize_text, strip_text
+from speechloom.functions.text import (
+    append_language_tag,
+    normalize_text,
+    normalizes_to_nothing,
+    strip_text,
+)
 from speechloom.operators.joins import join_audio_files
 from speechloom.operators.ladders import (
     parse_duration,
@@ -38,39 +43,48 @@ def explain_transcripts(
 
     ``transcripts`` has ``row_idx, audio, text, duration`` (duration as text), ``files`` has
     ``path, measured``. Rows that need no file, because their text or path is empty, stay out of
-    the join.
+    the join. Texts of valid rows are normalised and tagged, after the join; others are as given.
     """
-    text = strip_text(F.col("text"))
     rows = transcripts.select(
         "row_idx",
         "audio",
         resolve_audio_path(F.col("audio"), base_dir, working_dir).alias("audio_filepath"),
-        text.alias("stripped"),
+        strip_text(F.col("text")).alias("text"),
         parse_duration(F.col("duration")).alias("supplied"),
-        (normalize_text(text, keep_marks) if normalize else text).alias("spoken"),
     )
-    undecided = (F.col("stripped") != "") & (F.col("audio") != "")
-    tagged = append_language_tag(F.col("spoken"), language_tag).alias("text")
+    undecided = (F.col("text") != "") & (F.col("audio") != "")
     set_aside = rows.where(~undecided).select(
         "row_idx",
         "audio_filepath",
-        tagged,
+        "text",
         F.lit(None).cast("double").alias("duration"),
-        F.when(F.col("stripped") == "", "empty_text").otherwise("read_error").alias("reason"),
+        F.when(F.col("text") == "", "empty_text").otherwise("read_error").alias("reason"),
     )
     # only what later steps need goes through the join
-    joinable = rows.where(undecided).select("row_idx", "audio_filepath", "supplied", "spoken")
     joined = join_audio_files(
-        joinable, files, hot_rows=hot_rows, sizes_from=rows.where(F.col("audio") != "").select("audio_filepath")
+        rows.where(undecided).select("row_idx", "audio_filepath", "supplied", "text"),
+        files,
+        hot_rows=hot_rows,
+        sizes_from=rows.where(F.col("audio") != "").select("audio_filepath"),
     ).withColumn("duration", F.coalesce("supplied", "measured"))
-    measured, duration = F.col("measured"), F.col("duration")
+    measured, duration, text = F.col("measured"), F.col("duration"), F.col("text")
+    nothing_left = normalizes_to_nothing(text, keep_marks) if normalize else None
     if resampled:
-        reason = skip_reason_local_resampled(measured, duration, shortest, longest, normalized=F.col("spoken"))
+        reason = skip_reason_local_resampled(
+            measured, duration, shortest, longest, nothing_left=nothing_left
+        )
     else:
         reason = skip_reason_local(
-            F.col("found"), measured, duration, shortest, longest, normalized=F.col("spoken")
+            F.col("found"), measured, duration, shortest, longest, nothing_left=nothing_left
         )
-    decided = joined.select("row_idx", "audio_filepath", tagged, "duration", reason.alias("reason"))
+    spoken = append_language_tag(normalize_text(text, keep_marks) if normalize else text, language_tag)
+    decided = joined.withColumn("reason", reason).select(
+        "row_idx",
+        "audio_filepath",
+        F.when(F.col("reason").isNull(), spoken).otherwise(text).alias("text"),
+        "duration",
+        "reason",
+    )
     return decided.unionByName(set_aside)
 
 

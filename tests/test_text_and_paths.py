@@ -39,6 +39,14 @@ def test_normalize_is_idempotent_and_matches_rule(spark):
     assert once == [" ".join(re.sub(r"[^\w\s]", "", c.lower()).split()) for c in cells]
 
 
+def test_normalizes_to_nothing(spark):
+    cells = ["?!…", " ", "", "_", "a", "²", "\u0301", "!\u0903", "Ⓐ", "İ", None]
+    for keep_marks in (False, True):
+        gone = values(spark, cells, lambda c: text.normalizes_to_nothing(c, keep_marks))
+        left = values(spark, cells, lambda c: text.normalize_text(c, keep_marks))
+        assert gone == [None if x is None else x == "" for x in left]
+
+
 def test_strip_and_words(spark):
     cells = ["　a \x1f", "  ", "", "a b  c", None]
     assert values(spark, cells, text.strip_text) == ["a", "", "", "a b  c", None]

@@ -12,6 +12,7 @@ from speechloom.workspace import discard, fresh_dir, written_at
 WORD_START = "▁"
 OPEN, CLOSE, UNKNOWN = "\x01", "\x02", "\x03"
 CANDIDATES = 512  # pairs brought to the driver per round
+WORDS_PER_TASK = 200_000
 PENDING = 48  # merges per round, and merges after which the word table is written
 
 
@@ -137,12 +138,11 @@ def train_bpe(
     and applies every merge that is certain to come next. Words that are down to one symbol leave
     the table. The word table is written to the shared folder every ``table_every`` rounds, or
     sooner after many merges, to cut its lineage and keep the generated code small. ``frequencies``
-    is read twice, so it should be a stored table.
+    is read several times, so it should be a stored table.
     """
     spark = frequencies.sparkSession
-    # words are short but cost many pairs each, so the byte-sized partitions Spark would choose
-    # leave most cores idle
-    slices = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    # words are short but cost many pairs each, so partitions are sized by words, not by bytes
+    slices = max(spark.sparkContext.defaultParallelism, -(-frequencies.count() // WORDS_PER_TASK))
     chars = _covered(char_frequencies(frequencies), coverage)
     uncovered = [r[0] for r in chars.where("NOT covered").select("char").collect()]
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from speechloom.llm.common import table
+from speechloom.llm.language_id import identify
 from speechloom.llm.packing import pack
 
 
@@ -12,6 +13,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op9_language_id": op9_language_id,
 }

@@ -7,6 +7,11 @@ from pyspark.sql import DataFrame, SparkSession
 from speechloom.llm.common import table
 from speechloom.llm.language_id import identify
 from speechloom.llm.packing import pack
+from speechloom.llm.pii import find
+
+
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find(table(spark, sf_dir, "documents"))
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,6 +23,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_pii": op2_pii,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_language_id": op9_language_id,
 }

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from speechloom.llm.common import table
 from speechloom.llm.language_id import identify
+from speechloom.llm.minhash import near_duplicates
 from speechloom.llm.packing import pack
 from speechloom.llm.pii import find
 
@@ -14,6 +15,10 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"))
 
 
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
@@ -24,6 +29,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_pii": op2_pii,
+    "op4_minhash": op4_minhash,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_language_id": op9_language_id,
 }

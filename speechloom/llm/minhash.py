@@ -19,8 +19,8 @@ from speechloom.llm.common import WordHasher, mixed, slices, utf8, windows, word
 from speechloom.llm.connected import components
 from speechloom.workspace import written
 
-WIDTH = 3
-PERCENT = 85
+WIDTH = 5
+PERCENT = 80
 BANDS, ROWS = 24, 4
 SLICE_BYTES = 1 << 20
 # expected pivots per bucket and round; None: every member

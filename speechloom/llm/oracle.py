@@ -1,3 +1,96 @@
 """SQL counterparts of the queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+URL_REPUTATION = r"""
+WITH urls AS (
+  SELECT page_id,
+         translate(regexp_extract(coalesce(url, ''), '^.*?://([^/?#]*)', 1, 's'),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^.*?://[^/?#]*([^?#]*)', 1, 's') AS path
+  FROM pages),
+known AS (
+  SELECT doc_id AS page_id, min(CASE WHEN quality = 1 AND coalesce(toxic, 0) = 0 THEN 1 ELSE 0 END) AS good
+  FROM labels WHERE doc_id IS NOT NULL AND quality IS NOT NULL GROUP BY doc_id),
+hosts AS (
+  SELECT host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') AS domain,
+         string_split(host, '.')[-1] AS suffix, count(good) AS n, coalesce(sum(good), 0) AS x
+  FROM urls LEFT JOIN known USING (page_id) GROUP BY host),
+top AS (SELECT (sum(x) + 0.5) / (sum(n) + 1) AS prior FROM hosts),
+s0 AS (SELECT suffix, sum(n) AS n, sum(x) AS x, any_value(prior) AS prior FROM hosts, top GROUP BY suffix),
+sk AS (
+  SELECT 1 / least(greatest(CASE WHEN sum(n * (n - 1) * prior * (1 - prior)) > 0
+      THEN (sum((x - n * prior) * (x - n * prior)) - sum(n * prior * (1 - prior)))
+           / sum(n * (n - 1) * prior * (1 - prior)) ELSE 0 END, 0.001), 0.9) - 1 AS kappa FROM s0),
+s1 AS (SELECT suffix, (x + kappa * prior) / (n + kappa) AS mean FROM s0, sk),
+d0 AS (
+  SELECT domain, sum(n) AS n, sum(x) AS x, any_value(mean) AS prior
+  FROM hosts JOIN s1 USING (suffix) GROUP BY domain),
+dk AS (
+  SELECT 1 / least(greatest(CASE WHEN sum(n * (n - 1) * prior * (1 - prior)) > 0
+      THEN (sum((x - n * prior) * (x - n * prior)) - sum(n * prior * (1 - prior)))
+           / sum(n * (n - 1) * prior * (1 - prior)) ELSE 0 END, 0.001), 0.9) - 1 AS kappa FROM d0),
+d1 AS (SELECT domain, (x + kappa * prior) / (n + kappa) AS mean FROM d0, dk),
+h0 AS (SELECT host, n, x, mean AS prior FROM hosts JOIN d1 USING (domain)),
+hk AS (
+  SELECT 1 / least(greatest(CASE WHEN sum(n * (n - 1) * prior * (1 - prior)) > 0
+      THEN (sum((x - n * prior) * (x - n * prior)) - sum(n * prior * (1 - prior)))
+           / sum(n * (n - 1) * prior * (1 - prior)) ELSE 0 END, 0.001), 0.9) - 1 AS kappa FROM h0),
+h1 AS (SELECT host, n + kappa AS w, (x + kappa * prior) / (n + kappa) AS m FROM h0, hk),
+own AS (
+  SELECT host, CASE WHEN m + 1.645 * sqrt(m * (1 - m) / (w + 1)) < 0.5 THEN 'block' ELSE 'allow' END AS own FROM h1),
+rules AS (
+  SELECT * FROM (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+                        ('net', '/es/', 'block'), ('net', '/fr/', 'block')) AS r(rh, rp, rv)),
+ruled AS (
+  SELECT DISTINCT host, path,
+         first(rh || rp ORDER BY length(rh || rp) DESC) OVER w AS rule,
+         first(rv ORDER BY length(rh || rp) DESC) OVER w AS verdict
+  FROM urls JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+  WINDOW w AS (PARTITION BY host, path))
+SELECT u.page_id, u.host, u.path, r.rule, coalesce(r.verdict, o.own) AS verdict
+FROM urls u LEFT JOIN ruled r ON u.host = r.host AND u.path = r.path JOIN own o ON u.host = o.host
+"""
+
+MIXING = """
+WITH size AS (SELECT source, sum(coalesce(strlen(text), 0)) AS n_bytes FROM documents GROUP BY source),
+rates AS (
+  SELECT source, CASE WHEN n_bytes > 0
+      THEN sqrt(n_bytes::DOUBLE) / (SELECT sum(sqrt(n_bytes::DOUBLE)) FROM size)
+           * (SELECT sum(n_bytes) FROM size)::DOUBLE / n_bytes ELSE 1.0 END AS rate
+  FROM size),
+grid AS (
+  SELECT source, rate, k, sum(ln(greatest(k, 1)::DOUBLE)) OVER w AS log_fact
+  FROM (SELECT source, rate, unnest(range(0, ceil(rate + 12 * sqrt(rate) + 20)::BIGINT + 1)) AS k FROM rates)
+  WINDOW w AS (PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING)),
+sums AS (
+  SELECT source, k, sum(exp(-rate + k * ln(rate) - log_fact)) OVER (
+      PARTITION BY source ORDER BY k ROWS UNBOUNDED PRECEDING) AS cdf FROM grid),
+dealt AS (
+  SELECT doc_id, source, text, ('0x' || substr(md5('mix-1:' || doc_id), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS u
+  FROM documents),
+counted AS (
+  SELECT d.doc_id, d.source, d.text, (SELECT count(*) FROM sums s WHERE s.source = d.source AND s.cdf <= d.u) AS n
+  FROM dealt d),
+copies AS (SELECT doc_id, source, text, unnest(range(1, n + 1))::INTEGER AS copy FROM counted)
+SELECT doc_id, source, copy,
+       ('0x' || substr(md5('mix-1:' || doc_id || ':' || copy), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS order_key,
+       text
+FROM copies
+"""
+
+WARC = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+f AS (
+  SELECT payload_digest, min(page_id) AS low FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.low < p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.low < p.page_id THEN f.low END AS refers_to
+FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
+"""
+
+ORACLE = {
+    "op1_url_reputation": URL_REPUTATION,
+    "op3_mixing": MIXING,
+    "op10_warc": WARC,
+}

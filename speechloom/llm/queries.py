@@ -7,16 +7,29 @@ from pyspark.sql import DataFrame, SparkSession
 from speechloom.llm.common import table
 from speechloom.llm.language_id import identify
 from speechloom.llm.minhash import near_duplicates
+from speechloom.llm.mixing import mix
 from speechloom.llm.packing import pack
 from speechloom.llm.pii import find
+from speechloom.llm.url_reputation import judge_urls
+from speechloom.llm.warc import payloads, write_warc
+from speechloom.workspace import fresh_dir
+
+
+def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find(table(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mix(docs).select("doc_id", "source", "copy", "order_key", "text")
+
+
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    return near_duplicates(table(spark, sf_dir, "documents"), width=3, percent=85)
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,9 +40,18 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), path)
+    return payloads(spark, path)
+
+
 QUERIES = {
+    "op1_url_reputation": op1_url_reputation,
     "op2_pii": op2_pii,
+    "op3_mixing": op3_mixing,
     "op4_minhash": op4_minhash,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op9_language_id": op9_language_id,
+    "op10_warc": op10_warc,
 }

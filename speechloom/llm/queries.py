@@ -10,6 +10,7 @@ from speechloom.llm.minhash import near_duplicates
 from speechloom.llm.mixing import mix
 from speechloom.llm.packing import pack
 from speechloom.llm.pii import find
+from speechloom.llm.substrings import remove_repeats
 from speechloom.llm.url_reputation import judge_urls
 from speechloom.llm.warc import payloads, write_warc
 from speechloom.workspace import fresh_dir
@@ -36,6 +37,10 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -52,6 +57,7 @@ QUERIES = {
     "op3_mixing": op3_mixing,
     "op4_minhash": op4_minhash,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_substrings": op6_substrings,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
 }

@@ -9,7 +9,9 @@ from speechloom.llm.language_id import identify
 from speechloom.llm.minhash import near_duplicates
 from speechloom.llm.mixing import mix
 from speechloom.llm.packing import pack
+from speechloom.llm.permutation_index import nearest
 from speechloom.llm.pii import find
+from speechloom.llm.projection_forest import near_vectors
 from speechloom.llm.substrings import remove_repeats
 from speechloom.llm.url_reputation import judge_urls
 from speechloom.llm.warc import payloads, write_warc
@@ -41,6 +43,14 @@ def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op7_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op8_projection_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
@@ -58,6 +68,8 @@ QUERIES = {
     "op4_minhash": op4_minhash,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_substrings": op6_substrings,
+    "op7_permutation_index": op7_permutation_index,
+    "op8_projection_forest": op8_projection_forest,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
 }

@@ -1,9 +1,10 @@
 """Near-duplicate documents by minima of universal hashes, banding and full verification.
 
-Texts with the same words are one class. Bands of each class's signature go to buckets. In a bucket
-not all pairs are compared: a few pivots are compared with the members of other components, links
-are confirmed on full shingle sets and components renewed; more pivots follow until each bucket is
-one component or every pair between its components was compared, so no link between components is lost.
+Texts with the same words are one class. Bands of each class's signature go to buckets, where every
+member is compared with the first one: links are confirmed on full shingle sets and give components.
+Members of buckets that still hold several components are then joined on their rarest shingles. Sets
+that are similar enough share one of these, so no link between components is lost, and sets that only
+look alike in a band, by the thousand perhaps, do not meet.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from speechloom.llm.common import WordHasher, mixed, slices, utf8, windows, word_spans
 from speechloom.llm.connected import components
@@ -23,8 +25,6 @@ WIDTH = 5
 PERCENT = 80
 BANDS, ROWS = 24, 4
 SLICE_BYTES = 1 << 20
-# expected pivots per bucket and round; None: every member
-PIVOTS = (8, 64, None)
 SLACK = 5.0
 
 
@@ -115,6 +115,36 @@ def _alike(least: int):
     return run
 
 
+def rare_pairs(sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a, b`` of different ``component`` that may have ``percent`` of common shingles; none is missed.
+
+    In each set shingles are put in order, rarest first. Of two similar sets the smaller one's first
+    shingles (``index``) meet the larger one's (``probe``), and what follows the first meeting in both
+    must suffice for the similarity. Shingles of one set alone only push the others back.
+    """
+    rows = sets.select("doc_id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
+    common = written(rows.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1"), "common")
+    by = Window.partitionBy("doc_id")
+    ordered = rows.join(common, "s").withColumn("at", F.row_number().over(by.orderBy("df", "s")) - 1).withColumn(
+        "at", F.col("at") + F.col("n") - F.count("*").over(by))
+    # ceilings: percent / 100 of n, and 2 percent / (100 + percent) of n
+    probe = written(
+        ordered.filter(f"at < n - (n * {percent} + 99) div 100 + 1").select("s", "doc_id", "component", "n", "at"),
+        "probe")
+    index = probe.filter(f"at < n - (n * {2 * percent} + {99 + percent}) div {100 + percent} + 1")
+    x, y = probe.alias("x"), index.alias("y")
+    left = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
+    may = (
+        (F.col("x.s") == F.col("y.s"))
+        & (F.col("x.component") != F.col("y.component"))
+        & (F.struct("x.n", "x.doc_id") > F.struct("y.n", "y.doc_id"))
+        & (F.col("y.n") * 100 >= F.col("x.n") * percent)
+        & (left * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
+    )
+    return x.join(y, may).select(
+        F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+
+
 def link_classes(docs: DataFrame, sketch: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Classes ``k1, k2, rep`` of equal words, and ``id, component`` of reps that link with a smaller one."""
     known = sketch.filter("n_shingles > 0 and doc_id is not null")
@@ -150,32 +180,18 @@ def link_classes(docs: DataFrame, sketch: DataFrame, width: int, percent: int) -
             F.col("both") * 100 >= (F.size("xa") + F.size("xb") - F.col("both")) * percent)
         return written(ok.select("a", "b"), "links")
 
-    tested = written(
-        members.filter("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct(), "pairs")
-    links = confirmed(tested)
+    star = members.filter("doc_id <> low").select(F.col("low").alias("a"), F.col("doc_id").alias("b")).distinct()
+    links = confirmed(written(star, "pairs"))
     found = components(links)
-    for turn, pivots in enumerate(PIVOTS):
-        state = members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
-            "bucket", "doc_id", "n", F.coalesce("component", "doc_id").alias("component"))
-        state = written(state, "state")
-        mixed_up = state.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter(
-            "x <> y").select("bucket")
-        opened = written(state.join(mixed_up, "bucket", "left_semi"), "open")
-        if opened.isEmpty():
-            break
-        chosen = opened if pivots is None else opened.filter(
-            F.pmod(F.xxhash64("doc_id", F.lit(turn)), F.col("n")) < pivots)
-        p = chosen.select("bucket", F.col("doc_id").alias("p"), F.col("component").alias("cp"))
-        q = opened.select("bucket", F.col("doc_id").alias("q"), F.col("component").alias("cq"))
-        order = F.col("cp") < F.col("cq") if pivots is None else F.col("cp") != F.col("cq")
-        pairs = p.join(q, "bucket").filter(order).select(
-            F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct()
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = confirmed(pairs)
-        tested = tested.unionByName(pairs)
+    state = written(members.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "bucket", "doc_id", F.coalesce("component", "doc_id").alias("component")), "state")
+    several = state.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter(
+        "x <> y").select("bucket")
+    opened = written(state.join(several, "bucket", "left_semi").select("doc_id", "component").distinct(), "open")
+    if not opened.isEmpty():
+        more = confirmed(written(rare_pairs(sets.join(opened, "doc_id"), percent), "pairs"))
         if not more.isEmpty():
-            links = links.unionByName(more)
-            found = components(links)
+            found = components(links.unionByName(more))
     return classes, found
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import sys
 from collections.abc import Callable, Iterator
 
@@ -9,6 +10,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from speechloom.workspace import written
+
 SLICE_BYTES = 4 << 20
 
 # The white space that ends a word.
@@ -19,6 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def settled(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to the shared folder; shuffle files of jobs that are over may then go.
+
+    Spark removes them once the driver's JVM has noticed that nothing refers to them any more.
+    """
+    out = written(df, purpose)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def process_cache(key: str, build: Callable):
     """A value built once per Python process; functions sent by value have new globals in each task."""
     kept = sys.__dict__.setdefault("_speechloom_kept", {})

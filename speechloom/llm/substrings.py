@@ -17,8 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from speechloom.llm.common import WordHasher, mixed, slices, utf8, windows, word_spans
-from speechloom.workspace import written
+from speechloom.llm.common import WordHasher, mixed, settled, slices, utf8, windows, word_spans
 
 SPAN = 20
 SEED_WORDS = 10
@@ -67,6 +66,14 @@ class _Words:
         return np.stack([mixed(s[self.of[1:]] - s[self.of[:-1]] + n) for s in sums], axis=1).astype(np.int64)
 
 
+    def variants(self, lists: pa.Array) -> np.ndarray:
+        """Of each text, its number among the keys of all texts of its doc_id; null where there is one text."""
+        out = np.zeros(len(lists), np.int32)
+        for i in np.flatnonzero(lists.is_valid().to_numpy(zero_copy_only=False)):
+            out[i] = sorted(lists[int(i)].as_py()).index(int(self.keys()[i, 0]))
+        return out
+
+
 def _slim(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string").alias("text"))
 
@@ -103,8 +110,14 @@ def _minimizers(docs: DataFrame, span: int, seed_words: int) -> DataFrame:
     return _slim(docs).filter("doc_id is not null").mapInArrow(run, "seed bigint, doc_id bigint")
 
 
+EDGES = "doc_id bigint, variant int, start int, own_first int, u bigint, v bigint"
+
+
 def _edges(texts: DataFrame, span: int, seed_words: int) -> DataFrame:
-    """``doc_id, k1, start, u, v`` of the runs whose minimizer is repeated; u and v are the nodes."""
+    """``doc_id, variant, start, own_first, u, v`` of the runs whose minimizer is repeated.
+
+    u and v are the nodes; own_first is where the run came before in the same text, else null.
+    """
 
     def run(batches):
         for batch in slices(batches, "text", SLICE_BYTES):
@@ -112,20 +125,24 @@ def _edges(texts: DataFrame, span: int, seed_words: int) -> DataFrame:
             if not len(w.low):
                 continue
             nodes = windows(w.hashes, span - 1, 61)
-            keys, out = w.keys()[:, 0], []
+            numbers, out = w.variants(batch.column("texts")), []
             for i, repeated in enumerate(batch.column("seeds")):
                 a, b = int(w.of[i]), int(w.of[i + 1]) - span + 1
                 if b > a:
                     hits = np.flatnonzero(np.isin(w.low[a:b].astype(np.int64), repeated.values.to_numpy()))
+                    u, v = nodes[a + hits], nodes[a + hits + 1]
+                    _, at, of = np.unique(mixed(u + v * np.uint64(0xD6E8FEB86659FD93)), return_index=True, return_inverse=True)
+                    first = hits[at[of]]
                     out.append((np.full(len(hits), batch.column("doc_id")[i].as_py(), np.int64),
-                                np.full(len(hits), keys[i]), hits, nodes[a + hits], nodes[a + hits + 1]))
+                                np.full(len(hits), numbers[i]), hits, first, u, v))
             if out:
-                doc_id, k1, start, u, v = (np.concatenate(c) for c in zip(*out))
+                doc_id, variant, start, first, u, v = (np.concatenate(c) for c in zip(*out))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(doc_id), pa.array(k1), pa.array(start.astype(np.int32)), pa.array(u.astype(np.int64)),
-                     pa.array(v.astype(np.int64))], ["doc_id", "k1", "start", "u", "v"])
+                    [pa.array(doc_id), pa.array(variant.astype(np.int32)), pa.array(start.astype(np.int32)),
+                     pa.array(first.astype(np.int32), mask=first == start), pa.array(u.astype(np.int64)),
+                     pa.array(v.astype(np.int64))], ["doc_id", "variant", "start", "own_first", "u", "v"])
 
-    return texts.mapInArrow(run, "doc_id bigint, k1 bigint, start int, u bigint, v bigint")
+    return texts.mapInArrow(run, EDGES)
 
 
 def compacted(edges: DataFrame) -> DataFrame:
@@ -134,13 +151,13 @@ def compacted(edges: DataFrame) -> DataFrame:
     An edge continues the path of the edge before it if their common node has one way in and one way
     out. A path stays within its first document, so no group is larger than a document.
     """
-    first = F.min(F.struct("doc_id", "start"))
-    repeated = written(
-        edges.groupBy("u", "v").agg(first.alias("first"), F.count("*").alias("n")).filter("n > 1").select(
-            "u", "v", F.col("first.doc_id").alias("first_doc"), F.col("first.start").alias("first_start")), "repeated")
+    repeated = settled(
+        edges.groupBy("u", "v").agg(
+            F.min("doc_id").alias("first_doc"), F.min_by("start", "doc_id").alias("first_start"), F.count("*").alias("n"))
+        .filter("n > 1").drop("n"), "repeated")
     ways = repeated.select(F.col("u").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i")).unionByName(
         repeated.select(F.col("v").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i")))
-    plain = written(
+    plain = settled(
         ways.groupBy("node").agg(F.sum("o").alias("o"), F.sum("i").alias("i")).filter("o = 1 and i = 1")
         .select("node", F.lit(True).alias("plain")), "plain")
     along = Window.partitionBy("first_doc").orderBy("first_start")
@@ -153,33 +170,34 @@ def compacted(edges: DataFrame) -> DataFrame:
 
 
 def repeated_spans(edges: DataFrame, span: int = SPAN) -> DataFrame:
-    """``doc_id, k1, start, length, source_doc, source_start``: maximal later occurrences, in words.
+    """``doc_id, variant, start, length, source_doc, source_start``: maximal later occurrences, in words.
 
     Every span equals the words at its source coordinate, which come earlier.
     """
-    paths = written(compacted(edges), "paths")
-    later = edges.join(paths, ["u", "v"]).filter(
-        (F.col("doc_id") != F.col("first_doc")) | (F.col("start") != F.col("first_start")))
-    # windows of one span move with their source: same document, path and distance
-    island = ["doc_id", "k1", "first_doc", "path_start", "shift"]
-    moved = later.withColumn("shift", F.col("start") - F.col("first_start"))
-    traced = moved.groupBy(*island).agg(F.sort_array(F.collect_set("start")).alias("starts"))
-    # at most one entry per word of a document; gaps in a trace begin a new span
-    runs = traced.withColumn("at", F.explode(F.filter(
-        F.transform("starts", lambda s, i: F.struct(
-            s.alias("start"), i.alias("i"), ((i == 0) | (F.get("starts", i - 1) != s - 1)).alias("head"))),
-        lambda x: x["head"])))
-    by = Window.partitionBy(*island).orderBy("at.start")
-    size = F.coalesce(F.lead("at.i").over(by), F.size("starts")) - F.col("at.i")
-    return runs.select(
-        "doc_id", "k1", F.col("at.start").alias("start"), (size + span - 1).alias("length"),
-        F.col("first_doc").alias("source_doc"), (F.col("at.start") - F.col("shift")).alias("source_start"))
+    lead = edges.filter("own_first is null")
+    paths = settled(compacted(lead), "paths")
+    place = ["doc_id", "variant", "start"]
+    later = lead.join(paths, ["u", "v"]).filter("doc_id <> first_doc").select(
+        *place, "first_doc", "first_start", "path_start")
+    again = edges.filter("own_first is not null").select(
+        *place, F.col("doc_id").alias("first_doc"), F.col("own_first").alias("first_start"), F.lit(-1).alias("path_start"))
+    # along a document, a span goes on while its source does: same document, same path, next word
+    along = Window.partitionBy("doc_id", "variant").orderBy("start")
+    goes_on = F.lit(True)
+    for name, step in (("start", 1), ("first_start", 1), ("first_doc", 0), ("path_start", 0)):
+        goes_on = goes_on & (F.col(name) == F.lag(name).over(along) + step)
+    island = F.sum("head").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    traced = later.unionByName(again).withColumn(
+        "head", F.when(goes_on, 0).otherwise(1)).withColumn("island", island)
+    return traced.groupBy("doc_id", "variant", "island").agg(
+        F.min("start").alias("start"), (F.count("*") + span - 1).alias("length"),
+        F.min("first_doc").alias("source_doc"), F.min("first_start").alias("source_start")).drop("island")
 
 
 def _kept(texts: DataFrame) -> DataFrame:
     """``doc_id, k1, k2, n_removed, kept_sha, kept_text`` of texts with ``spans`` of words to remove.
 
-    ``key`` is the k1 of the text that the spans are in, should several rows have the doc_id.
+    ``variant`` numbers the text that the spans are in, should several texts have the doc_id.
     """
 
     def run(batches):
@@ -187,7 +205,7 @@ def _kept(texts: DataFrame) -> DataFrame:
             w = _Words(batch.column("text"), SPAN, SEED_WORDS)
             keys, removed, sha, text = w.keys(), [], [], []
             raw = w.data.tobytes()
-            own = np.flatnonzero(keys[:, 0] == batch.column("key").to_numpy())
+            own = np.flatnonzero(w.variants(batch.column("texts")) == batch.column("variant").to_numpy())
             for i in map(int, own):
                 spans = batch.column("spans")[i].as_py()
                 a, b = int(w.of[i]), int(w.of[i + 1])
@@ -214,32 +232,32 @@ def remove_repeats(docs: DataFrame, *, span: int = SPAN, seed_words: int = SEED_
     """``doc_id, n_words, n_removed, kept_sha256`` for every row, and ``kept_text`` of changed ones on request.
 
     A word goes if a run of ``span`` words over it also starts earlier: in a smaller doc_id, or before
-    in the same document. Rows with one doc_id and text are one document. Rows without doc_id neither
-    lose words nor count as earlier. Null texts have no words; an empty table gives no rows; other
-    columns are not looked at.
+    in the same text. Rows with one doc_id do not count as earlier than one another. Rows without
+    doc_id neither lose words nor count as earlier. Null texts have no words; an empty table gives no
+    rows; other columns are not looked at.
     """
-    whole = written(_whole(docs), "words")
+    whole = settled(_whole(docs), "words")
     # a later copy of a whole document loses all its words; only first copies enter the graph
-    first = written(
+    first = settled(
         whole.filter(f"doc_id is not null and n_words >= {span}").groupBy("k1", "k2").agg(
             F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1"), "first")
-    marked = written(
+    marked = settled(
         whole.join(first, ["k1", "k2"], "left").select(
             "doc_id", "k1", "k2", "n_words", "sha", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("copy")),
         "marked")
     seeds = _minimizers(docs, span, seed_words)
-    repeated = written(
+    repeated = settled(
         seeds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed"), "seeds")
-    copies = marked.filter("copy").select("doc_id").distinct()
+    # the texts of one doc_id, almost always one; documents that are copies as a whole stay out
+    named = marked.filter("doc_id is not null").groupBy("doc_id").agg(
+        F.collect_set("k1").alias("texts"), F.min("copy").alias("copies")).filter("not copies").drop("copies")
     hits = seeds.join(repeated, "seed", "left_semi").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds"))
-    # of rows with one doc_id but several texts, a copy's text must not hide the others
-    plain = marked.filter("not copy").select("doc_id").distinct()
-    hits = hits.join(copies.join(plain, "doc_id", "left_anti"), "doc_id", "left_anti")
-    texts = written(_slim(docs).join(hits, "doc_id"), "texts")
-    edges = written(_edges(texts, span, seed_words), "edges")
-    spans = repeated_spans(edges, span).groupBy("doc_id", F.col("k1").alias("key")).agg(
-        F.collect_list(F.struct("start", "length")).alias("spans"))
-    changed = _kept(texts.select("doc_id", "text").join(spans, "doc_id")).dropDuplicates(["doc_id", "k1", "k2"])
+    hits = settled(hits.join(named, "doc_id").withColumn("texts", F.when(F.size("texts") > 1, F.col("texts"))), "hits")
+    texts = settled(_slim(docs).join(hits, "doc_id"), "texts")
+    edges = settled(_edges(texts, span, seed_words), "edges")
+    spans = settled(repeated_spans(edges, span).groupBy("doc_id", "variant").agg(
+        F.collect_list(F.struct("start", "length")).alias("spans")), "spans")
+    changed = _kept(texts.drop("seeds").join(spans, "doc_id")).dropDuplicates(["doc_id", "k1", "k2"])
     nothing = hashlib.sha256(b"").hexdigest()
     out = marked.join(changed, ["doc_id", "k1", "k2"], "left")
     return out.select(

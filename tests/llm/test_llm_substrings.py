@@ -5,7 +5,7 @@ import re
 import cases
 import pytest
 
-from speechloom.llm.substrings import remove_repeats, repeated_spans
+from speechloom.llm.substrings import EDGES, remove_repeats, repeated_spans
 
 
 def brute(rows, span):
@@ -58,12 +58,19 @@ def test_like_brute_force(spark, seed, span, seed_words):
 
 
 def test_spans_name_an_earlier_source(spark):
-    edges = [(d, 0, s, f, f + 1) for d, s, f in
+    edges = [(d, 0, s, None, f, f + 1) for d, s, f in
              [(1, 0, 10), (1, 1, 11), (1, 2, 12), (2, 5, 10), (2, 6, 11), (2, 7, 12), (3, 0, 11), (3, 1, 12), (3, 2, 99)]]
-    df = spark.createDataFrame(edges, "doc_id bigint, k1 bigint, start int, u bigint, v bigint")
+    df = spark.createDataFrame(edges, EDGES)
     spans = sorted((r.doc_id, r.start, r.length, r.source_doc, r.source_start) for r in repeated_spans(df, 4).collect())
     assert spans == [(2, 5, 6, 1, 0), (3, 0, 5, 1, 1)]
 
 
 def test_empty(spark):
     assert remove_repeats(cases.empty(spark)).collect() == []
+
+
+def test_several_texts_of_one_id(spark):
+    a, b = cases.prose(random.Random(1), 40), cases.prose(random.Random(2), 40)
+    rows = [(3, b, "en", "s", 1), (7, a, "en", "s", 1), (7, b, "en", "s", 1), (8, a + " " + b, "en", "s", 1)]
+    got = sorted((r.doc_id, r.n_words, r.n_removed) for r in remove_repeats(spark.createDataFrame(rows, cases.SCHEMA)).collect())
+    assert got == [(3, 40, 0), (7, 40, 0), (7, 40, 40), (8, 80, 80)]

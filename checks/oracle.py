@@ -99,7 +99,7 @@ def _wave_ladder(compact: bool) -> str:
 
 WAVE_VALID = f"""{WAVE},
 valid_wave AS (
-  SELECT *, (len(samples) * 16000 // rate)::BIGINT AS n_out FROM timed WHERE ({_wave_ladder(False)}) IS NULL)
+  SELECT *, ceil(len(samples) * 16000::DOUBLE / rate)::BIGINT AS n_out FROM timed WHERE ({_wave_ladder(False)}) IS NULL)
 """
 
 WAV_FILES = """
@@ -300,7 +300,8 @@ ORACLE = {
     "corpus_error_rates": _with(PAIRS + "," + _alignment("pairs"), _RATES, recursive=True),
     "word_frequencies": _with(FREQUENCIES, "SELECT * FROM freq"),
     "char_coverage": _with(FREQUENCIES, "SELECT char, n FROM ranked WHERE covered"),
-    "first_n": _with(WAVE, "SELECT row_idx, text FROM wave WHERE row_idx < 200"),
+    "first_n": _with(WAVE, """SELECT row_idx, text FROM wave
+        QUALIFY row_number() OVER (PARTITION BY split ORDER BY row_idx) <= 60"""),
     "exact_split": _with(UTT, f"SELECT row_idx, split FROM {_split('utt', 0.1)}"),
     "hash_split": _with(UTT, f"SELECT row_idx, {HASH_SPLIT} AS split FROM utt"),
     "sort_by_path": _with(UTT, "SELECT * FROM files ORDER BY path"),

@@ -397,7 +397,8 @@ def char_coverage(spark, sf_dir):
 
 
 def first_n(spark, sf_dir):
-    return datasets.first_n(S.waveforms(spark, sf_dir), 200).select("row_idx", "text")
+    """Both splits have gaps in their positions."""
+    return datasets.first_n(S.waveforms(spark, sf_dir), 60).select("row_idx", "text")
 
 
 def exact_split(spark, sf_dir):
@@ -552,10 +553,10 @@ def stream_manifest_query(spark, sf_dir):
     source = S.written_wave_dataset(spark, sf_dir)
     rows = spark.readStream.schema(source.schema).parquet(source.inputFiles()[0].rsplit("/", 1)[0])
     out = fresh_dir(spark, "stream")
-    query = stream_manifest(rows.drop("split"), f"{out}/manifest", f"{out}/checkpoint", "/out/audio")
+    query = stream_manifest(rows.drop("split"), out, f"{out}/checkpoint", "/out/audio")
     query.awaitTermination()
     columns = "row_idx bigint, audio_filepath string, text string, duration double, split string"
-    return spark.read.schema(columns).json(f"{out}/manifest")
+    return spark.read.schema(columns).json(f"{out}/manifest").drop("batch")
 
 
 QUERIES = {

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import os
+import posixpath
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -34,16 +36,36 @@ def normalize_path(path: Column) -> Column:
     ).otherwise(path)
 
 
+def plain_path(path: Column, default_fs: str = "file:///") -> Column:
+    """Without scheme and authority where these name the default file system, so that both forms join."""
+    if default_fs.startswith("file:"):
+        return F.regexp_replace(path, "^file:(//)?(?=/)", "")
+    root = default_fs.rstrip("/")
+    return F.when(path.startswith(root + "/"), F.substr(path, F.lit(len(root) + 1))).otherwise(path)
+
+
+def absolute_dir(base_dir: str | None, working_dir: str | None = None, default_fs: str = "file:///") -> str:
+    """``base_dir`` without dots, below ``working_dir`` if relative, in the form of ``plain_path``."""
+    base = base_dir or working_dir or os.getcwd()
+    if "://" not in base and not base.startswith(("/", "file:/")):
+        base = f"{working_dir or os.getcwd()}/{base}"
+    if default_fs.startswith("file:"):
+        base = re.sub("^file:(//)?(?=/)", "", base)
+    elif base.startswith(default_fs.rstrip("/") + "/"):
+        base = base[len(default_fs.rstrip("/")):]
+    authority = re.match(_AUTHORITY, base)
+    root = authority.group() if authority else ""
+    return root + posixpath.normpath("/" + base[len(root):].lstrip("/"))
+
+
 def resolve_audio_path(
-    path: Column, base_dir: str | None = None, working_dir: str | None = None
+    path: Column, base_dir: str | None = None, working_dir: str | None = None, default_fs: str = "file:///"
 ) -> Column:
     """Absolute form of ``path``: relative ones are taken below ``base_dir``."""
-    working_dir = working_dir or os.getcwd()
-    base = base_dir or working_dir
-    if "://" not in base and not base.startswith("/"):
-        base = f"{working_dir}/{base}"
-    absolute = path.startswith("/") | path.rlike(_AUTHORITY)
-    return normalize_path(F.when(absolute, path).otherwise(F.concat_ws("/", F.lit(base), path)))
+    base = absolute_dir(base_dir, working_dir, default_fs)
+    absolute = path.startswith("/") | path.rlike(_AUTHORITY) | path.rlike("^file:/")
+    given = F.when(absolute, plain_path(path, default_fs)).otherwise(F.concat_ws("/", F.lit(base), path))
+    return normalize_path(given)
 
 
 def drop_extension(path: Column) -> Column:
@@ -70,8 +92,15 @@ def relative_path(path: Column, base_dir: str) -> Column:
     return F.when(F.size(steps) == 0, F.lit(".")).otherwise(F.array_join(steps, "/"))
 
 
-def resampled_path(path: Column, resample_dir: str, base_dir: str | None = None) -> Column:
-    rest = relative_path(path, base_dir) if base_dir else base_name(path)
+def resampled_path(
+    path: Column,
+    resample_dir: str,
+    base_dir: str | None = None,
+    working_dir: str | None = None,
+    default_fs: str = "file:///",
+) -> Column:
+    """Where the resampled copy of an absolute ``path`` goes: its place below ``base_dir``, or its name alone."""
+    rest = relative_path(path, absolute_dir(base_dir, working_dir, default_fs)) if base_dir else base_name(path)
     return F.concat(F.lit(resample_dir.rstrip("/") + "/"), drop_extension(rest), F.lit(".wav"))
 
 

@@ -45,8 +45,12 @@ def append_language_tag(text: Column, tag: str | Column | None) -> Column:
     return F.when(F.coalesce(tag, F.lit("")) == "", text).otherwise(tagged)
 
 
-def strip_language_tag(text: Column) -> Column:
-    return F.regexp_replace(text, r"\s*<[A-Za-z]{2,3}-[A-Za-z]{2,4}>$", "")
+def strip_language_tag(text: Column, tag: str | None = None) -> Column:
+    """Without the tag at the end: the one named, or else any language tag like ``hi``, ``en-US``, ``es-419``, ``sr-Cyrl-RS``."""
+    if tag is not None:
+        end = F.lit(f"<{tag}>")
+        return F.when(text.endswith(end), F.rtrim(F.substr(text, F.lit(1), F.length(text) - F.length(end)))).otherwise(text)
+    return F.regexp_replace(text, r"\s*<[A-Za-z]{2,3}(-[A-Za-z0-9]{1,8})*>$", "")
 
 
 def words(text: Column) -> Column:

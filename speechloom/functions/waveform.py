@@ -59,6 +59,69 @@ def wav_duration(content: pa.Buffer | None, size: int) -> float | None:
     return (layout["length"] // layout["block"]) / layout["rate"]
 
 
+def audio_duration(stream, size: int) -> float | None:
+    """Seconds of a WAV, FLAC or Ogg (Vorbis, Opus, FLAC) file, from its headers; None when unreadable.
+
+    An Ogg file's length is in its last page, at most 64 KB before the end.
+    """
+    try:
+        head = stream.read(10)
+        start = 0
+        if head[:3] == b"ID3":
+            # a tag before the audio; its size has seven bits a byte
+            start = 10 + (head[6] << 21 | head[7] << 14 | head[8] << 7 | head[9])
+            if start >= size:
+                return None
+            stream.seek(start)
+            head = stream.read(4)
+        if head[:4] == b"fLaC":
+            if start + 26 > size:
+                return None
+            stream.seek(start + 8)
+            return _flac_duration(stream.read(18))
+        stream.seek(0)
+        if head[:4] == b"OggS":
+            return _ogg_duration(stream, size)
+        layout = wav_layout(stream, size)
+        return (layout["length"] // layout["block"]) / layout["rate"]
+    except (ValueError, struct.error, IndexError):
+        return None
+
+
+def _flac_duration(info: bytes) -> float | None:
+    """From the first 18 bytes of a STREAMINFO block: 20 bits of rate, 36 bits of samples."""
+    packed = struct.unpack(">Q", info[10:18])[0]
+    rate, samples = packed >> 44, packed & ((1 << 36) - 1)
+    return samples / rate if rate and samples else None
+
+
+OGG_PAGE = 65_307
+
+
+def _ogg_duration(stream, size: int) -> float | None:
+    first = stream.read(min(size, OGG_PAGE))
+    serial, body = first[14:18], first[27 + first[26]:]
+    skip = 0
+    if body[:7] == b"\x01vorbis":
+        rate = struct.unpack("<I", body[12:16])[0]
+    elif body[:8] == b"OpusHead":
+        rate, skip = 48_000, struct.unpack("<H", body[10:12])[0]
+    elif body[:5] == b"\x7fFLAC":
+        rate = struct.unpack(">Q", body[27:35])[0] >> 44
+    else:
+        return None
+    stream.seek(max(0, size - OGG_PAGE))
+    tail = stream.read(OGG_PAGE)
+    at = tail.rfind(b"OggS")
+    while at >= 0:
+        if tail[at + 14:at + 18] == serial:
+            position = struct.unpack("<q", tail[at + 6:at + 14])[0]
+            if position >= 0:
+                return max(position - skip, 0) / rate if rate else None
+        at = tail.rfind(b"OggS", 0, at)
+    return None
+
+
 def wav_samples(content: pa.Buffer) -> tuple[np.ndarray, int]:
     """Mono samples in [-1, 1] and the sampling rate; channels are averaged."""
     try:
@@ -67,6 +130,12 @@ def wav_samples(content: pa.Buffer) -> tuple[np.ndarray, int]:
         raise UnreadableAudio(str(e)) from e
     frames = layout["length"] // layout["block"]
     raw = np.frombuffer(content, np.uint8, frames * layout["block"], layout["start"])
+    return mono_frames(raw, layout), layout["rate"]
+
+
+def mono_frames(raw: np.ndarray, layout: dict) -> np.ndarray:
+    """Samples of whole frames, given as bytes."""
+    frames = len(raw) // layout["block"]
     code, bits = layout["code"], layout["bits"]
     if layout["block"] != layout["channels"] * bits // 8:
         raise UnreadableAudio("block size does not fit the sample size")
@@ -83,21 +152,58 @@ def wav_samples(content: pa.Buffer) -> tuple[np.ndarray, int]:
         x = raw.view("<f4").astype(np.float64)
     else:
         raise UnreadableAudio(f"unsupported sample format {code}/{bits}")
-    return x.reshape(frames, layout["channels"]).mean(axis=1), layout["rate"]
+    return x.reshape(frames, layout["channels"]).mean(axis=1)
 
 
-def encode_wav(samples: np.ndarray, rate: int) -> bytes:
-    """One-channel PCM16 WAV file; values outside [-1, 1] are clipped."""
+def pcm16(samples: np.ndarray) -> bytes:
+    """16-bit samples; values outside [-1, 1] are clipped."""
     scaled = np.clip(np.rint(np.asarray(samples, np.float64) * 0x7FFFFFFF), -(2**31), 2**31 - 1)
-    data = (scaled.astype(np.int64) >> 16).astype("<i2").tobytes()
+    return (scaled.astype(np.int64) >> 16).astype("<i2").tobytes()
+
+
+def wav_head(n_samples: int, rate: int) -> bytes:
+    """Header of a one-channel PCM16 WAV file; sizes that its fields can't hold are given as the largest."""
+    size = 2 * n_samples
     fmt = struct.pack("<HHIIHH", PCM, 1, rate, rate * 2, 2, 16)
     return (
-        b"RIFF" + struct.pack("<I", 36 + len(data)) + b"WAVE"
+        b"RIFF" + struct.pack("<I", min(36 + size, 0xFFFFFFFF)) + b"WAVE"
         + b"fmt " + struct.pack("<I", 16) + fmt
-        + b"data" + struct.pack("<I", len(data)) + data
+        + b"data" + struct.pack("<I", min(size, 0xFFFFFFFF))
     )
 
 
+def encode_wav(samples: np.ndarray, rate: int) -> bytes:
+    """One-channel PCM16 WAV file; values outside [-1, 1] are clipped."""
+    return wav_head(len(samples), rate) + pcm16(samples)
+
+
+def resampled_blocks(stream, layout: dict, target: int, block: int = 1 << 20, margin: int = 1 << 14):
+    """Samples at ``target`` of an open WAV file, block by block, so that a file of any size will do.
+
+    A block is resampled together with ``margin`` frames on either side, whose results are dropped;
+    their outer half fades out, so that a block's ends don't ring.
+    """
+    rate, step = layout["rate"], layout["block"]
+    shared = int(np.gcd(rate, target))
+    m, up = rate // shared, target // shared
+    frames = layout["length"] // step
+    block, margin = max(block // m, 1) * m, -(-margin // m) * m
+    n_out = resampled_length(frames, rate, target)
+    for begin in range(0, frames, block):
+        lo, hi = max(begin - margin, 0), min(begin + block + margin, frames)
+        stream.seek(layout["start"] + lo * step)
+        x = mono_frames(np.frombuffer(stream.read((hi - lo) * step), np.uint8), layout)
+        fade = np.sin(np.linspace(0, np.pi / 2, margin // 2)) ** 2
+        if lo and len(x) > margin:
+            x[:len(fade)] *= fade
+        if hi < frames and len(x) > margin:
+            x[-len(fade):] *= fade[::-1]
+        x = np.concatenate([x, np.zeros(-len(x) % m)])
+        y = fourier_resample(x, len(x) // m * up)
+        at, end = lo // m * up, min((begin + block) // m * up, n_out)
+        yield y[begin // m * up - at:end - at]
+
+
 def fourier_resample(samples: np.ndarray, n_out: int) -> np.ndarray:
     """Band-limited resampling to ``n_out`` points by cutting or padding the spectrum."""
     n_in = len(samples)
@@ -115,6 +221,6 @@ def fourier_resample(samples: np.ndarray, n_out: int) -> np.ndarray:
     return np.fft.irfft(bins, n_out) * (n_out / n_in)
 
 
-def resampled_length(n_in: int, rate: int, target: int, round_up: bool = False) -> int:
+def resampled_length(n_in: int, rate: int, target: int, round_up: bool = True) -> int:
     exact = n_in * target / rate
     return int(np.ceil(exact)) if round_up else int(exact)

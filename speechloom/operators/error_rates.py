@@ -32,11 +32,17 @@ def count_reference_words(pairs: DataFrame, reference: str = "reference") -> Dat
     return pairs.agg(F.coalesce(F.sum(count_words(F.col(reference))), F.lit(0)).alias("num_reference_words"))
 
 
-def corpus_error_rates(pairs: DataFrame, strip_tag: bool = False) -> DataFrame:
-    """One row: pooled wer, mer, wil, wip and counts over pairs with a non-blank reference."""
-    pairs = pairs.where(strip_text(F.col("reference")) != "").select("reference", "hypothesis")
+def corpus_error_rates(pairs: DataFrame, strip_tag: bool | str = False) -> DataFrame:
+    """One row: pooled wer, mer, wil, wip and counts over pairs with a non-blank reference.
+
+    ``strip_tag`` takes the language tag off first, any or the one named; a text that is only a tag
+    is blank.
+    """
+    pairs = pairs.select("reference", "hypothesis")
     if strip_tag:
-        pairs = pairs.select(*[strip_language_tag(F.col(c)).alias(c) for c in pairs.columns])
+        tag = strip_tag if isinstance(strip_tag, str) else None
+        pairs = pairs.select(*[strip_language_tag(F.col(c), tag).alias(c) for c in pairs.columns])
+    pairs = pairs.where(strip_text(F.col("reference")) != "")
     counts = pairs.select(word_alignment(F.col("reference"), F.col("hypothesis")).alias("a")).select("a.*")
     return pooled_rates(counts)
 

@@ -16,7 +16,9 @@ def join_audio_files(
     hot_rows: int = 1_000_000,
     sizes_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Left join of transcripts with ``files(path, measured)``, one row per file; adds ``found``.
+    """Left join of transcripts with ``files(path, measured)``; adds ``found``.
+
+    A path listed several times counts once, with its longest duration.
 
     Many transcripts may name one file. Paths are counted in hash buckets first, which moves at
     most 65,536 rows; buckets far above the average are salted by row id on the transcript side and
@@ -24,7 +26,7 @@ def join_audio_files(
     plain join and Spark picks the strategy. ``sizes_from`` may give a cheaper table with at least
     these paths to count in.
     """
-    listed = files.select(F.col("path").alias(path), "measured", F.lit(True).alias("_listed"))
+    listed = files.groupBy(F.col("path").alias(path)).agg(F.max("measured").alias("measured"), F.lit(True).alias("_listed"))
     transcripts, listed, keys = _salted(transcripts, listed, path, row_id, hot_rows, sizes_from)
     joined = transcripts.join(listed, keys, "left")
     return joined.withColumn("found", F.coalesce("_listed", F.lit(False))).drop("_listed", "_salt")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -14,12 +16,16 @@ from speechloom.functions.waveform import (
     UnreadableAudio,
     encode_wav,
     fourier_resample,
+    pcm16,
+    resampled_blocks,
     resampled_length,
+    wav_head,
+    wav_layout,
     wav_samples,
 )
 from speechloom.operators.ladders import within_duration
 from speechloom.schema import TARGET_RATE
-from speechloom.sources.audio_files import MAX_CONTENT, open_filesystem, probed_files
+from speechloom.sources.audio_files import default_fs, file_opener, probed_files
 
 SLICE_BYTES = 64 << 20
 
@@ -67,17 +73,19 @@ def _resampled(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Arra
 
 def resampled_duration(n_samples: Column, rate: Column) -> Column:
     """Seconds at 16 kHz; the new length is known from the old one, so no samples are needed."""
-    new_length = F.floor(n_samples.cast("double") * TARGET_RATE / rate.cast("double"))
+    new_length = F.ceil(n_samples.cast("double") * TARGET_RATE / rate.cast("double"))
     return new_length.cast("double") / TARGET_RATE
 
 
 def resample_waveforms(df: DataFrame, audio: str = "audio") -> DataFrame:
     """Waveforms at 16 kHz with their new ``duration``.
 
-    Filter first: rows must have a positive rate. Rows already at 16 kHz never leave the JVM, and
-    nothing does when only the duration is selected afterwards.
+    Filter first: rows must have a positive rate; without such a field it is 16 kHz. Rows already at
+    16 kHz never leave the JVM, and nothing does when only the duration is selected afterwards.
     """
-    array, rate = F.col(audio)["array"], F.col(audio)["sampling_rate"]
+    array = F.col(audio)["array"].cast("array<float>")
+    given = "sampling_rate" in df.schema[audio].dataType.names
+    rate = F.col(audio)["sampling_rate"] if given else F.lit(TARGET_RATE)
     other = rate != TARGET_RATE
     changed = _resampled(F.when(other, array), F.when(other, rate))
     return (
@@ -110,7 +118,7 @@ def _resample_content(content: pa.Scalar) -> dict | None:
         x, rate = wav_samples(content.as_buffer())
     except UnreadableAudio:
         return None
-    n_out = resampled_length(len(x), rate, TARGET_RATE, round_up=True)
+    n_out = resampled_length(len(x), rate, TARGET_RATE)
     wav = encode_wav(fourier_resample(x, n_out), TARGET_RATE)
     return {"wav": wav, "duration": n_out / TARGET_RATE}
 
@@ -123,12 +131,61 @@ def _resampled_file(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
 
 
 def resample_files(files: DataFrame) -> DataFrame:
-    """``path, wav, measured``: each file as mono 16 kHz PCM; NULLs when it cannot be read."""
-    readable = F.when(F.col("length") <= MAX_CONTENT, F.col("content"))
-    done = files.select("path", _resampled_file(readable).alias("_r"))
+    """``path, wav, measured`` of a table with ``content``: mono 16 kHz PCM; NULLs when it cannot be read."""
+    done = files.select("path", _resampled_file(F.col("content")).alias("_r"))
     return done.select("path", F.col("_r.wav").alias("wav"), F.col("_r.duration").alias("measured"))
 
 
+def resample_to_files(files: DataFrame) -> DataFrame:
+    """Write mono 16 kHz copies of ``files(path, length, target)``; ``path, target, measured``, once run.
+
+    Tasks open the files themselves and go through them in blocks, so files may have any size; each
+    copy is written once, under a temporary name until it is whole. ``measured`` is NULL, and nothing
+    is written, where a file cannot be read.
+    """
+    default = default_fs(files.sparkSession)
+
+    def run(batches):
+        opened, made = file_opener(default), set()
+        for batch in batches:
+            seconds = []
+            for path, length, target in zip(*(batch.column(c).to_pylist() for c in ("path", "length", "target"))):
+                client, name = opened(path)
+                with client.open_input_file(name) as stream:
+                    try:
+                        layout = wav_layout(stream, length)
+                        n = resampled_length(layout["length"] // layout["block"], layout["rate"], TARGET_RATE)
+                        blocks = resampled_blocks(stream, layout, TARGET_RATE)
+                        first = next(blocks, np.zeros(0))
+                    except (ValueError, struct.error):
+                        seconds.append(None)
+                        continue
+                    parts = (pcm16(x) for part in ([first], blocks) for x in part)
+                    _write_whole(opened, target, [wav_head(n, TARGET_RATE)], parts, made)
+                seconds.append(n / TARGET_RATE)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("path"), batch.column("target"), pa.array(seconds, pa.float64())],
+                ["path", "target", "measured"])
+
+    return files.select("path", "length", "target").mapInArrow(run, "path string, target string, measured double")
+
+
+def _write_whole(opened: Callable, path: str, *parts) -> None:
+    """Write the parts under a temporary name and rename it, so that no other task sees or tears half a file."""
+    *chunks, made = parts
+    client, name = opened(path)
+    folder, _, last = name.rpartition("/")
+    if folder not in made:
+        client.create_dir(folder, recursive=True)
+        made.add(folder)
+    partial = f"{folder}/.{last}.{uuid.uuid4().hex}.tmp"
+    with client.open_output_stream(partial) as stream:
+        for chunk in chunks:
+            for piece in chunk:
+                stream.write(piece)
+    client.move(partial, name)
+
+
 def validate_audio_table(files: DataFrame, shortest: float, longest: float) -> DataFrame:
     """``path, ok, duration, reason`` per listed file."""
     probed = probed_files(files).withColumnRenamed("measured", "duration")
@@ -152,17 +209,13 @@ def export_audio_files(wavs: DataFrame) -> None:
     The paths must be on a file system that all executors share; without a scheme they are on the
     cluster's default one. A retried task writes the same bytes again.
     """
-    default_fs = wavs.sparkSession.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
-
-    def write(rows):
-        made = set()
-        for row in rows:
-            opened, name = open_filesystem(row["audio_filepath"], default_fs)
-            folder = name.rsplit("/", 1)[0]
-            if folder not in made:
-                opened.create_dir(folder, recursive=True)
-                made.add(folder)
-            with opened.open_output_stream(name) as stream:
-                stream.write(row["wav"])
-
-    wavs.select("audio_filepath", "wav").foreachPartition(write)
+    default = default_fs(wavs.sparkSession)
+
+    def write(batches):
+        opened, made = file_opener(default), set()
+        for batch in batches:
+            for path, wav in zip(batch.column("audio_filepath").to_pylist(), batch.column("wav")):
+                _write_whole(opened, path, [wav.as_buffer()], made)
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    wavs.select("audio_filepath", "wav").mapInArrow(write, "n bigint").write.format("noop").mode("overwrite").save()

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from speechloom.functions.paths import name_audio_file
 from speechloom.operators.ladders import (
@@ -15,6 +16,7 @@ from speechloom.operators.ladders import (
 )
 from speechloom.operators.splits import split_summary
 from speechloom.operators.waveforms import encoded_wav, export_audio_files, resample_waveforms
+from speechloom.schema import WAVEFORM
 from speechloom.sources.datasets import first_n
 from speechloom.sources.manifests import write_manifest
 from speechloom.workspace import written_at
@@ -31,6 +33,11 @@ def explain_dataset(
     return df.withColumn("reason", skip_reason_dataset(df, shortest, longest, audio, text))
 
 
+def has_waveforms(df: DataFrame, audio: str = "audio") -> bool:
+    kind = df.schema[audio].dataType if audio in df.columns else None
+    return isinstance(kind, T.StructType) and "array" in kind.names
+
+
 def dataset_waveforms(
     explained: DataFrame,
     audio_dir: str,
@@ -42,14 +49,17 @@ def dataset_waveforms(
     """Rows at 16 kHz: ``row_idx, split, audio_filepath, text, duration, audio, reason``.
 
     Files are named after the source position, so skipped rows leave gaps. Waveforms of skipped
-    rows are dropped before any Python function sees them.
+    rows are dropped before any Python function sees them. Where the schema alone decides the
+    reason, because there is no waveform column, all rows come back without waveform.
     """
     spoken = manifest_text(guard_text(explained, text), language_tag=language_tag)
-    valid = explained.withColumn("_text", spoken).withColumn(
-        audio, F.when(F.col("reason").isNull(), F.col(audio))
-    )
+    valid = explained.withColumn("_text", spoken)
+    if has_waveforms(explained, audio):
+        waves = resample_waveforms(valid.withColumn(audio, F.when(F.col("reason").isNull(), F.col(audio))), audio)
+    else:
+        waves = valid.withColumn(audio, F.lit(None).cast(WAVEFORM)).withColumn("duration", F.lit(None).cast("double"))
     name = name_audio_file(F.col("row_idx"), F.col("split") if prefix_split else None)
-    return resample_waveforms(valid, audio).select(
+    return waves.select(
         "row_idx",
         "split",
         F.concat_ws("/", F.lit(audio_dir.rstrip("/")), "split", name).alias("audio_filepath"),

@@ -28,7 +28,7 @@ def evaluate_manifest(
     manifest: DataFrame,
     make_scorer: ScorerFactory,
     batch_size: int = 8,
-    strip_tag: bool = False,
+    strip_tag: bool | str = False,
     rows_per_task: int = 2000,
 ) -> tuple[DataFrame, DataFrame]:
     """One-row metrics and the samples, with ``row_idx`` if the manifest has it.

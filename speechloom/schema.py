@@ -13,11 +13,6 @@ WAVEFORM = T.StructType([
     T.StructField("sampling_rate", T.IntegerType()),
 ])
 
-AUDIO_FILES = T.StructType([
-    T.StructField("path", T.StringType()),
-    T.StructField("measured", T.DoubleType()),
-])
-
 ALIGNMENT = T.StructType([
     T.StructField("substitutions", T.LongType()),
     T.StructField("deletions", T.LongType()),
@@ -35,14 +30,7 @@ MERGES = T.StructType([
 
 TARGET_RATE = 16000
 
-# Skip reasons of the transcript-table ladder.
-LOCAL_REASONS = ("not_found", "read_error", "too_short", "too_long", "empty_text")
-
-# Skip reasons of the dataset ladder, long and compact form.
-DATASET_REASONS = (
-    "no_audio_col", "audio_not_dict", "no_array", "no_text", "empty_text",
-    "too_short", "too_long", "error",
-)
+# Skip reasons of the dataset ladder and their compact form.
 COMPACT_REASON = {
     "no_audio_col": "no_audio",
     "audio_not_dict": "no_audio",

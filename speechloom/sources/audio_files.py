@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from speechloom.functions.waveform import UnreadableAudio, wav_duration, wav_layout
+from speechloom.functions.paths import plain_path
+from speechloom.functions.waveform import audio_duration, wav_duration
 from speechloom.schema import AUDIO_EXTENSIONS
 
-# binaryFile holds a file in one value, which the JVM limits to 2 GB.
-MAX_CONTENT = 2**31 - 16
+# files that one task has open at a time
+OPEN_FILES = 8
 
 
 def union_extensions(extensions: tuple[str, ...] | list[str] = AUDIO_EXTENSIONS) -> str:
@@ -27,25 +32,45 @@ def scan_audio_dir(
     extensions: tuple[str, ...] | list[str] = AUDIO_EXTENSIONS,
     content: bool = False,
 ) -> DataFrame:
-    """``path, length`` of the audio files below ``path``; file bytes only on request."""
+    """``path, length`` of the audio files below ``path``, in the form that resolved transcript paths have.
+
+    File bytes come only on request: Spark holds each file in one value, so one of 2 GB or more ends
+    a job that asks for them. Durations and resampling don't need them.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", union_extensions(extensions))
         .load(path)
     )
-    plain = F.regexp_replace("path", "^file:(//)?(?=/)", "").alias("path")
+    plain = plain_path(F.col("path"), default_fs(spark)).alias("path")
     columns = [plain, "length"] + (["content"] if content else [])
     return files.select(*columns)
 
 
-def open_filesystem(path: str, default_fs: str = "file:///"):
-    """Arrow file system and name for a path or URI, for use inside tasks."""
+def default_fs(spark: SparkSession) -> str:
+    """The file system of paths without a scheme."""
+    return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+
+
+def file_opener(default: str = "file:///") -> Callable:
+    """For use inside a task: gives the Arrow file system and name of a path or URI, one client per system."""
     from pyarrow import fs
 
-    if "://" not in path and not default_fs.startswith("file:"):
-        path = default_fs.rstrip("/") + path
-    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
+    clients: dict[str, tuple] = {}
+
+    def opened(path: str):
+        if "://" not in path and not path.startswith("file:") and not default.startswith("file:"):
+            path = default.rstrip("/") + path
+        uri = re.match(r"([A-Za-z][A-Za-z0-9+.-]*://[^/]*)(/.*)", path, re.S)
+        root = uri.group(1) if uri and not path.startswith("file:") else ""
+        if root not in clients:
+            clients[root] = fs.FileSystem.from_uri(root + "/") if root else (fs.LocalFileSystem(), "")
+        client, base = clients[root]
+        # only the root is a URI: names may hold blanks and percent signs
+        return client, base.rstrip("/") + uri.group(2) if root else re.sub("^file:(//)?(?=/)", "", path)
+
+    return opened
 
 
 def sort_by_path(df: DataFrame) -> DataFrame:
@@ -72,31 +97,34 @@ def probe_wav_duration(content: Column) -> Column:
 
 
 def probed_files(files: DataFrame) -> DataFrame:
-    """``path, measured`` from a listing with contents. Oversized files count as unreadable."""
-    readable = F.when(F.col("length") <= MAX_CONTENT, F.col("content"))
-    return files.select("path", probe_wav_duration(readable).alias("measured"))
-
+    """``path, measured`` from a listing: seconds of WAV, FLAC and Ogg files of any size, else NULL.
 
-def probed_headers(files: DataFrame) -> DataFrame:
-    """``path, measured`` from a listing without contents.
-
-    Each task opens its files itself and reads only chunk headers, a few dozen bytes per file.
-    Needs a file system that the executors' Arrow library can open (local or mounted folders, and
-    hdfs, s3, gs with credentials in the environment). A file that vanished or cannot be opened
-    fails the job: it says nothing about the audio.
+    Each task opens its files itself, several at a time, and reads only their headers (of Ogg files
+    the last page, too). Needs a file system that the executors' Arrow library can open (local or
+    mounted folders, and hdfs, s3, gs with credentials in the environment). A file that vanished or
+    cannot be opened fails the job: it says nothing about the audio. Of a table that already has
+    ``content``, such as WAVs in Parquet, that is looked at instead.
     """
+    if "content" in files.columns:
+        return files.select("path", probe_wav_duration(F.col("content")).alias("measured"))
+    default = default_fs(files.sparkSession)
 
     def read(batches):
-        for batch in batches:
-            measured = []
-            for path, length in zip(batch["path"], batch["length"]):
-                opened, name = open_filesystem(path)
-                with opened.open_input_file(name) as stream:
-                    try:
-                        layout = wav_layout(stream, int(length))
-                        measured.append((layout["length"] // layout["block"]) / layout["rate"])
-                    except (UnreadableAudio, ValueError):
-                        measured.append(None)
-            yield pd.DataFrame({"path": batch["path"], "measured": pd.Series(measured, dtype="float64")})
+        opened = file_opener(default)
+
+        def seconds(path: str, length: int) -> float | None:
+            client, name = opened(path)
+            with client.open_input_file(name) as stream:
+                return audio_duration(stream, int(length))
+
+        with ThreadPoolExecutor(OPEN_FILES) as pool:
+            for batch in batches:
+                measured = list(pool.map(seconds, batch["path"], batch["length"]))
+                yield pd.DataFrame({"path": batch["path"], "measured": pd.Series(measured, dtype="float64")})
 
     return files.select("path", "length").mapInPandas(read, "path string, measured double")
+
+
+def probed_headers(files: DataFrame) -> DataFrame:
+    """``path, measured`` from a listing, never from contents."""
+    return probed_files(files.select("path", "length"))

@@ -7,6 +7,7 @@ import warnings
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def read_dataset_split(
@@ -30,5 +31,18 @@ def read_dataset_split(
 
 
 def first_n(df: DataFrame, n: int | None) -> DataFrame:
-    """First ``n`` source rows by position, before any filtering; 0 or None keeps all."""
-    return df.where(F.col("row_idx") < n) if n else df
+    """First ``n`` source rows of each split by position, before any filtering; 0 or None keeps all.
+
+    Positions need not start at 0 or be without gaps. Only ids are ranked, and each task passes on
+    ``n`` per split at most. In a stream, where rows can't be ranked, positions must count from 0 in
+    each split.
+    """
+    if not n:
+        return df
+    if df.isStreaming:
+        return df.where(F.col("row_idx") < n)
+    split = F.col("split") if "split" in df.columns else F.lit("")
+    ids = df.select(split.alias("_split"), F.col("row_idx").alias("_row"))
+    place = F.row_number().over(Window.partitionBy("_split").orderBy("_row"))
+    last = ids.withColumn("_place", place).where(F.col("_place") <= n).groupBy("_split").agg(F.max("_row").alias("_last"))
+    return df.join(last, split.eqNullSafe(F.col("_split"))).where(F.col("row_idx") <= F.col("_last")).select(*df.columns)

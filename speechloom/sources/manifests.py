@@ -12,15 +12,16 @@ from speechloom.schema import MANIFEST
 from speechloom.workspace import make_dir, path_exists
 
 
-def _required(name: str):
+def _given(name: str):
+    """True, or the end of the query. As a filter it is looked at whatever columns are asked for."""
     message = F.lit(f"manifest row without {name}")
-    return F.coalesce(F.col(name), F.raise_error(message).cast("string")).alias(name)
+    return F.when(F.col(name).isNotNull(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
 
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """JSON-lines manifest. Malformed rows and rows without path or text fail the query."""
     df = spark.read.schema(MANIFEST).option("mode", "FAILFAST").json(path)
-    return df.select(_required("audio_filepath"), _required("text"), "duration")
+    return df.where(_given("audio_filepath") & _given("text")).select("audio_filepath", "text", "duration")
 
 
 def write_manifest(

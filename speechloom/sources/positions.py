@@ -26,8 +26,9 @@ def with_row_idx(df: DataFrame) -> DataFrame:
     )
     sizes = staged.groupBy(*block).agg(F.count("*").alias("_n"), F.min("_place").alias("_first"))
     before = Window.orderBy(*block).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *block, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")
+    # one row per file block; written, so that Spark knows whether it is small enough to go to all rows
+    offsets = written(
+        sizes.select(*block, "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset")), "offsets"
     )
     row_idx = (F.col("_offset") + F.col("_place") - F.col("_first")).alias("row_idx")
     return staged.join(offsets, block).select(row_idx, *df.columns)

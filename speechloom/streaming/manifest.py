@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from speechloom.operators.ladders import to_manifest
 from speechloom.operators.splits import hash_split
+from speechloom.operators.waveforms import encoded_wav, export_audio_files
 from speechloom.plans.dataset_corpus import dataset_waveforms, explain_dataset
 from speechloom.sources.datasets import first_n
 
 
-def manifest_rows(
+def audio_rows(
     rows: DataFrame,
     audio_dir: str,
     val_fraction: float = 0.1,
@@ -23,27 +25,49 @@ def manifest_rows(
     text: str = "text",
     language_tag: str | None = None,
 ) -> DataFrame:
-    """Manifest rows of a batch or streaming dataset with ``row_idx``; each row on its own.
+    """Audio table of a batch or streaming dataset with ``row_idx``; each row on its own.
 
-    Without a ``split`` column, rows are split by hash.
+    ``row_idx, split, audio_filepath, text, duration, reason, wav``: every source row with its skip
+    reason, and a WAV for the valid ones. Without a ``split`` column, rows are split by hash.
     """
     rows = first_n(rows, max_samples)
     if "split" not in rows.columns:
         rows = hash_split(rows, val_fraction, seed)
     explained = explain_dataset(rows, shortest, longest, audio, text)
     waves = dataset_waveforms(explained, audio_dir, audio, text, language_tag)
-    return to_manifest(waves, "row_idx", "split")
+    return waves.select(
+        "row_idx", "split", "audio_filepath", "text", "duration", "reason", encoded_wav(F.col(audio)).alias("wav"))
 
 
-def stream_manifest(rows: DataFrame, out: str, checkpoint: str, audio_dir: str, **options) -> StreamingQuery:
-    """Run ``manifest_rows`` over what a streaming source holds now; a restart adds only new rows."""
+def manifest_rows(rows: DataFrame, audio_dir: str, **options) -> DataFrame:
+    """Manifest rows of a batch or streaming dataset with ``row_idx``."""
+    return to_manifest(audio_rows(rows, audio_dir, **options), "row_idx", "split")
+
+
+def stream_manifest(
+    rows: DataFrame, out: str, checkpoint: str, audio_dir: str, save_files: bool = False, **options
+) -> StreamingQuery:
+    """Audio table and manifest of what a streaming source holds now; a restart adds only new rows.
+
+    Each batch of the stream writes ``out/audio_table/batch=N``, and from that table its manifest
+    ``out/manifest/batch=N`` and, on request, single WAV files; a repeated batch replaces its own.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        table = f"{out}/audio_table/batch={number}"
+        batch.write.mode("overwrite").parquet(table)
+        kept = batch.sparkSession.read.schema(batch.schema).parquet(table)
+        if save_files:
+            export_audio_files(kept.where(F.col("reason").isNull()))
+        (
+            to_manifest(kept, "row_idx", "split").write.mode("overwrite").option("ignoreNullFields", False)
+            .partitionBy("split").json(f"{out}/manifest/batch={number}")
+        )
+
     return (
-        manifest_rows(rows, audio_dir, **options)
-        .writeStream.format("json")
-        .option("path", out)
+        audio_rows(rows, audio_dir, **options)
+        .writeStream.foreachBatch(store)
         .option("checkpointLocation", checkpoint)
-        .option("ignoreNullFields", False)
-        .partitionBy("split")
         .trigger(availableNow=True)
         .start()
     )

@@ -85,7 +85,7 @@ def test_encode_wav_clips():
 def test_resampling_keeps_a_sine(rate, target):
     x = sine(rate, 1.0, 440.0)
     n = resampled_length(len(x), rate, target)
-    assert n == int(len(x) * target / rate)
+    assert n == math.ceil(len(x) * target / rate)
     assert np.abs(fourier_resample(x, n) - sine(target, 1.0, 440.0)[:n]).max() < 1e-6
 
 
@@ -103,7 +103,7 @@ def test_resampling_equals_direct_transform():
             c = (x * np.exp(-2j * np.pi * k * np.arange(n_in) / n_in)).sum() / n_in
             y += weight * np.real(c * np.exp(2j * np.pi * k * t))
         assert np.abs(fourier_resample(x, n_out) - y).max() < 1e-9
-    assert resampled_length(3, 44100, 16000) == 1 and resampled_length(3, 44100, 16000, round_up=True) == 2
+    assert resampled_length(3, 44100, 16000) == 2 and resampled_length(3, 44100, 16000, round_up=False) == 1
 
 
 @pytest.fixture()
@@ -166,7 +166,8 @@ def test_prepare_local_corpus(spark, audio_dir, tmp_path):
     assert {(r["text"], r["duration"]) for r in both} == {("one", 1.0), ("three", 2.0)}
 
     resampled = tmp_path / "resampled"
-    done = prepare_local_corpus(transcripts, files, str(tmp_path / "out2"), base_dir=str(audio_dir), resample_dir=str(resampled), language_tag="en-US")
+    listed = scan_audio_dir(spark, str(audio_dir))
+    done = prepare_local_corpus(transcripts, listed, str(tmp_path / "out2"), base_dir=str(audio_dir), resample_dir=str(resampled), language_tag="en-US")
     assert {r["reason"]: r["n"] for r in done["skipped"].collect()} == {"too_short": 1, "read_error": 2, "empty_text": 1}
     rows = read_split(spark, str(tmp_path / "out2"), "train").collect()
     assert {r["text"] for r in rows} == {"One! <en-US>", "Three <en-US>"}
@@ -180,10 +181,15 @@ def test_prepare_local_corpus(spark, audio_dir, tmp_path):
 
 def test_resampled_targets_must_differ(spark, audio_dir, tmp_path):
     save_wav(audio_dir / "sub dir" / "a.wav", sine(8000, 1.0), 8000)
-    transcripts = spark.createDataFrame([(0, "a.wav", "x", "")], "row_idx bigint, audio string, text string, duration string")
-    files = scan_audio_dir(spark, str(audio_dir), content=True)
+    rows = [(0, "a.wav", "x", ""), (1, "sub dir/a.wav", "y", "")]
+    transcripts = spark.createDataFrame(rows, "row_idx bigint, audio string, text string, duration string")
+    files = scan_audio_dir(spark, str(audio_dir))
     with pytest.raises(ValueError, match="several files"):
         prepare_local_corpus(transcripts, files, str(tmp_path / "o"), working_dir=str(audio_dir), resample_dir=str(tmp_path / "r"))
+    # files that no transcript names neither clash nor are written
+    done = prepare_local_corpus(transcripts.where("row_idx = 0"), files, str(tmp_path / "o"), working_dir=str(audio_dir), resample_dir=str(tmp_path / "r"))
+    assert {r["split"]: r["entries"] for r in done["splits"].collect()} == {"train": 1}
+    assert [p.name for p in (tmp_path / "r").iterdir() if not p.name.startswith(".")] == ["a.wav"]
 
 
 @pytest.fixture()
@@ -222,19 +228,24 @@ def test_stream_equals_batch_and_restarts(spark, dataset, tmp_path, split_column
     folder = str(tmp_path / "source")
     source.write.parquet(folder)
     out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
-    options = dict(val_fraction=0.5, max_samples=6)
+    # a stream can only go by positions, which here count over both splits
+    options = dict(val_fraction=0.5, max_samples=6 + split_column)
 
     def run():
         rows = spark.readStream.schema(source.schema).parquet(folder)
         stream_manifest(rows, out, checkpoint, "/x", **options).awaitTermination()
         columns = "row_idx bigint, audio_filepath string, text string, duration double, split string"
-        return sorted(map(tuple, spark.read.schema(columns).json(out).select("row_idx", "split", "audio_filepath", "text", "duration").collect()))
+        table = spark.read.parquet(out + "/audio_table")
+        assert table.where("(reason is null) <> (wav is not null)").count() == 0
+        named = spark.read.schema(columns).json(out + "/manifest")
+        assert named.join(table.where("wav is not null"), "audio_filepath", "left_anti").count() == 0
+        return sorted(map(tuple, named.select("row_idx", "split", "audio_filepath", "text", "duration").collect()))
 
     def batch():
         return sorted(map(tuple, manifest_rows(spark.read.schema(source.schema).parquet(folder), "/x", **options).collect()))
 
     first = run()
-    assert first == batch() and len(first) == 3
+    assert first == batch() and len(first) == 3 + split_column
     assert run() == first  # nothing new to read
     source.where("row_idx = 0").withColumn("row_idx", F.lit(5).cast("bigint")).write.mode("append").parquet(folder)
-    assert run() == batch() and len(batch()) == 4
+    assert run() == batch() and len(batch()) == 4 + split_column

@@ -246,8 +246,9 @@ ORACLE = {
         FROM wave WHERE split = 'val'"""),
     "scan_audio_dir": _with(WAV_FILES, "SELECT path, CASE WHEN cut THEN 30 ELSE 44 + 2 * n END::BIGINT AS length FROM listed"),
     "write_manifest": _SPLIT_MANIFEST,
-    "write_report": _with(PAIRS, """SELECT count(*) AS num_samples, sum(length(array_to_string(r, ' ')))::BIGINT AS reference_chars,
-        part FROM pairs, (VALUES ('metrics'), ('samples')) t(part) GROUP BY part"""),
+    "write_report": _with(PAIRS + "," + _alignment("pairs"), f"""SELECT m.*, c.* FROM ({_RATES}) m, (
+        SELECT count(*) AS samples, sum(length(array_to_string(r, ' ')) + length(array_to_string(h, ' ')))::BIGINT AS chars
+        FROM pairs) c""", recursive=True),
     "write_corpus_text": _with(CORPUS, """SELECT line, count(*) AS n
         FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM corpus) GROUP BY line"""),
     "export_audio": _with(WAVE, """SELECT split || '_' || lpad(row_idx::VARCHAR, 8, '0') || '.wav' AS audio_filepath,
@@ -330,6 +331,15 @@ ORACLE = {
     "evaluate_manifest": _with(SPOKEN + "," + _alignment("spoken"), _RATES, recursive=True),
     "prepare_local_corpus": _with(EXPLAINED, f"""SELECT reason AS item, count(*) AS n FROM explained WHERE reason IS NOT NULL GROUP BY 1
         UNION ALL SELECT split, count(*) FROM {_split('valid', 0.1)} GROUP BY 1"""),
+    "prepare_local_manifest": _with(EXPLAINED, f"""SELECT audio_filepath, text, duration, split
+        FROM {_split('valid', 0.1)}"""),
+    "prepare_dataset_no_audio": _with(WAVE, """SELECT split || ':no_audio_col' AS item, count(*) AS n FROM wave GROUP BY split"""),
+    "prepare_dataset_plain_audio": _with(WAVE, """SELECT split || CASE WHEN has_audio THEN ':audio_not_dict' ELSE ':no_audio_col' END AS item,
+        count(*) AS n FROM wave GROUP BY 1"""),
+    "prepare_dataset_no_rate": _with(WAVE, f"""SELECT split || ':' || coalesce(
+            CASE WHEN NOT has_audio THEN 'no_audio_col' WHEN samples IS NULL THEN 'no_array' WHEN text = '' THEN 'no_text'
+            WHEN {_strip('text')} = '' THEN 'empty_text' END, round(len(samples) / 16000.0::DOUBLE, 3)::VARCHAR) AS item,
+        count(*) AS n FROM wave GROUP BY 1"""),
     "prepare_dataset_corpus": _with(WAVE_VALID, f"""SELECT '/out/audio/' || split || '/' || split || '_' || lpad(row_idx::VARCHAR, 8, '0') || '.wav' AS audio_filepath,
         {_strip('text')} || ' <hi-IN>' AS text, round(n_out / 16000.0::DOUBLE, 3) AS duration, split FROM valid_wave"""),
     "stream_manifest": _with(WAVE_VALID, f"""SELECT row_idx, '/out/audio/' || s || '/' || lpad(row_idx::VARCHAR, 8, '0') || '.wav' AS audio_filepath,

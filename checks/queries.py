@@ -32,7 +32,7 @@ from speechloom.sources import transcripts as delimited
 from speechloom.streaming.manifest import stream_manifest
 from speechloom.workspace import fresh_dir, written
 
-BPE_MERGES = 12
+BPE_MERGES = 64
 CHECKPOINTS = 5
 
 
@@ -180,17 +180,15 @@ def write_report(spark, sf_dir):
     pairs = S.spoken_pairs(spark, sf_dir).select(
         F.col("row_id").alias("audio_filepath"), "reference", "hypothesis", F.lit(None).cast("double").alias("duration")
     )
-    metrics = pairs.agg(F.count("*").alias("num_samples"), F.sum(F.length("reference")).alias("reference_chars"))
+    metrics = corpus_error_rates(pairs)
     manifests.write_report(metrics, pairs, out)
-    written_metrics = spark.read.option("multiLine", True).schema(
-        "num_samples bigint, reference_chars bigint"
-    ).json(f"{out}/metrics")
+    told = spark.read.option("multiLine", True).schema(metrics.schema).json(f"{out}/metrics")
     samples = spark.read.schema(pairs.schema).json(f"{out}/samples")
-    return written_metrics.withColumn("part", F.lit("metrics")).unionByName(
-        samples.agg(
-            F.count("*").alias("num_samples"), F.sum(F.length("reference")).alias("reference_chars")
-        ).withColumn("part", F.lit("samples"))
+    chars = samples.agg(
+        F.count("*").alias("samples"),
+        F.coalesce(F.sum(F.length("reference") + F.length("hypothesis")), F.lit(0)).alias("chars"),
     )
+    return told.crossJoin(chars)  # one row each
 
 
 def write_corpus_text(spark, sf_dir):
@@ -264,10 +262,14 @@ def resolve_audio_path(spark, sf_dir):
 
 
 def resampled_path(spark, sf_dir):
+    """The base is given in several forms."""
     given = F.concat(F.lit("/corpus/audio/"), "source", F.lit("/"), "lang", F.lit(".v1.flac"))
-    return S.table(spark, sf_dir, "documents").select(
-        "doc_id", paths.resampled_path(given, "/out/resampled", "/corpus/audio").alias("audio_filepath")
-    )
+    bases = ("/corpus/audio", "audio/", "file:///corpus/./x/../audio", "./audio/.")
+    form = F.lit(None).cast("string")
+    for i, base in enumerate(bases):
+        target = paths.resampled_path(given, "/out/resampled", base, "/corpus")
+        form = F.when(F.col("doc_id") % len(bases) == i, target).otherwise(form)
+    return S.table(spark, sf_dir, "documents").select("doc_id", form.alias("audio_filepath"))
 
 
 def name_audio_file(spark, sf_dir):
@@ -541,6 +543,39 @@ def prepare_local(spark, sf_dir):
     return skipped.unionByName(done["splits"].select(F.col("split").alias("item"), F.col("entries").alias("n")))
 
 
+def local_manifest(spark, sf_dir):
+    """The rows that the whole job writes, not only their number."""
+    out = fresh_dir(spark, "corpus")
+    prepare_local_corpus(
+        S.transcripts(spark, sf_dir), S.audio_files(spark, sf_dir), out,
+        base_dir=S.BASE_DIR, shortest=S.SHORTEST, longest=S.LONGEST, normalize=True,
+    )
+    return manifests.union_splits({s: manifests.read_split(spark, out, s).drop("split") for s in ("train", "val")})
+
+
+def _prepared(spark, sf_dir, waves, **options):
+    """Counters and manifest rows of a dataset job, as ``item, n``."""
+    out = fresh_dir(spark, "corpus")
+    done = prepare_dataset_corpus(waves, out, **options)
+    skipped = done["skipped"].select(F.concat_ws(":", "split", "reason").alias("item"), "n")
+    rows = {s: manifests.read_manifest(spark, manifests.split_path(f"{out}/manifests", s)) for s in ("train", "val")}
+    told = manifests.union_splits(rows).groupBy(F.concat_ws(":", "split", "duration").alias("item")).agg(F.count("*").alias("n"))
+    return skipped.unionByName(told)
+
+
+def prepare_dataset_no_audio(spark, sf_dir):
+    return _prepared(spark, sf_dir, S.waveforms(spark, sf_dir).drop("audio"))
+
+
+def prepare_dataset_plain_audio(spark, sf_dir):
+    return _prepared(spark, sf_dir, S.waveforms(spark, sf_dir).withColumn("audio", F.col("audio").cast("string")))
+
+
+def prepare_dataset_no_rate(spark, sf_dir):
+    array = F.when(F.col("audio").isNotNull(), F.struct(F.col("audio.array").alias("array")))
+    return _prepared(spark, sf_dir, S.waveforms(spark, sf_dir).withColumn("audio", array), shortest=0.001)
+
+
 def prepare_dataset(spark, sf_dir):
     out = fresh_dir(spark, "corpus")
     prepare_dataset_corpus(S.waveforms(spark, sf_dir), out, audio_dir="/out/audio", language_tag="hi-IN", prefix_split=True)
@@ -627,6 +662,10 @@ QUERIES = {
     "transcribe_directory": transcribe_directory_query,
     "evaluate_manifest": evaluate_manifest_query,
     "prepare_local_corpus": prepare_local,
+    "prepare_local_manifest": local_manifest,
     "prepare_dataset_corpus": prepare_dataset,
+    "prepare_dataset_no_audio": prepare_dataset_no_audio,
+    "prepare_dataset_plain_audio": prepare_dataset_plain_audio,
+    "prepare_dataset_no_rate": prepare_dataset_no_rate,
     "stream_manifest": stream_manifest_query,
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -134,11 +137,12 @@ def train_bpe(
     """Learn byte-pair merges from a word-frequency table until there are ``merges`` pieces.
 
     Returns rank, left, right, piece and count per merge; ties go to the smaller left, then right.
-    Each round counts pairs over the distinct words, brings the most frequent ones to the driver,
-    and applies every merge that is certain to come next. Words that are down to one symbol leave
-    the table. The word table is written to the shared folder every ``table_every`` rounds, or
-    sooner after many merges, to cut its lineage and keep the generated code small. ``frequencies``
-    is read several times, so it should be a stored table.
+    Pairs are counted over all distinct words once. Each round brings the most frequent ones to the
+    driver and applies every merge that is certain to come next; only words that hold a merged pair
+    are then counted again, before and after, and the difference is added to the table of counts.
+    Words that are down to one symbol leave the table. The word table is written to the shared folder
+    every ``table_every`` rounds, or sooner after many merges, to cut its lineage and keep the
+    generated code small. ``frequencies`` is read several times, so it should be a stored table.
     """
     spark = frequencies.sparkSession
     # words are short but cost many pairs each, so partitions are sized by words, not by bytes
@@ -152,16 +156,16 @@ def train_bpe(
 
     table = fresh_dir(spark, "bpe")
     current = stored(framed_words(frequencies, uncovered).repartition(slices, "symbols"), table)
+    counted = fresh_dir(spark, "pairs")
+    counts = written_at(pair_counts(current), counted)
     known: set[str] = set()
     learned: list[tuple[int, str, str, str, int]] = []
     rounds = pending = 0
     while len(known) < merges:
         top = [
             (r["n"], r["left"], r["right"])
-            for r in pair_counts(current)
-            .orderBy(F.col("n").desc(), "left", "right")
-            .limit(CANDIDATES)
-            .collect()
+            for r in counts.orderBy(F.col("n").desc(), "left", "right")
+            .limit(CANDIDATES).collect()
         ]
         room = min(PENDING, merges - len(known))
         batch = independent_merges(top, len(top) < CANDIDATES, known, room)
@@ -171,6 +175,14 @@ def train_bpe(
         for count, left, right in batch:
             learned.append((len(learned), left, right, left + right, count))
             symbols = F.replace(symbols, F.lit(_frame(left) + _frame(right)), F.lit(_frame(left + right)))
+        holds = reduce(or_, [F.instr("symbols", _frame(left) + _frame(right)) > 0 for _, left, right in batch])
+        touched = current.where(holds)
+        change = pair_counts(touched.select(symbols.alias("symbols"), "n")).unionByName(
+            pair_counts(touched).withColumn("n", -F.col("n")))
+        older, counted = counted, fresh_dir(spark, "pairs")
+        counts = written_at(
+            counts.unionByName(change).groupBy("left", "right").agg(F.sum("n").alias("n")).where("n > 0"), counted)
+        discard(spark, older)
         current = current.select(symbols.alias("symbols"), "n")
         rounds += 1
         pending += len(batch)
@@ -180,6 +192,7 @@ def train_bpe(
             current = stored(current, table)
             discard(spark, older)
     discard(spark, table)
+    discard(spark, counted)
     return learned
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from speechloom.workspace import written
+from speechloom.workspace import discard, fresh_dir, written_at
 
 SLICE_BYTES = 4 << 20
 
@@ -22,12 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settled(df: DataFrame, purpose: str) -> DataFrame:
+def settled(df: DataFrame, purpose: str, done: tuple[DataFrame, ...] = ()) -> DataFrame:
     """``df`` written to the shared folder; shuffle files of jobs that are over may then go.
 
     Spark removes them once the driver's JVM has noticed that nothing refers to them any more.
+    ``done`` names settled tables that nothing reads from now on; they are removed.
     """
-    out = written(df, purpose)
+    path = fresh_dir(df.sparkSession, purpose)
+    out = written_at(df, path)
+    out._settled = path
+    for table_ in done:
+        discard(df.sparkSession, table_._settled)
     gc.collect()
     df.sparkSession.sparkContext._jvm.System.gc()
     return out

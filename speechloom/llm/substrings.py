@@ -165,8 +165,9 @@ def compacted(edges: DataFrame) -> DataFrame:
     goes_on = F.coalesce("plain", F.lit(False)) & (F.lag("first_start").over(along) == F.col("first_start") - 1)
     heads = joined.withColumn("head", F.when(~F.coalesce(goes_on, F.lit(False)), F.col("first_start")))
     upto = along.rowsBetween(Window.unboundedPreceding, 0)
-    return heads.select(
+    paths = heads.select(
         "u", "v", "first_doc", "first_start", F.last("head", ignorenulls=True).over(upto).alias("path_start"))
+    return settled(paths, "paths", (repeated, plain))
 
 
 def repeated_spans(edges: DataFrame, span: int = SPAN) -> DataFrame:
@@ -174,20 +175,20 @@ def repeated_spans(edges: DataFrame, span: int = SPAN) -> DataFrame:
 
     Every span equals the words at its source coordinate, which come earlier.
     """
-    lead = edges.filter("own_first is null")
-    paths = settled(compacted(lead), "paths")
-    place = ["doc_id", "variant", "start"]
-    later = lead.join(paths, ["u", "v"]).filter("doc_id <> first_doc").select(
-        *place, "first_doc", "first_start", "path_start")
-    again = edges.filter("own_first is not null").select(
-        *place, F.col("doc_id").alias("first_doc"), F.col("own_first").alias("first_start"), F.lit(-1).alias("path_start"))
+    paths = compacted(edges.filter("own_first is null"))
+    again = F.col("own_first").isNotNull()
+    later = edges.join(paths, ["u", "v"], "left").filter(again | (F.col("doc_id") != F.col("first_doc"))).select(
+        "doc_id", "variant", "start",
+        F.when(again, F.col("doc_id")).otherwise(F.col("first_doc")).alias("first_doc"),
+        F.when(again, F.col("own_first")).otherwise(F.col("first_start")).alias("first_start"),
+        F.when(again, -1).otherwise(F.col("path_start")).alias("path_start"))
     # along a document, a span goes on while its source does: same document, same path, next word
     along = Window.partitionBy("doc_id", "variant").orderBy("start")
     goes_on = F.lit(True)
     for name, step in (("start", 1), ("first_start", 1), ("first_doc", 0), ("path_start", 0)):
         goes_on = goes_on & (F.col(name) == F.lag(name).over(along) + step)
     island = F.sum("head").over(along.rowsBetween(Window.unboundedPreceding, 0))
-    traced = later.unionByName(again).withColumn(
+    traced = later.withColumn(
         "head", F.when(goes_on, 0).otherwise(1)).withColumn("island", island)
     return traced.groupBy("doc_id", "variant", "island").agg(
         F.min("start").alias("start"), (F.count("*") + span - 1).alias("length"),
@@ -244,7 +245,7 @@ def remove_repeats(docs: DataFrame, *, span: int = SPAN, seed_words: int = SEED_
     marked = settled(
         whole.join(first, ["k1", "k2"], "left").select(
             "doc_id", "k1", "k2", "n_words", "sha", F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False)).alias("copy")),
-        "marked")
+        "marked", (whole, first))
     seeds = _minimizers(docs, span, seed_words)
     repeated = settled(
         seeds.groupBy("seed").agg(F.count("*").alias("n")).filter("n > 1").select("seed"), "seeds")
@@ -252,9 +253,11 @@ def remove_repeats(docs: DataFrame, *, span: int = SPAN, seed_words: int = SEED_
     named = marked.filter("doc_id is not null").groupBy("doc_id").agg(
         F.collect_set("k1").alias("texts"), F.min("copy").alias("copies")).filter("not copies").drop("copies")
     hits = seeds.join(repeated, "seed", "left_semi").groupBy("doc_id").agg(F.collect_set("seed").alias("seeds"))
-    hits = settled(hits.join(named, "doc_id").withColumn("texts", F.when(F.size("texts") > 1, F.col("texts"))), "hits")
-    texts = settled(_slim(docs).join(hits, "doc_id"), "texts")
-    edges = settled(_edges(texts, span, seed_words), "edges")
+    hits = settled(hits.join(named, "doc_id").withColumn("texts", F.when(F.size("texts") > 1, F.col("texts"))), "hits",
+                   (repeated,))
+    texts = settled(_slim(docs).join(hits, "doc_id"), "texts", (hits,))
+    # worked out twice from the texts, which takes less than keeping them
+    edges = _edges(texts, span, seed_words)
     spans = settled(repeated_spans(edges, span).groupBy("doc_id", "variant").agg(
         F.collect_list(F.struct("start", "length")).alias("spans")), "spans")
     changed = _kept(texts.drop("seeds").join(spans, "doc_id")).dropDuplicates(["doc_id", "k1", "k2"])

@@ -29,6 +29,17 @@ def _wav_name(x: str) -> str:
     return f"'audio/' || lpad({x}::VARCHAR, 8, '0') || '.wav'"
 
 
+def _pcm_list(samples: str, x: str) -> str:
+    """16-bit samples: the upper half of 32-bit ones."""
+    wide = f"least(greatest(round_even({x} * 2147483647, 0), -2147483648), 2147483647)"
+    return f"list_transform({samples}, lambda x: floor({wide} / 65536)::BIGINT)"
+
+
+def _hex(pcm: str) -> str:
+    digits = "printf('%02X%02X', v & 255, (v >> 8) & 255)"
+    return f"array_to_string(list_transform({pcm}, lambda v: {digits}), '')"
+
+
 UTT = f"""
 utt AS (
   SELECT doc_id AS row_idx,
@@ -107,7 +118,7 @@ wav_files AS (
   SELECT vec_id, 'part' || (vec_id % 3) || '/' || lpad(vec_id::VARCHAR, 8, '0')
       || CASE vec_id % 7 WHEN 0 THEN '.WAV' WHEN 1 THEN '.txt' ELSE '.wav' END AS path,
     CASE vec_id % 4 WHEN 0 THEN 8000 WHEN 1 THEN 2 WHEN 2 THEN 100 ELSE 16000 END AS rate,
-    vec_id % 13 = 0 AS cut, len(embedding) AS n
+    vec_id % 13 = 0 AS cut, len(embedding) AS n, embedding AS samples
   FROM embeddings),
 listed AS (SELECT * FROM wav_files WHERE vec_id % 7 <> 1)
 """
@@ -251,8 +262,9 @@ ORACLE = {
         FROM pairs) c""", recursive=True),
     "write_corpus_text": _with(CORPUS, """SELECT line, count(*) AS n
         FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM corpus) GROUP BY line"""),
-    "export_audio": _with(WAVE, """SELECT split || '_' || lpad(row_idx::VARCHAR, 8, '0') || '.wav' AS audio_filepath,
-        (44 + 2 * len(samples))::BIGINT AS n_bytes, len(samples)::DOUBLE / rate AS measured
+    "export_audio": _with(WAVE, f"""SELECT split || '_' || lpad(row_idx::VARCHAR, 8, '0') || '.wav' AS audio_filepath,
+        (44 + 2 * len(samples))::BIGINT AS n_bytes, len(samples)::DOUBLE / rate AS measured,
+        {_hex(_pcm_list('samples', 'x::DOUBLE'))} AS pcm
         FROM wave WHERE has_audio AND samples IS NOT NULL AND rate IS NOT NULL"""),
     "reuse_or_build": _SPLIT_MANIFEST,
     "read_local_manifests": _with(EXPLAINED, f"SELECT split, count(*) AS n FROM {_split('valid', 0.1)} GROUP BY split"),
@@ -314,8 +326,9 @@ ORACLE = {
     "union_splits": _with(WAVE, "SELECT row_idx, text, split FROM wave"),
     "resample_waveforms": _with(WAVE_VALID, """SELECT row_idx, n_out::INT AS n_samples,
         round(list_sum(samples::DOUBLE[]) / len(samples), 4) AS level, n_out / 16000.0::DOUBLE AS duration FROM valid_wave"""),
-    "resample_files": _with(WAV_FILES, """SELECT path, CASE WHEN NOT cut THEN k / 16000.0::DOUBLE END AS measured,
-        CASE WHEN NOT cut THEN 44 + 2 * k END::BIGINT AS n_bytes
+    "resample_files": _with(WAV_FILES, f"""SELECT path, CASE WHEN NOT cut THEN k / 16000.0::DOUBLE END AS measured,
+        CASE WHEN NOT cut THEN 44 + 2 * k END::BIGINT AS n_bytes,
+        CASE WHEN NOT cut AND rate = 16000 THEN {_hex(_pcm_list(_pcm_list('samples', 'x::DOUBLE'), 'x / 32768.0::DOUBLE'))} END AS pcm
         FROM (SELECT *, ceil(n * 16000::DOUBLE / rate)::BIGINT AS k FROM wav_files)"""),
     "validate_audio_table": _with(WAV_FILES, """SELECT path, coalesce(d BETWEEN 0.1 AND 20, false) AS ok, d AS duration,
         CASE WHEN d IS NULL THEN 'read_error' WHEN d < 0.1 THEN 'too_short' WHEN d > 20 THEN 'too_long' END AS reason

@@ -197,6 +197,11 @@ def write_corpus_text(spark, sf_dir):
     return spark.read.text(out).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("n"))
 
 
+def _pcm(wav):
+    """The samples of a WAV file with the usual header, as hexadecimal digits."""
+    return F.hex(F.substr(wav, F.lit(45), F.octet_length(wav)))
+
+
 def export_audio_query(spark, sf_dir):
     out = fresh_dir(spark, "audio-table")
     waves = S.waveforms(spark, sf_dir).where("audio.array IS NOT NULL AND audio.sampling_rate IS NOT NULL")
@@ -206,6 +211,7 @@ def export_audio_query(spark, sf_dir):
         "audio_filepath",
         F.octet_length("wav").cast("bigint").alias("n_bytes"),
         audio_files.probe_wav_duration(F.col("wav")).alias("measured"),
+        _pcm(F.col("wav")).alias("pcm"),
     )
 
 
@@ -463,8 +469,14 @@ def resample_waveforms_query(spark, sf_dir):
 
 
 def resample_files_query(spark, sf_dir):
-    done = resample_files(S.wav_files(spark, sf_dir))
-    return done.select("path", "measured", F.octet_length("wav").cast("bigint").alias("n_bytes"))
+    """Of files that are at 16 kHz, the samples too: decoded and encoded again."""
+    files = S.wav_files(spark, sf_dir)
+    done = resample_files(files).join(files.select("path", F.substr("content", F.lit(25), F.lit(4)).alias("rate")), "path")
+    same = F.col("rate") == F.lit(bytearray((16000).to_bytes(4, "little")))
+    return done.select(
+        "path", "measured", F.octet_length("wav").cast("bigint").alias("n_bytes"),
+        F.when(same, _pcm(F.col("wav"))).alias("pcm"),
+    )
 
 
 def validate_audio_table_query(spark, sf_dir):

@@ -23,19 +23,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def settled(df: DataFrame, purpose: str, done: tuple[DataFrame, ...] = ()) -> DataFrame:
-    """``df`` written to the shared folder; shuffle files of jobs that are over may then go.
+    """``df`` written to the shared folder; what only served to make it is let go.
 
-    Spark removes them once the driver's JVM has noticed that nothing refers to them any more.
-    ``done`` names settled tables that nothing reads from now on; they are removed.
+    ``done`` names settled tables that nothing reads from now on.
     """
     path = fresh_dir(df.sparkSession, purpose)
     out = written_at(df, path)
     out._settled = path
+    let_go(df.sparkSession, done)
+    return out
+
+
+def let_go(spark: SparkSession, done: tuple[DataFrame, ...] = ()) -> None:
+    """Remove settled tables that nothing reads any more, and shuffle files of jobs that are over.
+
+    Spark removes the latter once the driver's JVM has noticed that nothing refers to them.
+    """
     for table_ in done:
-        discard(df.sparkSession, table_._settled)
+        discard(spark, table_._settled)
     gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return out
+    spark.sparkContext._jvm.System.gc()
 
 
 def process_cache(key: str, build: Callable):

@@ -15,8 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from speechloom.llm.common import slices
-from speechloom.workspace import written
+from speechloom.llm.common import let_go, settled, slices
 
 CHUNK_BYTES = 32_768
 LEAST_REVISIT = 100
@@ -83,7 +82,7 @@ def revisits(chunks: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         F.col("chunk").alias("n_chunks"))
     # payloads may be equal in a third of all rows: minima on the way, then a join that Spark can split
     order = F.struct(F.col("page_id").isNull().alias("x"), "page_id", "record_id")
-    first = written(
+    first = settled(
         finals.filter(F.col("bytes") >= least).groupBy("digest").agg(
             F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
         .select("digest", F.col("first.record_id").alias("first")), "first")
@@ -98,8 +97,8 @@ def _line(name: str, value: F.Column) -> F.Column:
 
 def write_warc(pages: DataFrame, path: str, *, most: int = CHUNK_BYTES, least: int = LEAST_REVISIT) -> None:
     """Write a record per row to gzip archives in ``path``; equal payloads of ``least`` bytes are kept once."""
-    chunks = written(chunk_table(pages, most), "chunks")
-    marks = written(revisits(chunks, least), "marks")
+    chunks = settled(chunk_table(pages, most), "chunks")
+    marks = settled(revisits(chunks, least), "marks")
     rows = chunks.join(marks, "record_id").filter(F.col("refers").isNull() | (F.col("chunk") == 1))
     again = F.col("refers").isNotNull()
     data = F.when(again, "").otherwise(F.col("data"))
@@ -127,6 +126,7 @@ def write_warc(pages: DataFrame, path: str, *, most: int = CHUNK_BYTES, least: i
     # the writer ends each row with the second line break of the record
     rows.sortWithinPartitions("record_id", "chunk").select(value.alias("value")).write.option(
         "lineSep", CRLF).option("compression", "gzip").text(path)
+    let_go(pages.sparkSession, (chunks, marks))
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
@@ -216,7 +216,7 @@ def payloads(spark: SparkSession, path: str) -> DataFrame:
     Lengths and digests are of the full payload; a revisit has those of the response it names. A
     payload whose digest is not the one in its header ends the job.
     """
-    records = written(read_records(read_segments(spark, path)), "records")
+    records = settled(read_records(read_segments(spark, path)), "records")
     good = F.when(F.col("payload_digest") == F.col("told_digest"), F.col("payload_digest")).otherwise(
         F.raise_error(F.concat(F.lit("wrong digest: "), F.col("record_id"))))
     whole = records.filter("type = 'response'").select(

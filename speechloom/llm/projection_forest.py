@@ -19,7 +19,7 @@ from speechloom.workspace import written
 COSINE = 0.9
 TREES = 4
 LEAF_ROWS = 768
-BLOCK_ROWS = 8192
+BLOCK_ROWS = 2048
 SAMPLE = 32_768
 LEAST_SAMPLE = 16
 SPILL = 0.4

@@ -22,13 +22,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def settled(df: DataFrame, purpose: str, done: tuple[DataFrame, ...] = ()) -> DataFrame:
+def settled(df: DataFrame, purpose: str, done: tuple[DataFrame, ...] = (), codec: str | None = None) -> DataFrame:
     """``df`` written to the shared folder; what only served to make it is let go.
 
     ``done`` names settled tables that nothing reads from now on.
     """
     path = fresh_dir(df.sparkSession, purpose)
-    out = written_at(df, path)
+    if codec:
+        df.write.option("compression", codec).parquet(path)
+        out = df.sparkSession.read.schema(df.schema).parquet(path)
+    else:
+        out = written_at(df, path)
     out._settled = path
     let_go(df.sparkSession, done)
     return out

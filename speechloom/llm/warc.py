@@ -97,7 +97,7 @@ def _line(name: str, value: F.Column) -> F.Column:
 
 def write_warc(pages: DataFrame, path: str, *, most: int = CHUNK_BYTES, least: int = LEAST_REVISIT) -> None:
     """Write a record per row to gzip archives in ``path``; equal payloads of ``least`` bytes are kept once."""
-    chunks = settled(chunk_table(pages, most), "chunks")
+    chunks = settled(chunk_table(pages, most), "chunks", codec="zstd")
     marks = settled(revisits(chunks, least), "marks")
     rows = chunks.join(marks, "record_id").filter(F.col("refers").isNull() | (F.col("chunk") == 1))
     again = F.col("refers").isNotNull()

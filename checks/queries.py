@@ -27,12 +27,13 @@ from speechloom.operators.waveforms import (
 from speechloom.plans.dataset_corpus import explain_dataset, prepare_dataset_corpus
 from speechloom.plans.evaluation import evaluate_manifest, transcribe_directory
 from speechloom.plans.local_corpus import explain_transcripts, prepare_local_corpus
+from speechloom.plans.tokenizer import train_tokenizer
 from speechloom.sources import audio_files, datasets, manifests, positions
 from speechloom.sources import transcripts as delimited
 from speechloom.streaming.manifest import stream_manifest
 from speechloom.workspace import fresh_dir, written
 
-BPE_MERGES = 64
+BPE_MERGES = 64  # of the two queries that SQL checks; those of the whole training are in WITHOUT_SQL
 CHECKPOINTS = 5
 
 
@@ -497,6 +498,15 @@ def vocabulary_query(spark, sf_dir):
     return vocabulary.vocabulary(spark, learned, vocabulary.char_coverage(frequencies))
 
 
+def tokenizer_merges(spark, sf_dir):
+    """All merges of the whole training, up to a vocabulary of 1,024."""
+    return train_tokenizer(S.transcripts(spark, sf_dir))[0]
+
+
+def tokenizer_vocabulary(spark, sf_dir):
+    return train_tokenizer(S.transcripts(spark, sf_dir))[1]
+
+
 # scoring
 
 
@@ -681,3 +691,9 @@ QUERIES = {
     "prepare_dataset_no_rate": prepare_dataset_no_rate,
     "stream_manifest": stream_manifest_query,
 }
+
+# SQL is too slow for these; tests hold them against plain training
+WITHOUT_SQL = {
+    "tokenizer_merges": tokenizer_merges,
+    "tokenizer_vocabulary": tokenizer_vocabulary,
+}

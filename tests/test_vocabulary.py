@@ -4,8 +4,10 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from speechloom.operators import vocabulary as V
 from speechloom.plans.tokenizer import train_tokenizer
+from speechloom.schema import CONTROL_PIECES
 
 
 def merge_word(symbols, left, right):
@@ -115,3 +117,24 @@ def test_train_tokenizer(spark):
         train_tokenizer(df.where("false"))
     with pytest.raises(ValueError, match="too small"):
         train_tokenizer(df, vocab_size=6)
+
+
+def test_registered_training_is_whole(spark, monkeypatch):
+    """Both outputs at a vocabulary of 1,024, against one merge per full recount."""
+    words = {w: n for w, n in random_words(6, "abcdefghijklmnopqrstuvwxyz", 60).items() if n < 40}
+    text = [(" ".join([w[1:]] * n),) for w, n in words.items()]
+    df = spark.createDataFrame(text, "text string")
+    monkeypatch.setattr("checks.queries.S.transcripts", lambda spark, sf_dir: df)
+    chars = Counter()
+    for w, n in words.items():
+        for c in w:
+            chars[c] += n
+    room = 1024 - len(CONTROL_PIECES) - len(chars)
+    wanted = one_at_a_time(words, room, set(chars))
+    assert len(wanted) > 64
+    merges = entry.queries()["tokenizer_merges"](spark, "").orderBy("rank").collect()
+    assert [(r["left"], r["right"], r["n"]) for r in merges] == wanted
+    rows = entry.queries()["tokenizer_vocabulary"](spark, "").orderBy("id").collect()
+    pieces = list(dict.fromkeys(a + b for a, b, _ in wanted))
+    tail = sorted(chars, key=lambda c: (-chars[c], c))
+    assert [r["piece"] for r in rows] == [*CONTROL_PIECES, *pieces, *tail]

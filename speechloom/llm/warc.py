@@ -3,7 +3,8 @@
 A payload is streamed as rows of record identifier and chunk number, each with the digest of all
 bytes so far. Chunks become WARC segments: the first is the record, the others are continuations.
 Spark's text writer and reader carry the archives, so any file system that Spark knows will do. No
-chunk holds the line that begins a record, so that line safely separates records on reading.
+chunk holds the line that begins a record or ends in that line without its break, which the writer
+would add; so that line safely separates records on reading.
 """
 
 from __future__ import annotations
@@ -29,8 +30,11 @@ CHUNKS = ("record_id string, page_id bigint, url string, chunk int, data string,
 
 
 def chunk_ends(payload: memoryview, most: int) -> list[int]:
-    """Where chunks of at most ``most`` bytes end: between characters, and inside every separator."""
-    mark = SEPARATOR.encode()
+    """Where chunks of at most ``most`` bytes end: between characters, and inside every separator.
+
+    No chunk ends in a separator without its line break, because a line break follows each chunk.
+    """
+    mark, version = SEPARATOR.encode(), VERSION.encode()
     whole = payload.obj
     forced, at = [], whole.find(mark)
     while at >= 0:
@@ -44,6 +48,8 @@ def chunk_ends(payload: memoryview, most: int) -> list[int]:
         if f < len(forced) and forced[f] <= end:
             end = forced[f]
             f += 1
+        elif end - at >= len(version) and payload[end - len(version):end] == version:
+            end -= len(version) - 4
         out.append(end)
         at = end
     return out or [0]

@@ -219,6 +219,22 @@ def test_round_trip(spark, tmp_path, most):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("most", [8, 20, 32_768])
+def test_payloads_and_chunks_that_end_like_a_separator(spark, tmp_path, most):
+    version = "WARC/1.0"
+    htmls = [version, "x" + version, version * 5, version + "\r\n" + version, version[:-1], "é" * 6 + version + "tail", "\r\n" + version]
+    if most > 100:
+        htmls += ["y" * (most - 8) + version + "\r\nmore", "z" * (most - 8) + version + "more"]
+    for html in htmls:
+        raw = html.encode()
+        ends = warc.chunk_ends(memoryview(raw), most)
+        assert ends[-1] == len(raw) and ends == sorted(set(ends))
+        assert all((raw[a:b] + b"\r\n").find(b"WARC/1.0\r\n") < 0 for a, b in zip([0, *ends], ends))
+    rows = [(i, f"http://a/{i}", html) for i, html in enumerate(htmls, 1)]
+    got = {r.page_id: (r.payload_bytes, r.payload_digest) for r in warc.payloads(spark, archive(spark, tmp_path, rows, most=most)).collect()}
+    assert got == {i: (len(h.encode()), hashlib.sha256(h.encode()).hexdigest()) for i, _, h in rows}
+
+
 def test_repeated_rows_and_urls(spark, tmp_path):
     rows = [(1, "http://a/\r\nb", "p" * 120)] * 3
     path = archive(spark, tmp_path, rows)

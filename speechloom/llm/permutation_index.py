@@ -3,7 +3,9 @@
 A vector is represented by the order of its nearest pivots. Each shard of the table posts its
 vectors in inverted files, one per pivot, holding the pivot's place in their order. A query reads
 the files of its own nearest pivots, ranks what it meets by the footrule distance between the two
-orders, and the best are ranked anew by their inner product.
+orders, and the best are ranked anew by their inner product. One more component, which raises vectors
+to a common length and is 0 in queries, makes the angle follow the inner product; the longest vectors
+of each shard, which it can't raise, are always ranked.
 """
 
 from __future__ import annotations
@@ -20,6 +22,7 @@ from speechloom.workspace import written
 PIVOTS = 256
 PREFIX = 64
 SHARE = 0.15
+LONGEST = 0.05
 SHARD_ROWS = 8192
 BLOCK_ROWS = 2048
 FOUND = "query_id bigint, vec_id bigint, score double"
@@ -30,6 +33,16 @@ def orders(x: np.ndarray, pivots: np.ndarray, prefix: int) -> np.ndarray:
     return np.argsort(-(unit(x) @ pivots.T), axis=1, kind="stable")[:, :prefix]
 
 
+def lengths(x: np.ndarray) -> np.ndarray:
+    top = np.abs(x).max(axis=1)
+    return top * np.sqrt(((x / top[:, None]) ** 2).sum(axis=1))
+
+
+def raised(x: np.ndarray, length: float) -> np.ndarray:
+    """``x`` with one more component that gives rows of at most ``length`` just that length."""
+    return np.column_stack([x, length * np.sqrt(np.maximum(1 - (lengths(x) / length) ** 2, 0))])
+
+
 class Index:
     """Inverted files of one shard: for each pivot the rows that have it in their order, and its place there."""
 
@@ -59,7 +72,8 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, n_pivots: int =
     """``query_id, rank, vec_id, score``: the ``k`` largest inner products found for every ``every``-th id.
 
     Queries are the rows whose vec_id ``every`` divides; candidates are all other rows. ``share`` of each
-    shard's rows, nearest by footrule, are ranked by inner product, or 50 ``k`` if that is more. Ties
+    shard's rows, nearest by footrule, are ranked by inner product, or 50 ``k`` if that is more, and
+    with them the longest rows (``LONGEST``). Ties
     go to the smaller id. Unusable vectors take no part, nor do vectors of another than the commonest
     number of components or without id; of repeated ids one counts; an empty table gives no rows.
     """
@@ -71,7 +85,9 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, n_pivots: int =
     n, m = known.count(), asked.count()
     if not n or not m:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    pivots = unit(sample(known, 4 * n_pivots)[:n_pivots])  # bounded: at most n_pivots vectors
+    some = sample(known, 4 * n_pivots)  # bounded: at most 4 n_pivots vectors
+    length = float(np.quantile(lengths(some), 1 - LONGEST))
+    pivots = unit(raised(some[:n_pivots], length))
     prefix = min(prefix, len(pivots))
     shards, blocks = -(-n // SHARD_ROWS), -(-m // BLOCK_ROWS)
 
@@ -93,10 +109,13 @@ def nearest(vectors: DataFrame, *, k: int = 20, every: int = 20, n_pivots: int =
         if table.num_rows and queries.num_rows:
             x, q = matrix(table["embedding"], d), matrix(queries["embedding"], d)
             ids, asked_ids = table["vec_id"].to_numpy(), queries["vec_id"].to_numpy()
-            index = Index(orders(x, pivots, prefix), len(pivots))
+            index = Index(orders(raised(x, length), pivots, prefix), len(pivots))
+            longest = np.lexsort((ids, -lengths(x)))[:int(np.ceil(LONGEST * len(ids)))]
             most = min(len(ids), max(int(np.ceil(share * len(ids))), 50 * k + 1))
-            for query_id, query, order in zip(asked_ids, q, orders(q, pivots, prefix)):
+            flat = np.column_stack([q, np.zeros(len(q))])
+            for query_id, query, order in zip(asked_ids, q, orders(flat, pivots, prefix)):
                 near = np.argpartition(index.footrule(order), most - 1)[:most]
+                near = np.union1d(near, longest)
                 near = near[ids[near] != query_id]
                 score = x[near] @ query
                 best = np.lexsort((ids[near], -score))[:k]

@@ -120,6 +120,24 @@ def test_recall_of_sharded_search(spark, monkeypatch):
     assert np.mean([(q, v) in found for q, best in want.items() for v, _ in best]) >= 0.9
 
 
+@pytest.mark.parametrize("norms", ["lognormal", "uniform", "few"])
+def test_recall_with_varied_norms_and_several_full_shards(spark, monkeypatch, norms):
+    from speechloom.llm import permutation_index
+
+    monkeypatch.setattr(permutation_index, "SHARD_ROWS", 1500)
+    rng = np.random.default_rng(6)
+    n = 6000
+    size = {"lognormal": rng.lognormal(0, 0.5, n), "uniform": rng.uniform(0.5, 1.5, n),
+            "few": np.where(rng.random(n) < 0.1, 5.0, 1.0)}[norms]
+    x = rng.standard_normal((n, 48))
+    x *= (size / np.linalg.norm(x, axis=1))[:, None]
+    vectors = list(enumerate(x.astype(np.float32)))
+    rows = nearest(table(spark, vectors), k=4).collect()
+    want = brute_nearest(vectors, 4)
+    found = {(r.query_id, r.vec_id) for r in rows}
+    assert np.mean([(q, v) in found for q, best in want.items() for v, _ in best]) >= 0.93
+
+
 def test_fewer_candidates_than_asked(spark):
     assert nearest(table(spark, [])).collect() == []
     assert nearest(table(spark, [(20, [1.0, 0.0])])).collect() == []

@@ -2,8 +2,8 @@
 
 Strict generators give the base spans, which always stay. Loose generators propose more, overlapping
 spans of the same kinds. Boosted trees over format and context score these; per kind, a threshold
-set on held-out candidates selects what is added. The trees learn from base spans and from
-candidates that fail a kind's check, in a bounded sample of candidates (``SAMPLE``).
+set on all held-out candidates selects what is added. The trees learn from base spans and from
+candidates that fail a kind's check, in a bounded sample of different candidates of each kind (``SAMPLE``).
 """
 
 from __future__ import annotations
@@ -16,11 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from speechloom.llm.common import slices, utf8
+from speechloom.llm.common import let_go, settled, slices, utf8
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE = 20_000
 PRECISION = 0.98
+SCORES = 1 << 14  # a power of two, so that the lower end of a bin of scores is exact
 BINS = 24
 DEPTH = 3
 ROUNDS = 40
@@ -198,23 +199,31 @@ class Trees:
         return 1 / (1 + np.exp(-total))
 
 
+def thresholds(counts: list[tuple[int, int, int, int]]) -> np.ndarray:
+    """Per kind, the lowest score from which held-out candidates are right often enough; 2 where there is none.
+
+    ``counts`` are kind, bin of scores, right and all candidates.
+    """
+    least = np.full(len(KINDS), 2.0)
+    for k in range(len(KINDS)):
+        right, total = np.zeros(SCORES + 1, np.int64), np.zeros(SCORES + 1, np.int64)
+        for kind, place, r, n in counts:
+            if kind == k:
+                right[place] += r
+                total[place] += n
+        right, total = right[::-1].cumsum()[::-1], total[::-1].cumsum()[::-1]
+        own = np.append(total[:-1] > total[1:], total[-1] > 0)
+        good = np.flatnonzero(own & (right >= PRECISION * total))
+        if len(good):
+            least[k] = max(0.5, good[0] / SCORES)
+    return least
+
+
 class Model:
-    """Trees and, per kind, the lowest score at which held-out candidates are right often enough."""
-
-    def __init__(self, x: np.ndarray, y: np.ndarray, held: np.ndarray):
-        self.trees, self.least = None, np.full(len(KINDS), 2.0)
-        if not len(y) or y[~held].min(initial=1) == y[~held].max(initial=0):
-            return
-        self.trees = Trees(x[~held].astype(np.int64), y[~held].astype(float))
-        score = self.trees.score(x[held].astype(np.int64))
-        for k in range(len(KINDS)):
-            own = x[held][:, 0] == k
-            s, right = score[own], y[held][own]
-            order = np.argsort(-s, kind="stable")
-            share = np.cumsum(right[order]) / np.arange(1, len(order) + 1)
-            good = np.flatnonzero(share >= PRECISION)
-            if len(good):
-                self.least[k] = max(0.5, s[order][good[-1]])
+    """Trees, if there was something to learn, and per kind the lowest score of what is added."""
+
+    def __init__(self, trees: Trees | None, least: np.ndarray):
+        self.trees, self.least = trees, least
 
     def added(self, base: list, found: list, x: np.ndarray) -> list[tuple[int, int, int]]:
         """Candidates over their threshold, best first, that touch no span taken before."""
@@ -242,31 +251,67 @@ def _worth(texts: pa.Array) -> np.ndarray:
 
 
 def fit(docs: DataFrame) -> Model:
-    """Learn from the ``SAMPLE`` labelled candidates with the smallest hashes, taken from all texts."""
+    """Trees from a sample of labelled candidates of all texts, thresholds from all held-out ones.
+
+    Of each kind an equal part of ``SAMPLE``, those with the smallest hashes, comes to the driver;
+    candidates that are equal with what stands around them count once there. A quarter by hash is held out.
+    """
 
     def run(batches):
         for batch in slices(batches, "text"):
             texts = batch.column("text")
-            keys, rows, labels = [], [], []
+            keys, kinds, rows, labels = [], [], [], []
             for i in np.flatnonzero(_worth(texts)):
                 text = texts[int(i)].as_py()
                 _, found, x, y = proposals(text)
                 for c, row, label in zip(found, x, y):
                     if label >= 0:
                         about = f"{c}{text[max(0, c[0] - 20):c[2] + 20]}"
+                        kinds.append(c[1])
                         keys.append(hashlib.sha256(about.encode()).hexdigest()[:16])
                         rows.append(row.tobytes())
                         labels.append(label)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.string()), pa.array(rows, pa.binary()), pa.array(labels, pa.int32())],
-                ["key", "x", "y"])
-
-    sample = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "key string, x binary, y int")
-    rows = sample.orderBy("key", "x", "y").limit(SAMPLE).collect()
-    x = np.frombuffer(b"".join(bytes(r["x"]) for r in rows), np.int8).reshape(-1, N_FEATURES)
+                [pa.array(keys, pa.string()), pa.array([int(k, 16) % 4 == 0 for k in keys], pa.bool_()),
+                 pa.array(kinds, pa.int32()), pa.array(rows, pa.binary()), pa.array(labels, pa.int32())],
+                ["key", "held", "kind", "x", "y"])
+
+    known = settled(docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
+        run, "key string, held boolean, kind int, x binary, y int"), "candidates")
+    rows = []
+    for k in range(len(KINDS)):
+        own = known.filter(~F.col("held") & (F.col("kind") == k))
+        # minima on the way: copies of one text may be a third of all rows
+        distinct = own.groupBy("key").agg(F.min(F.struct("x", "y")).alias("row"))
+        rows += distinct.orderBy("key").limit(SAMPLE // len(KINDS)).select("row.*").collect()
+    x = _matrix([bytes(r["x"]) for r in rows])
     y = np.array([r["y"] for r in rows], np.int64)
-    held = np.array([int(r["key"], 16) % 4 == 0 for r in rows], bool)
-    return Model(x, y, held)
+    trees, least = None, np.full(len(KINDS), 2.0)
+    if len(set(y.tolist())) == 2:
+        trees = Trees(x.astype(np.int64), y.astype(float))
+        least = thresholds(_score_counts(known.filter("held"), trees))
+    let_go(docs.sparkSession, (known,))
+    return Model(trees, least)
+
+
+def _matrix(rows: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(rows), np.int8).reshape(-1, N_FEATURES)
+
+
+def _score_counts(held: DataFrame, trees: Trees) -> list[tuple[int, int, int, int]]:
+    """Kind, bin of scores, right and all candidates; at most ``SCORES`` + 1 rows per kind."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                score = trees.score(_matrix(batch.column("x").to_pylist()).astype(np.int64))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("kind"), pa.array((score * SCORES).astype(np.int32)), batch.column("y")],
+                    ["kind", "place", "y"])
+
+    scored = held.select("kind", "x", "y").mapInArrow(run, "kind int, place int, y int")
+    counts = scored.groupBy("kind", "place").agg(F.sum("y").alias("right"), F.count("*").alias("total")).collect()
+    return [(r["kind"], r["place"], r["right"], r["total"]) for r in counts]
 
 
 def _spans(model: Model, text: str) -> tuple[list, list]:

@@ -93,6 +93,28 @@ def test_find_and_redact(spark):
     assert all(re.search(r"not 4[0-9]{15} .* version", t) for t in kept)
 
 
+def test_rare_kinds_and_copies_are_learnt(spark, monkeypatch):
+    """Many numbers of one kind and many copies of one text leave room for the other kinds."""
+    monkeypatch.setattr(pii, "SAMPLE", 80)
+    hot = [(5000 + i, f"call {i} +1 (555) 01{i % 10}-{i:04d} or 123 456 {i:06d} end", "en", "s", 1) for i in range(3000)]
+    copies = [(9000 + i, hot[1][1], "en", "s", 1) for i in range(1500)]
+    few = [(20000 + i, f"host 10.{i}.0.7 is up, not 10.{300 + i}.0.7 in rack", "en", "s", 1) for i in range(30)]
+    model = pii.fit(cases.awkward(spark, [*hot, *copies, *few]))
+    assert model.trees is not None
+    assert model.least[1] <= 1 and model.least[3] <= 1
+
+
+def test_thresholds_are_those_of_all_rows():
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    place = rng.integers(0, pii.SCORES + 1, 4000)
+    right = rng.random(4000) < np.minimum(1, 0.6 + 0.5 * place / pii.SCORES)
+    least = pii.thresholds([(2, int(p), int(r), 1) for p, r in zip(place, right)])
+    want = min(p for p in place if right[place >= p].mean() >= pii.PRECISION) / pii.SCORES
+    assert least.tolist() == [2.0, 2.0, max(0.5, want), 2.0]
+
+
 def test_trees_learn_a_rule():
     import numpy as np
 

@@ -32,8 +32,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces of all documents and their places in sequences."""
-    return packing.pack(docs)
+    """Token pieces of all documents with their ids and places in sequences."""
+    return packing.pack(docs, keep_ids=True)
 
 
 STAGES = [

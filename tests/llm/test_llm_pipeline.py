@@ -42,6 +42,11 @@ def test_stages(spark, tmp_path):
     assert Counter(r.doc_id for r in rows[5] if r.piece == 0) == Counter(r.doc_id for r in rows[4])
 
 
+def test_result_holds_the_sequences(spark):
+    rows = corpus_pipeline.packed(spark, cases.awkward(spark), "").collect()
+    assert rows and all(len(r.ids) == r.length for r in rows)
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 @pytest.mark.parametrize("key", list(ORACLE))
 def test_query(spark, key):

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from speechloom.llm.common import WordHasher, mixed, slices, utf8, windows, word_spans
@@ -205,26 +206,49 @@ def near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCE
     doc_id link with nothing: they have no component_id and are kept. An empty table gives no rows;
     other columns are not looked at.
     """
+    return _judged(docs, width, percent, sketch).drop("k1", "k2")
+
+
+def _judged(docs: DataFrame, width: int, percent: int, sketch: DataFrame | None = None) -> DataFrame:
     sketch = written(sketches(docs, width), "sketch") if sketch is None else sketch
     classes, found = link_classes(docs, sketch, width, percent)
     named = classes.join(found.withColumnRenamed("id", "rep"), "rep", "left").select(
         "k1", "k2", F.coalesce("component", "rep").alias("component"))
     return sketch.select("doc_id", "k1", "k2", "n_shingles").join(named, ["k1", "k2"], "left").select(
-        "doc_id", "n_shingles",
+        "doc_id", "k1", "k2", "n_shingles",
         F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.col("component"))
         .otherwise(F.col("doc_id")).alias("component_id"),
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def _with_keys(docs: DataFrame) -> DataFrame:
+    """The rows with the ``k1, k2`` of their sketches as ``_k1, _k2``."""
+
+    def run(batches):
+        for batch in slices(batches, "text", SLICE_BYTES):
+            keys = [mixed(key + np.uint64(n)) for n, _, key in shingles(batch.column("text"), WIDTH)]
+            keys = np.array(keys, np.uint64).reshape(-1, 2).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(keys[:, 0]), pa.array(keys[:, 1])], [*batch.schema.names, "_k1", "_k2"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("_k1", T.LongType()),
+                                              T.StructField("_k2", T.LongType())]))
+
+
 def drop_near_duplicates(docs: DataFrame, *, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """The rows, with all their columns, of the first document of each group; one row per doc_id.
+    """The rows, with all their columns, of the first document of each group; one row per doc_id and text.
 
     Rows without doc_id all stay.
     """
-    judged = written(near_duplicates(docs, width=width, percent=percent), "judged")
-    rest = docs.join(judged.filter("not kept").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+    judged = written(_judged(docs, width, percent), "judged")
     again = judged.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    gone = judged.filter("not kept").select("doc_id").distinct()
     if again.isEmpty():
-        return rest
-    repeated = rest.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return rest.join(again, "doc_id", "left_anti").unionByName(repeated).select(*docs.columns)
+        return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    once = docs.join(gone.unionByName(again).distinct(), "doc_id", "left_anti").select(*docs.columns)
+    # a doc_id with several texts: each text has a verdict of its own
+    stay = judged.filter("kept").join(again, "doc_id", "left_semi").select(
+        "doc_id", F.col("k1").alias("_k1"), F.col("k2").alias("_k2")).distinct()
+    repeated = _with_keys(docs.join(again, "doc_id", "left_semi").select(*docs.columns)).join(
+        stay, ["doc_id", "_k1", "_k2"], "left_semi").dropDuplicates(["doc_id", "_k1", "_k2"])
+    return once.unionByName(repeated.select(*docs.columns))

@@ -88,6 +88,14 @@ def test_drop_keeps_one_row_of_each_group(spark):
     assert ids.count(None) == 1
 
 
+def test_texts_of_one_doc_id_are_judged_one_by_one(spark):
+    a, b, c = (cases.prose(random.Random(i), 40) for i in (1, 2, 3))
+    rows = [(3, a), (7, a), (7, b), (7, b), (8, b), (9, c), (9, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], cases.SCHEMA)
+    got = sorted((r.doc_id, r.text) for r in drop_near_duplicates(docs).collect())
+    assert got == sorted([(3, a), (7, b), (9, c)])
+
+
 def test_empty(spark):
     assert near_duplicates(cases.empty(spark)).collect() == []
     assert drop_near_duplicates(cases.empty(spark)).collect() == []

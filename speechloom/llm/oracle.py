@@ -89,8 +89,41 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
 """
 
+QUALITY_RULES = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+starts AS (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w WHERE len(w) >= 3),
+windows AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS x FROM starts),
+twice AS (SELECT r, unnest([i, i + 1, i + 2]) AS i FROM (
+  SELECT r, i, count(*) OVER (PARTITION BY r, x) AS n FROM windows) WHERE n > 1),
+repeats AS (SELECT r, count(DISTINCT i) AS n FROM twice GROUP BY r),
+m AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words,
+         CAST(length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines,
+         coalesce(n, 0) AS n_repeat_words,
+         len(l) AS n_lines,
+         length(regexp_replace(t, '\P{L}+', '', 'g')) AS n_letters,
+         length(regexp_replace(t, '[^0-9]+', '', 'g')) AS n_digits,
+         len(list_filter(l, lambda x: regexp_matches(x, '^ *[-*•]'))) AS n_bullet_lines,
+         len(list_filter(l, lambda x: regexp_matches(replace(x, chr(13), ''), '(\.\.\.|…) *$'))) AS n_ellipsis_lines
+  FROM w LEFT JOIN repeats USING (r)),
+f AS (
+  SELECT *, CAST(n_words < 50 AS BIGINT) + 2 * CAST(100 * n_repeat_words > 50 * n_words AS BIGINT)
+    + 4 * CAST(word_chars < 2 * n_words AS BIGINT) + 8 * CAST(word_chars > 20 * n_words AS BIGINT)
+    + 16 * CAST(100 * n_symbols > 10 * n_words AS BIGINT) + 32 * CAST(100 * n_dup_lines > 50 * n_lines AS BIGINT)
+    + 64 * CAST(100 * n_letters < 50 * word_chars AS BIGINT) + 128 * CAST(100 * n_digits > 30 * word_chars AS BIGINT)
+    + 256 * CAST(100 * n_bullet_lines > 90 * n_lines AS BIGINT)
+    + 512 * CAST(100 * n_ellipsis_lines > 50 * n_lines AS BIGINT) AS failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       failed & 3 != 0 AS base_failed, failed = 0 AS kept, failed FROM f
+"""
+
 ORACLE = {
     "op1_url_reputation": URL_REPUTATION,
     "op3_mixing": MIXING,
     "op10_warc": WARC,
+    "op13_quality_rules": QUALITY_RULES,
 }

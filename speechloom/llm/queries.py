@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from speechloom.llm.common import table
 from speechloom.llm.language_id import identify
@@ -12,10 +13,13 @@ from speechloom.llm.packing import pack
 from speechloom.llm.permutation_index import nearest
 from speechloom.llm.pii import find
 from speechloom.llm.projection_forest import near_vectors
+from speechloom.llm.quality_rules import ledger, mask, verdicts
 from speechloom.llm.substrings import remove_repeats
 from speechloom.llm.url_reputation import judge_urls
 from speechloom.llm.warc import payloads, write_warc
-from speechloom.workspace import fresh_dir
+from speechloom.workspace import fresh_dir, written
+
+BASE, POLICY = "1", "3"  # versions of the quality policy
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,6 +65,15 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads(spark, path)
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ledger is written, as it is a table to keep; the policy in force is applied to what was written."""
+    entries = written(ledger(table(spark, sf_dir, "documents")), "ledger")
+    judged = verdicts(entries, POLICY)
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        (F.col("failed").bitwiseAND(F.lit(mask(BASE)).cast("bigint")) != 0).alias("base_failed"), "kept", "failed")
+
+
 QUERIES = {
     "op1_url_reputation": op1_url_reputation,
     "op2_pii": op2_pii,
@@ -72,4 +85,5 @@ QUERIES = {
     "op8_projection_forest": op8_projection_forest,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op13_quality_rules": op13_quality_rules,
 }

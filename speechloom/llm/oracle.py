@@ -89,6 +89,30 @@ SELECT p.page_id, p.payload_bytes, p.payload_digest,
 FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest AND p.payload_bytes >= 100
 """
 
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CAST(CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS INTEGER) AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+u AS (SELECT vec_id, min({'label': label, 'x': x}) AS r FROM v GROUP BY vec_id),
+e AS (SELECT vec_id, r.label AS label, r.x AS x FROM u),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+         CAST(list_sum(list_transform(range(1, least(len(a.x), len(c.x)) + 1), lambda i: a.x[i] * c.x[i])) AS BIGINT) AS score
+  FROM e a JOIN e c ON a.vec_id % 50 = 0 AND a.vec_id != c.vec_id),
+p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+QUALIFY rank <= 3
+"""
+
 QUALITY_RULES = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
@@ -125,5 +149,6 @@ ORACLE = {
     "op1_url_reputation": URL_REPUTATION,
     "op3_mixing": MIXING,
     "op10_warc": WARC,
+    "op11_hard_negatives": HARD_NEGATIVES,
     "op13_quality_rules": QUALITY_RULES,
 }

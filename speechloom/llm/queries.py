@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from speechloom.llm.common import table
+from speechloom.llm.hard_negatives import hard_negatives
 from speechloom.llm.language_id import identify
 from speechloom.llm.minhash import near_duplicates
 from speechloom.llm.mixing import mix
@@ -65,6 +66,13 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return payloads(spark, path)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row gets a wrong label first."""
+    vectors = table(spark, sf_dir, "embeddings")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", wrong))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger is written, as it is a table to keep; the policy in force is applied to what was written."""
     entries = written(ledger(table(spark, sf_dir, "documents")), "ledger")
@@ -85,5 +93,6 @@ QUERIES = {
     "op8_projection_forest": op8_projection_forest,
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
+    "op11_hard_negatives": op11_hard_negatives,
     "op13_quality_rules": op13_quality_rules,
 }

@@ -113,6 +113,75 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 QUALIFY rank <= 3
 """
 
+STRUCTURE_REPAIR = r"""
+WITH RECURSIVE crc AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, b) AS c
+    FROM range(256) AS r(b))),
+keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key FROM conversations),
+coded AS (
+  SELECT conv_id, turn, role, text, xor(list_reduce(
+      list_transform(range(1, length(key) + 1), lambda i: CAST(ord(substr(key, i, 1)) AS BIGINT)),
+      lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS code
+  FROM keyed, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN code = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN code = 1 THEN '' WHEN code = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(CASE WHEN code = 3 THEN [1, 2] ELSE [1] END) AS copy
+  FROM coded WHERE code != 0),
+placed AS (
+  SELECT *, row_number() OVER own AS i, row_number() OVER same AS nth,
+         lag(substr(role, 1, 1)) OVER own AS before,
+         regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS tail
+  FROM damaged
+  WINDOW own AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy),
+         same AS (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy)),
+judged AS (
+  SELECT conv_id, turn, i, role, text, before, substr(role, 1, 1) AS own,
+         CASE WHEN tail = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN tail NOT IN ('.', '!', '?') THEN 'truncated'
+              ELSE '' END AS fault
+  FROM placed),
+edits AS (
+  SELECT conv_id, i, '' AS r, 3 AS c, 'D' AS e, CAST([] AS VARCHAR[]) AS t FROM judged
+  UNION ALL
+  SELECT conv_id, i, own, CAST(fault = 'truncated' AS INTEGER), 'K', [role || ':' || text]
+  FROM judged WHERE fault NOT IN ('blank', 'duplicate') AND own IN ('s', 'u', 'a')
+  UNION ALL
+  SELECT conv_id, i, n[1], 2 + CAST(fault = 'truncated' AS INTEGER), 'R', [n || ':' || text]
+  FROM judged, (VALUES ('user'), ('assistant')) AS names(n) WHERE fault NOT IN ('blank', 'duplicate')),
+moves AS (SELECT * FROM (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2),
+                                (0, '', 0), (1, '', 1), (2, '', 2), (3, '', 3)) AS m(q, r, q2)),
+puts AS (SELECT * FROM (VALUES
+    (0, 0, 0, '', CAST([] AS VARCHAR[])), (1, 1, 0, '', []), (2, 2, 0, '', []), (3, 3, 0, '', []),
+    (0, 2, 2, 'I', ['user:']), (1, 2, 2, 'I', ['user:']), (3, 2, 2, 'I', ['user:']), (2, 3, 2, 'I', ['assistant:']),
+    (0, 3, 4, 'II', ['user:', 'assistant:']), (1, 3, 4, 'II', ['user:', 'assistant:'])) AS p(q, q2, c, e, t)),
+best AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, p.q2 AS q, {'c': p.c, 'a': p.e, 't': p.t} AS s
+  FROM (SELECT DISTINCT conv_id FROM judged), puts p WHERE p.q = 0
+  UNION ALL
+  SELECT b.conv_id, e.i, p.q2, min({'c': b.s.c + e.c + p.c, 'a': b.s.a || e.e || p.e, 't': list_concat(b.s.t, e.t, p.t)})
+  FROM best b JOIN edits e ON e.conv_id IS NOT DISTINCT FROM b.conv_id AND e.i = b.i + 1
+       JOIN moves m ON m.q = b.q AND m.r = e.r JOIN puts p ON p.q = m.q2
+  GROUP BY b.conv_id, e.i, p.q2),
+told AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, max(i) AS last,
+         count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+         count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || own NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id),
+ended AS (
+  SELECT t.conv_id, gaps, blank, duplicate, truncated, illegal, min(s) AS s
+  FROM told t JOIN best b ON b.conv_id IS NOT DISTINCT FROM t.conv_id AND b.i = t.last AND b.q IN (0, 3)
+  GROUP BY ALL)
+SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(s.c, 0) AS BIGINT) AS cost,
+       coalesce(s.a, '') AS audit, sha256(coalesce(array_to_string(s.t, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o LEFT JOIN ended e ON e.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 QUALITY_RULES = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
@@ -150,5 +219,6 @@ ORACLE = {
     "op3_mixing": MIXING,
     "op10_warc": WARC,
     "op11_hard_negatives": HARD_NEGATIVES,
+    "op12_structure_repair": STRUCTURE_REPAIR,
     "op13_quality_rules": QUALITY_RULES,
 }

@@ -16,6 +16,7 @@ from speechloom.llm.pii import find
 from speechloom.llm.projection_forest import near_vectors
 from speechloom.llm.quality_rules import ledger, mask, verdicts
 from speechloom.llm.substrings import remove_repeats
+from speechloom.llm.structure_repair import COUNTS, digests, repair
 from speechloom.llm.url_reputation import judge_urls
 from speechloom.llm.warc import payloads, write_warc
 from speechloom.workspace import fresh_dir, written
@@ -73,6 +74,31 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(vectors.withColumn("label", wrong))
 
 
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with faults dealt out by a checksum; one in twenty each is dropped, emptied, cut, repeated or renamed."""
+    columns = [F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn", "role", "text")]
+    conv_id, turn, role, text = columns
+    code = F.crc32(F.concat(conv_id, F.lit(":"), turn)) % 20
+    kept = turns.select("conv_id", "turn", code.alias("code"), role.alias("role"), text.alias("text")).where("code != 0")
+    return kept.select(
+        "conv_id", "turn",
+        F.when(F.col("code") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text")).alias("text"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("code") == 3, 2).otherwise(1))).alias("copy"),
+    ).drop("copy")
+
+
+def op12_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    done = digests(written(repair(damaged(turns)), "parts")).withColumnRenamed("conv_id", "repaired_id")
+    every = turns.select("conv_id").distinct()
+    told = every.join(done, F.col("conv_id").eqNullSafe(F.col("repaired_id")), "left")
+    return told.select(
+        "conv_id", *(F.coalesce(F.col(c), F.lit(0)).cast("bigint").alias(c) for c in COUNTS),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ledger is written, as it is a table to keep; the policy in force is applied to what was written."""
     entries = written(ledger(table(spark, sf_dir, "documents")), "ledger")
@@ -94,5 +120,6 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_warc": op10_warc,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_structure_repair": op12_structure_repair,
     "op13_quality_rules": op13_quality_rules,
 }

@@ -1,0 +1,180 @@
+import hashlib
+import random
+import re
+import zlib
+from functools import lru_cache
+
+import pytest
+from pyspark.sql import functions as F
+
+from speechloom.llm import queries as Q
+from speechloom.llm import structure_repair as S
+
+SCHEMA = "conv_id bigint, turn bigint, role string, text string"
+
+
+def cheapest(rows):
+    """Cost and audit by trying every edit from the left, insertions included; rows are (fault, role, text)."""
+    @lru_cache(None)
+    def rest(i, state, inserted):
+        found = []
+        if i == len(rows) and state in "0a":
+            found.append((0, ""))
+
+        def take(cost, letter, n, new, put=0):
+            sub = rest(n, new, put)
+            if sub:
+                found.append((cost + sub[0], letter + sub[1]))
+
+        follows = {"0": "su", "s": "u", "u": "a", "a": "u"}[state]
+        if inserted < 3:
+            for r in "ua":
+                if r in follows:
+                    take(2, "I", i, r, inserted + 1)
+        if i < len(rows):
+            name, role, _ = rows[i]
+            take(3, "D", i + 1, state)
+            if name not in ("blank", "duplicate"):
+                extra = name == "truncated"
+                if role[:1] and role[:1] in follows:
+                    take(0 + extra, "K", i + 1, role[0])
+                for r in "ua":
+                    if r in follows:
+                        take(2 + extra, "R", i + 1, r)
+        return min(found, default=None)
+
+    return rest(0, "0", 0)
+
+
+def wanted(turns):
+    """All result columns of one conversation of (turn, role, text)."""
+    turns = sorted(turns, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    rows, seen = [], set()
+    for _, role, text in turns:
+        solid = re.findall(r"[^\x20\x09-\x0D]", text)
+        name = "blank" if not solid else "duplicate" if (role, text) in seen else "truncated" if solid[-1] not in ".!?" else ""
+        rows.append((name, role, text))
+        seen.add((role, text))
+    cost, audit = cheapest(tuple(rows))
+    out, state, left = [], "0", iter(rows)
+    for letter in audit:
+        row = None if letter == "I" else next(left)
+        if letter == "D":
+            continue
+        state = row[1][0] if letter == "K" else "a" if state == "u" else "u"
+        out.append(f"{row[1] if letter == 'K' else {'u': 'user', 'a': 'assistant'}[state]}:{row[2] if row else ''}")
+    numbers = [t for t, *_ in turns if t is not None]
+    names = [r[0] for r in rows]
+    initials = [r[1][:1] for r in rows]
+    return (max(numbers) - min(numbers) + 1 - len(set(numbers)) if numbers else 0, names.count("blank"),
+            names.count("duplicate"), names.count("truncated"),
+            sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:])), cost, audit,
+            hashlib.sha256("\n".join(out).encode()).hexdigest())
+
+
+def random_rows(seed, n_conv, most):
+    rng = random.Random(seed)
+    roles = ["user", "assistant", "user", "assistant", "system", "tool", "", "u", "Assistant"]
+    texts = ["Hi.", "Yes!", "What?", "no end", " \t", "", "Hi. \n", "漢字。", "x."]
+    rows = []
+    for c in range(n_conv):
+        for t in range(rng.randrange(1, most)):
+            turn = None if rng.random() < 0.05 else t + rng.choice([0, 0, 0, 1, 5])
+            rows.append((c if c else None, turn, rng.choice(roles), rng.choice(texts) + rng.choice(["", "", str(t) + "."])))
+    return rows
+
+
+def by_conversation(rows):
+    out = {}
+    for conv_id, *turn in rows:
+        out.setdefault(conv_id, []).append(tuple(turn))
+    return out
+
+
+def repaired(spark, rows):
+    parts = S.repair(spark.createDataFrame(rows, SCHEMA)).cache()
+    got = {r[0]: tuple(r)[1:] for r in S.digests(parts).collect()}
+    for r in parts.collect():
+        assert set(r.audit) <= set("KRDI")
+    return got
+
+
+def test_like_trying_every_edit(spark):
+    rows = random_rows(1, 150, 9)
+    assert repaired(spark, rows) == {c: wanted(turns) for c, turns in by_conversation(rows).items()}
+
+
+@pytest.mark.parametrize("size,least", [(3, 10**6), (3, 4), (2, 0)])
+def test_segments_and_large_conversations_give_the_same(spark, monkeypatch, size, least):
+    """In segments in one task, and dealt out over tasks."""
+    rows = random_rows(2, 30, 40)
+    monkeypatch.setattr(S, "SEGMENT", size)
+    monkeypatch.setattr(S, "LARGE", least)
+    assert repaired(spark, rows) == {c: wanted(turns) for c, turns in by_conversation(rows).items()}
+
+
+def test_one_conversation_holds_most_rows(spark, monkeypatch):
+    rng = random.Random(3)
+    rows = [(7, i, rng.choice(["user", "assistant"]), f"t{i % 1500}" + rng.choice([".", ".", ""])) for i in range(3000)]
+    rows += [(7, 5, "user", "again.")] * 400 + random_rows(4, 20, 6)
+    plain = repaired(spark, rows)
+    assert plain[7][2] >= 399
+    monkeypatch.setattr(S, "LARGE", 2000)
+    assert repaired(spark, rows) == plain
+
+
+def test_final_turns_follow_the_pattern(spark):
+    rows = random_rows(5, 60, 12)
+    for r in S.repair(spark.createDataFrame(rows, SCHEMA)).collect():
+        assert re.fullmatch("(s?(ua)+)?", "".join(t.role[0] for t in r.turns))
+
+
+def test_agenda_takes_items_in_order_and_ends_at_the_goal():
+    row = ("", "user", "a.", 1)
+    assert S.segment([row], 0, True) == {0: (2, 1, "KI")}
+    assert S.segment([row], 0, False) == {0: (3, 1, "D"), 2: (0, 1, "K"), 3: (2, 1, "KI")}
+    assert S.segment([("blank", "user", " ", 3)], 0, True) == {0: (9, 3, "DDD")}
+    order = []
+    axioms = {"a": (1, 1, "D"), "b": (0, 1, "K"), "c": (2, 0, "I")}
+
+    def deduced(item, final):
+        order.append(final[item])
+        return [("goal", "a", "b")] if {"a", "b"} <= set(final) and "goal" not in final else []
+
+    final, tails = S.lightest(axioms, deduced, "goal")
+    assert order == sorted(order) and final["goal"] == (1, 2, "DK") and tails["goal"] == ("a", "b")
+    assert "c" not in final  # the goal was final first
+
+
+def damage(conv_id, turn, role, text):
+    code = zlib.crc32(f"{' ' if conv_id is None else conv_id}:{' ' if turn is None else turn}".encode()) % 20
+    role, text = " " if role is None else role, " " if text is None else text
+    if code == 0:
+        return []
+    if code == 1:
+        text = ""
+    if code == 2:
+        text = re.sub("[.!?]", "", text)
+    return [(turn, "user" if code == 4 else role, text)] * (2 if code == 3 else 1)
+
+
+def test_registered_query(spark, tmp_path):
+    rng = random.Random(6)
+    rows = [(c, t, ["user", "assistant"][t % 2], f"turn {t}.") for c in range(200) for t in range(rng.randrange(1, 9))]
+    rows += [(None, t, "user", "Hm?") for t in (None, 1, 2)] + [(500, None, None, None), (501, 3, None, "x."), (-1, -4, "system", "S.")]
+    rows += [(502, t, "system" if t == 0 else "user", None) for t in range(3)]
+    spark.createDataFrame(rows, SCHEMA).withColumn("n", F.lit("clash")).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r[0]: tuple(r)[1:] for r in Q.op12_structure_repair(spark, str(tmp_path)).collect()}
+    assert len(got) == len({r[0] for r in rows})
+    nothing = (0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
+    gone = 0
+    for c, turns in by_conversation(rows).items():
+        left = [x for turn in turns for x in damage(c, *turn)]
+        gone += not left
+        assert got[c] == (wanted(left) if left else nothing)
+    assert gone
+
+
+def test_no_rows(spark):
+    none = spark.createDataFrame([], SCHEMA)
+    assert S.repair(none).count() == 0 and S.digests(S.repair(none)).count() == 0

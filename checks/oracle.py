@@ -113,6 +113,17 @@ valid_wave AS (
   SELECT *, ceil(len(samples) * 16000::DOUBLE / rate)::BIGINT AS n_out FROM timed WHERE ({_wave_ladder(False)}) IS NULL)
 """
 
+EMBEDDED = f"""{WAVE},
+files AS (
+  SELECT row_idx, has_audio, split, text, coalesce(rate, 80) AS hz, len(samples) AS n,
+    CASE WHEN row_idx % 19 = 6 THEN 'flac' WHEN row_idx % 13 = 0 THEN 'cut' WHEN samples IS NOT NULL THEN 'wav' END AS samples
+  FROM wave),
+sized AS (
+  SELECT *, CASE WHEN NOT has_audio THEN NULL WHEN samples = 'flac' THEN row_idx * 100 / 16000.0::DOUBLE
+                 WHEN samples = 'wav' THEN n::DOUBLE / hz END AS d FROM files),
+embedded AS (SELECT *, {_wave_ladder(False)} AS reason FROM sized)
+"""
+
 WAV_FILES = """
 wav_files AS (
   SELECT vec_id, 'part' || (vec_id % 3) || '/' || lpad(vec_id::VARCHAR, 8, '0')
@@ -283,6 +294,7 @@ ORACLE = {
     "duration_of_waveform": _with(WAVE, "SELECT row_idx, d AS duration FROM timed"),
     "probe_wav_duration": _with(WAV_FILES, f"SELECT path, {_MEASURED} AS measured FROM listed"),
     "probe_wav_headers": _with(WAV_FILES, f"SELECT path, {_MEASURED} AS measured FROM listed"),
+    "embedded_audio": _with(EMBEDDED, "SELECT row_idx, d AS duration, reason FROM embedded"),
     "within_duration": f"SELECT doc_id, n_chars / 50.0::DOUBLE BETWEEN {SHORTEST} AND {LONGEST} AS ok FROM documents",
     "override_duration": _with(UTT, "SELECT row_idx, coalesce(try_cast(duration AS DOUBLE), row_idx / 8.0::DOUBLE) AS duration FROM utt"),
     "round_duration": "SELECT event_id, round(value / 7::DOUBLE, 3) AS duration FROM events",
@@ -355,6 +367,12 @@ ORACLE = {
         count(*) AS n FROM wave GROUP BY 1"""),
     "prepare_dataset_corpus": _with(WAVE_VALID, f"""SELECT '/out/audio/' || split || '/' || split || '_' || lpad(row_idx::VARCHAR, 8, '0') || '.wav' AS audio_filepath,
         {_strip('text')} || ' <hi-IN>' AS text, round(n_out / 16000.0::DOUBLE, 3) AS duration, split FROM valid_wave"""),
+    "prepare_dataset_embedded": _with(EMBEDDED, f"""SELECT '/out/audio/' || split || '/' || split || '_' || lpad(row_idx::VARCHAR, 8, '0') || '.wav' AS audio_filepath,
+        {_strip('text')} AS text, round(ceil(n * 16000::DOUBLE / hz) / 16000.0::DOUBLE, 3) AS duration, split
+        FROM embedded WHERE reason IS NULL AND samples = 'wav'
+        UNION ALL
+        SELECT NULL, coalesce(reason, 'error'), count(*)::DOUBLE, split FROM embedded
+        WHERE reason IS NOT NULL OR samples = 'flac' GROUP BY 2, 4"""),
     "stream_manifest": _with(WAVE_VALID, f"""SELECT row_idx, '/out/audio/' || s || '/' || lpad(row_idx::VARCHAR, 8, '0') || '.wav' AS audio_filepath,
         {_strip('text')} AS text, round(n_out / 16000.0::DOUBLE, 3) AS duration, s AS split
         FROM (SELECT *, {HASH_SPLIT} AS s FROM valid_wave)"""),

@@ -292,6 +292,12 @@ def duration_of_waveform(spark, sf_dir):
     return waves.select("row_idx", ladders.duration_of_waveform(waves).alias("duration"))
 
 
+def embedded_audio(spark, sf_dir):
+    """Dataset rows whose audio is a file in a column: durations from headers, reasons before decoding."""
+    rows = explain_dataset(S.embedded_files(spark, sf_dir))
+    return rows.select("row_idx", ladders.duration_of_waveform(rows).alias("duration"), "reason")
+
+
 def within_duration(spark, sf_dir):
     seconds = F.col("n_chars") / F.lit(50.0)
     return S.table(spark, sf_dir, "documents").select(
@@ -605,6 +611,18 @@ def prepare_dataset(spark, sf_dir):
     return manifests.union_splits(both)
 
 
+def prepare_dataset_embedded(spark, sf_dir):
+    """The dataset job over files in a column, as they are stored by dataset tools."""
+    out = fresh_dir(spark, "corpus")
+    files = written(S.embedded_files(spark, sf_dir), "embedded")
+    done = prepare_dataset_corpus(files, out, audio_dir="/out/audio", prefix_split=True)
+    skipped = done["skipped"].select(
+        F.lit(None).cast("string").alias("audio_filepath"), F.col("reason").alias("text"),
+        F.col("n").cast("double").alias("duration"), "split")
+    both = {s: manifests.read_manifest(spark, manifests.split_path(f"{out}/manifests", s)) for s in ("train", "val")}
+    return manifests.union_splits(both).unionByName(skipped)
+
+
 def stream_manifest_query(spark, sf_dir):
     """The dataset job as a stream over the same rows; ends when it has read what is there."""
     source = S.written_wave_dataset(spark, sf_dir)
@@ -640,6 +658,7 @@ QUERIES = {
     "resampled_path": resampled_path,
     "name_audio_file": name_audio_file,
     "duration_of_waveform": duration_of_waveform,
+    "embedded_audio": embedded_audio,
     "probe_wav_duration": probe_wav_duration,
     "probe_wav_headers": probe_wav_headers,
     "within_duration": within_duration,
@@ -689,6 +708,7 @@ QUERIES = {
     "prepare_dataset_no_audio": prepare_dataset_no_audio,
     "prepare_dataset_plain_audio": prepare_dataset_plain_audio,
     "prepare_dataset_no_rate": prepare_dataset_no_rate,
+    "prepare_dataset_embedded": prepare_dataset_embedded,
     "stream_manifest": stream_manifest_query,
 }
 

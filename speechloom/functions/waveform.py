@@ -60,9 +60,10 @@ def wav_duration(content: pa.Buffer | None, size: int) -> float | None:
 
 
 def audio_duration(stream, size: int) -> float | None:
-    """Seconds of a WAV, FLAC or Ogg (Vorbis, Opus, FLAC) file, from its headers; None when unreadable.
+    """Seconds of a WAV, FLAC, Ogg (Vorbis, Opus, FLAC) or MPEG audio file; None when unreadable.
 
-    An Ogg file's length is in its last page, at most 64 KB before the end.
+    Headers are enough but for MPEG files without a table of their own, whose frames are gone through in
+    blocks. An Ogg file's length is in its last page, at most 64 KB before the end.
     """
     try:
         head = stream.read(10)
@@ -79,6 +80,8 @@ def audio_duration(stream, size: int) -> float | None:
                 return None
             stream.seek(start + 8)
             return _flac_duration(stream.read(18))
+        if frame_header(head[:4]):
+            return _mpeg_duration(stream, start, size)
         stream.seek(0)
         if head[:4] == b"OggS":
             return _ogg_duration(stream, size)
@@ -95,6 +98,77 @@ def _flac_duration(info: bytes) -> float | None:
     return samples / rate if rate and samples else None
 
 
+# MPEG audio bit rates in kbit/s by index, for version 1 and layer, else for version 2 and layer.
+BIT_RATES = {
+    (1, 1): (0, 32, 64, 96, 128, 160, 192, 224, 256, 288, 320, 352, 384, 416, 448),
+    (1, 2): (0, 32, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320, 384),
+    (1, 3): (0, 32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320),
+    (2, 1): (0, 32, 48, 56, 64, 80, 96, 112, 128, 144, 160, 176, 192, 224, 256),
+    (2, 2): (0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160),
+    (2, 3): (0, 8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160),
+}
+# MPEG audio sampling rates by index, halved in version 2 and again in 2.5.
+MPEG_RATES = (44_100, 48_000, 32_000)
+MPEG_BLOCK = 1 << 18
+
+
+def frame_header(head: bytes) -> tuple[tuple[int, int, int], int, int, bool] | None:
+    """Kind (version, layer, rate), samples and bytes of an MPEG audio frame, and whether it is mono."""
+    if len(head) < 4 or head[0] != 0xFF or head[1] & 0xE0 != 0xE0:
+        return None
+    code, layer = head[1] >> 3 & 3, 4 - (head[1] >> 1 & 3)
+    bits, rate, padded = head[2] >> 4, head[2] >> 2 & 3, head[2] >> 1 & 1
+    if code == 1 or layer == 4 or bits in (0, 15) or rate == 3:
+        return None
+    version = 1 if code == 3 else 2
+    hertz = MPEG_RATES[rate] >> {3: 0, 2: 1, 0: 2}[code]
+    speed = BIT_RATES[version, layer][bits] * 1000
+    samples = 384 if layer == 1 else 576 if layer == 3 and version == 2 else 1152
+    size = (12 * speed // hertz + padded) * 4 if layer == 1 else samples // 8 * speed // hertz + padded
+    return (code, layer, hertz), samples, size, head[3] >> 6 == 3
+
+
+def _mpeg_duration(stream, start: int, size: int) -> float | None:
+    """From the frame count of a Xing, Info or VBRI table in the first frame, else by counting whole frames.
+
+    The first frame must be followed by another of its kind, by a tag or by the end. Bytes between frames
+    that are none are skipped.
+    """
+    block, at_block = b"", 0
+
+    def ahead(at: int, n: int) -> bytes:
+        nonlocal block, at_block
+        if not at_block <= at <= at + n <= at_block + len(block):
+            stream.seek(at)
+            block, at_block = stream.read(min(MPEG_BLOCK, size - at)), at
+        return block[at - at_block:at - at_block + n]
+
+    kind, samples, length, mono = frame_header(ahead(start, 4))
+    hertz = kind[2]
+    first = ahead(start, min(length, size - start))
+    side = (17 if mono else 32) if kind[0] == 3 else (9 if mono else 17)
+    xing, vbri = first[4 + side:][:12], first[36:][:18]
+    if xing[:4] in (b"Xing", b"Info") and len(xing) == 12 and xing[7] & 1:
+        return struct.unpack(">I", xing[8:12])[0] * samples / hertz
+    if vbri[:4] == b"VBRI" and len(vbri) == 18:
+        return struct.unpack(">I", vbri[14:18])[0] * samples / hertz
+    after = ahead(start + length, 4) if start + length < size else b""
+    follows = frame_header(after)
+    if start + length > size or after and after[:3] not in (b"TAG", b"APE") and not (follows and follows[0] == kind):
+        return None
+    at, total = start, 0
+    while at + 4 <= size:
+        found = frame_header(ahead(at, 4))
+        if found and found[0] == kind:
+            total += found[1] if at + found[2] <= size else 0
+            at += found[2]
+        else:
+            rest = ahead(at + 1, min(MPEG_BLOCK, size - at - 1))
+            step = rest.find(b"\xff")
+            at += 1 + (step if step >= 0 else len(rest))
+    return total / hertz
+
+
 OGG_PAGE = 65_307
 
 
@@ -122,6 +196,30 @@ def _ogg_duration(stream, size: int) -> float | None:
     return None
 
 
+class OutOfReach(Exception):
+    """Bytes between the ends were asked for."""
+
+
+class Ends:
+    """A file of which only the first and the last bytes are at hand, to be read like an open one."""
+
+    def __init__(self, head: bytes, tail: bytes, size: int):
+        self.head, self.tail, self.size, self.at = head, tail, size, 0
+
+    def seek(self, at: int) -> None:
+        self.at = at
+
+    def read(self, n: int) -> bytes:
+        at, end = self.at, min(self.at + n, self.size)
+        self.at = max(at, end)
+        if end <= len(self.head):
+            return self.head[at:end]
+        begin = self.size - len(self.tail)
+        if at < begin:
+            raise OutOfReach
+        return self.tail[at - begin:end - begin]
+
+
 def wav_samples(content: pa.Buffer) -> tuple[np.ndarray, int]:
     """Mono samples in [-1, 1] and the sampling rate; channels are averaged."""
     try:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from speechloom.functions.text import append_language_tag, normalize_text, strip_text
+from speechloom.operators.embedded import embedded_duration, is_embedded
 from speechloom.schema import COMPACT_REASON, TARGET_RATE
 
 # Number grammar of a supplied duration: digits may be grouped by single underscores.
@@ -107,7 +108,12 @@ def skip_reason_local_resampled(
 
 
 def duration_of_waveform(df: DataFrame, audio: str = "audio") -> Column:
-    """Samples over rate; NULL for a NULL or zero rate. The rate is 16000 if there is no such field."""
+    """Samples over rate; NULL for a NULL or zero rate. The rate is 16000 if there is no such field.
+
+    Of an embedded file, which comes as bytes, the seconds that its headers tell.
+    """
+    if is_embedded(df.schema[audio].dataType):
+        return embedded_duration(F.col(audio)["bytes"])
     rate = (
         F.col(audio)["sampling_rate"]
         if "sampling_rate" in df.schema[audio].dataType.names
@@ -119,20 +125,24 @@ def duration_of_waveform(df: DataFrame, audio: str = "audio") -> Column:
 def skip_reason_dataset(
     df: DataFrame, shortest: float, longest: float, audio: str = "audio", text: str = "text"
 ) -> Column:
-    """Dataset rows with an embedded waveform, eight reasons."""
+    """Dataset rows with an embedded waveform or audio file, eight reasons.
+
+    A file without bytes has no samples; one that cannot be read is an error.
+    """
     if audio not in df.columns:
         return F.lit("no_audio_col")
     missing = F.when(F.col(audio).isNull(), "no_audio_col")
     kind = df.schema[audio].dataType
     if not isinstance(kind, T.StructType):
         return missing.otherwise("audio_not_dict")
-    if "array" not in kind.names:
+    samples = "bytes" if is_embedded(kind) else "array"
+    if samples not in kind.names:
         return missing.otherwise("no_array")
     given = guard_text(df, text)
     duration = duration_of_waveform(df, audio)
     return _first_reason([
         (F.col(audio).isNull(), "no_audio_col"),
-        (F.col(audio)["array"].isNull(), "no_array"),
+        (F.col(audio)[samples].isNull(), "no_array"),
         (given.isNull(), "no_text"),
         (strip_text(given) == "", "empty_text"),
         (duration.isNull(), "error"),

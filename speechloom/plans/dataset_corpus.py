@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from speechloom.functions.paths import name_audio_file
+from speechloom.operators.embedded import decoded_audio, is_embedded
 from speechloom.operators.ladders import (
     guard_text,
     manifest_text,
@@ -50,11 +51,16 @@ def dataset_waveforms(
 
     Files are named after the source position, so skipped rows leave gaps. Waveforms of skipped
     rows are dropped before any Python function sees them. Where the schema alone decides the
-    reason, because there is no waveform column, all rows come back without waveform.
+    reason, because there is no waveform column, all rows come back without waveform. Embedded files
+    of valid rows are decoded; those in a format that is not get the reason ``error``.
     """
     spoken = manifest_text(guard_text(explained, text), language_tag=language_tag)
     valid = explained.withColumn("_text", spoken)
-    if has_waveforms(explained, audio):
+    if audio in explained.columns and is_embedded(explained.schema[audio].dataType):
+        files = F.when(F.col("reason").isNull(), F.col(audio)["bytes"])
+        waves = resample_waveforms(valid.withColumn(audio, decoded_audio(files)), audio).withColumn(
+            "reason", F.coalesce("reason", F.when(F.col(audio)["array"].isNull(), "error")))
+    elif has_waveforms(explained, audio):
         waves = resample_waveforms(valid.withColumn(audio, F.when(F.col("reason").isNull(), F.col(audio))), audio)
     else:
         waves = valid.withColumn(audio, F.lit(None).cast(WAVEFORM)).withColumn("duration", F.lit(None).cast("double"))

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections import deque
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -12,12 +14,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from speechloom.functions.paths import plain_path
+from speechloom.functions.paths import absolute_dir, plain_path
 from speechloom.functions.waveform import audio_duration, wav_duration
 from speechloom.schema import AUDIO_EXTENSIONS
+from speechloom.workspace import fresh_dir, path_exists
 
 # files that one task has open at a time
 OPEN_FILES = 8
+# folders that one task of a listing goes through
+FOLDERS = 256
+LISTED_ROWS = 10_000
+LISTED = "path string, length bigint"
 
 
 def union_extensions(extensions: tuple[str, ...] | list[str] = AUDIO_EXTENSIONS) -> str:
@@ -34,9 +41,13 @@ def scan_audio_dir(
 ) -> DataFrame:
     """``path, length`` of the audio files below ``path``, in the form that resolved transcript paths have.
 
-    File bytes come only on request: Spark holds each file in one value, so one of 2 GB or more ends
-    a job that asks for them. Durations and resampling don't need them.
+    Folders are listed by tasks (``listed_files``) when this is called. File bytes come only on request:
+    then Spark's reader lists them and holds each file in one value, so one of 2 GB or more ends a job
+    that asks for them. Durations and resampling don't need them. Spark's reader also lists for paths
+    with glob characters.
     """
+    if not content and not re.search(r"[*?{\[]", path):
+        return listed_files(spark, path, extensions)
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
@@ -48,6 +59,76 @@ def scan_audio_dir(
     return files.select(*columns)
 
 
+def _listing(default: str, endings: tuple[str, ...]) -> Callable:
+    """Lists the folders that it is handed and those found in them, up to ``FOLDERS``; hands on the rest."""
+
+    def run(batches):
+        from pyarrow import fs
+
+        opened = file_opener(default)
+        for batch in batches:
+            rest = deque(batch.column("path").to_pylist())
+            for _ in range(max(FOLDERS, len(rest))):
+                if not rest:
+                    break
+                folder = rest.popleft()
+                client, name = opened(folder)
+                # a folder that is gone by now has no files
+                found = client.get_file_info(fs.FileSelector(name or "/", allow_not_found=True))
+                files = []
+                for info in found:
+                    # hidden names, as Spark's readers have it
+                    if info.base_name.startswith((".", "_")):
+                        continue
+                    below = f"{folder.rstrip('/')}/{info.base_name}"
+                    if info.type == fs.FileType.Directory:
+                        rest.append(below)
+                    elif info.type == fs.FileType.File and info.base_name.endswith(endings):
+                        files.append((below, info.size))
+                for at in range(0, len(files), LISTED_ROWS):
+                    yield _listed_batch(files[at:at + LISTED_ROWS], False)
+            yield _listed_batch([(path, 0) for path in rest], True)
+
+    return run
+
+
+def _listed_batch(rows: list[tuple[str, int]], is_folder: bool) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()),
+         pa.array([is_folder] * len(rows), pa.bool_())], ["path", "length", "is_folder"])
+
+
+def listed_files(
+    spark: SparkSession, path: str, extensions: tuple[str, ...] | list[str] = AUDIO_EXTENSIONS
+) -> DataFrame:
+    """``path, length`` of the files with these extensions below a folder, listed by tasks, breadth first.
+
+    A round takes the folders that are known but not listed yet, deals them out and writes what it finds;
+    the folders among that are the next round's. A task goes on into what it finds for up to ``FOLDERS``
+    folders, so a small tree takes one round and a large one few more than it needs for its width. The
+    driver sees no file and no folder but the first, only whether folders are left. Needs a file system
+    that the executors' Arrow library can open.
+    """
+    if not path_exists(spark, path):
+        raise FileNotFoundError(path)
+    default = default_fs(spark)
+    endings = tuple(form for e in extensions for form in dict.fromkeys((e, e.upper())))
+    root = absolute_dir(path, default_fs=default)
+    frontier = spark.createDataFrame([(root,)], "path string")
+    levels, n = [], 1
+    while n:
+        tasks = min(-(-n // FOLDERS), 100 * spark.sparkContext.defaultParallelism)
+        dealt = frontier.coalesce(1) if tasks == 1 else frontier.repartition(tasks, "path")
+        out = fresh_dir(spark, "listed")
+        # folders and files apart, so that each is read alone
+        dealt.mapInArrow(_listing(default, endings), f"{LISTED}, is_folder boolean").write.partitionBy("is_folder").parquet(out)
+        level = spark.read.schema(f"{LISTED}, is_folder boolean").parquet(out)
+        levels.append(level)
+        frontier = level.where("is_folder").select("path")
+        n = frontier.count()
+    return reduce(DataFrame.unionByName, levels).where("NOT is_folder").select("path", "length")
+
+
 def default_fs(spark: SparkSession) -> str:
     """The file system of paths without a scheme."""
     return spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from checks.queries import BPE_MERGES, CHECKPOINTS
+from checks.queries import BPE_ROUNDS, CHECKPOINTS
 from checks.stand_ins import LONGEST, SHORTEST, TAGS
 
 # White space for trimming; the given texts hold no other kind.
@@ -195,7 +195,12 @@ spoken AS (
 
 CORPUS = f"{UTT}, corpus AS (SELECT {_strip('text')} AS text FROM utt WHERE text <> '')"
 
-FREQUENCIES = f"""{CORPUS},
+SHORT_CORPUS = f"""corpus AS (
+  SELECT {_strip('text')} AS text FROM (
+    SELECT o_orderpriority AS text FROM orders UNION ALL SELECT p_type FROM part
+    UNION ALL SELECT c_mktsegment FROM customer UNION ALL SELECT event_type FROM events) WHERE text <> '')"""
+
+COUNTED = f"""
 freq AS (SELECT '▁' || w AS word, count(*) AS n FROM (SELECT unnest({_words('text')}) AS w FROM corpus) GROUP BY 1),
 chars AS (SELECT c AS char, sum(n)::BIGINT AS n FROM (SELECT unnest(string_split(word, '')) AS c, n FROM freq) GROUP BY 1),
 ranked AS (
@@ -204,12 +209,14 @@ ranked AS (
   FROM chars)
 """
 
+FREQUENCIES = f"{CORPUS},{COUNTED}"
+
 
 def _merge_rounds(rounds: int) -> str:
-    """Byte-pair training, one pair of CTEs per merge."""
+    """Byte-pair training, one pair of CTEs per merge; they are empty once every word is one piece."""
     rare = "(SELECT coalesce(string_agg(char, '' ORDER BY char), '') FROM ranked WHERE NOT covered)"
     parts = [
-        FREQUENCIES,
+        f"{SHORT_CORPUS},{COUNTED}",
         f"""t0 AS MATERIALIZED (
           SELECT chr(1) || array_to_string(string_split(translate(word, {rare}, repeat(chr(3), length({rare})::INT)), ''),
             chr(2) || chr(1)) || chr(2) AS s, n
@@ -345,12 +352,13 @@ ORACLE = {
     "validate_audio_table": _with(WAV_FILES, """SELECT path, coalesce(d BETWEEN 0.1 AND 20, false) AS ok, d AS duration,
         CASE WHEN d IS NULL THEN 'read_error' WHEN d < 0.1 THEN 'too_short' WHEN d > 20 THEN 'too_long' END AS reason
         FROM (SELECT path, CASE WHEN NOT cut THEN n::DOUBLE / rate END AS d FROM wav_files)"""),
-    "train_bpe": _with(_merge_rounds(BPE_MERGES), "SELECT * FROM merges"),
-    "vocabulary": _with(_merge_rounds(BPE_MERGES), f"""
+    "train_bpe": _with(_merge_rounds(BPE_ROUNDS), "SELECT * FROM merges"),
+    "vocabulary": _with(_merge_rounds(BPE_ROUNDS), f"""
         SELECT id::INT AS id, piece, NULL::INT AS rank
         FROM (VALUES (0, '<pad>'), (1, '<unk>'), (2, '<s>'), (3, '</s>'), (4, '<blank>')) t(id, piece)
         UNION ALL SELECT (5 + rank)::INT, piece, rank FROM merges
-        UNION ALL SELECT ({4 + BPE_MERGES} + row_number() OVER (ORDER BY n DESC, char))::INT, char, NULL FROM ranked WHERE covered"""),
+        UNION ALL SELECT (4 + (SELECT count(*) FROM merges) + row_number() OVER (ORDER BY n DESC, char))::INT, char, NULL
+        FROM ranked WHERE covered"""),
     "transcribe": _with(UTT, "SELECT path, replace(string_split(path, '/')[-1], '.wav', '') AS transcription FROM files"),
     "transcribe_directory": _with(WAV_FILES, "SELECT path, lpad(vec_id::VARCHAR, 8, '0') AS transcription FROM listed"),
     "evaluate_manifest": _with(SPOKEN + "," + _alignment("spoken"), _RATES, recursive=True),

@@ -28,12 +28,14 @@ from speechloom.plans.dataset_corpus import explain_dataset, prepare_dataset_cor
 from speechloom.plans.evaluation import evaluate_manifest, transcribe_directory
 from speechloom.plans.local_corpus import explain_transcripts, prepare_local_corpus
 from speechloom.plans.tokenizer import train_tokenizer
+from speechloom.schema import MERGES
 from speechloom.sources import audio_files, datasets, manifests, positions
 from speechloom.sources import transcripts as delimited
 from speechloom.streaming.manifest import stream_manifest
-from speechloom.workspace import fresh_dir, written
+from speechloom.workspace import fresh_dir, path_exists, written, written_at
 
-BPE_MERGES = 64  # of the two queries that SQL checks; those of the whole training are in WITHOUT_SQL
+BPE_ROUNDS = 160  # more than the words of ``S.short_texts`` have merges, so that SQL sees the end of the training
+EVERYTHING = 1 << 30
 CHECKPOINTS = 5
 
 
@@ -493,24 +495,51 @@ def validate_audio_table_query(spark, sf_dir):
 # tokenizer
 
 
+_short: dict[tuple[str, str], list] = {}
+
+
+def _short_training(spark, sf_dir):
+    """Word counts of the short texts and all their merges, until every word is one piece; trained once."""
+    words = written(vocabulary.word_frequencies(vocabulary.corpus_text(S.short_texts(spark, sf_dir))), "words")
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _short:
+        _short[key] = vocabulary.train_bpe(words, EVERYTHING)
+    return words, _short[key]
+
+
 def train_bpe(spark, sf_dir):
-    learned = vocabulary.train_bpe(written(_frequencies(spark, sf_dir), "words"), BPE_MERGES)
-    return vocabulary.merges_table(spark, learned)
+    return vocabulary.merges_table(spark, _short_training(spark, sf_dir)[1])
 
 
 def vocabulary_query(spark, sf_dir):
-    frequencies = written(_frequencies(spark, sf_dir), "words")
-    learned = vocabulary.train_bpe(frequencies, BPE_MERGES)
-    return vocabulary.vocabulary(spark, learned, vocabulary.char_coverage(frequencies))
+    words, learned = _short_training(spark, sf_dir)
+    return vocabulary.vocabulary(spark, learned, vocabulary.char_coverage(words))
+
+
+_tokenizers: dict[tuple[str, str], tuple[str, str]] = {}
+
+
+def _tokenizer(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Merges and vocabulary of 1,024, trained once per application and table folder and read from then on."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    kept = _tokenizers.get(key)
+    if not kept or not all(path_exists(spark, p) for p in kept):
+        tables, paths = train_tokenizer(S.transcripts(spark, sf_dir)), []
+        for df in tables:
+            paths.append(fresh_dir(spark, "tokenizer"))
+            written_at(df, paths[-1])
+        _tokenizers[key] = tuple(paths)
+    schemas = (MERGES, "id int, piece string, rank int")
+    return tuple(spark.read.schema(s).parquet(p) for s, p in zip(schemas, _tokenizers[key]))
 
 
 def tokenizer_merges(spark, sf_dir):
     """All merges of the whole training, up to a vocabulary of 1,024."""
-    return train_tokenizer(S.transcripts(spark, sf_dir))[0]
+    return _tokenizer(spark, sf_dir)[0]
 
 
 def tokenizer_vocabulary(spark, sf_dir):
-    return train_tokenizer(S.transcripts(spark, sf_dir))[1]
+    return _tokenizer(spark, sf_dir)[1]
 
 
 # scoring

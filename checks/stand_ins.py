@@ -6,6 +6,8 @@ files, embeddings for waveforms and conversation turns for reference texts.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +48,13 @@ def transcripts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def short_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``text`` of few different words, as many as there are rows: kinds of orders, parts, customers and events."""
+    columns = (("orders", "o_orderpriority"), ("part", "p_type"), ("customer", "c_mktsegment"), ("events", "event_type"))
+    parts = [table(spark, sf_dir, name).select(F.col(column).alias("text")) for name, column in columns]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def audio_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``path, measured``: labelled documents have a file, unreadable where the quality is 0."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "n_chars")

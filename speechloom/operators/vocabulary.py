@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+import heapq
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,10 +14,16 @@ from speechloom.schema import CONTROL_PIECES, MERGES
 from speechloom.workspace import discard, fresh_dir, written_at
 
 WORD_START = "▁"
-OPEN, CLOSE, UNKNOWN = "\x01", "\x02", "\x03"
-CANDIDATES = 512  # pairs brought to the driver per round
+UNKNOWN = "\x03"
+FIRST_PIECE = 0x110000  # characters go by their code points, pieces by the numbers from here
+CANDIDATES = 65_536  # pairs brought to the driver at a time
+LEADING = 512  # of these, pairs that a round chooses from
 WORDS_PER_TASK = 200_000
-PENDING = 48  # merges per round, and merges after which the word table is written
+FEW_WORDS = 5_000  # that are not worth a task of their own
+PENDING = 48  # merges per round
+PAIRS_HELD = 1 << 20  # pairs that a task sums up at a time
+_PAIRS = "left string, right string, n bigint"
+_POSTED = "seam bigint, symbols array<int>, n bigint"
 
 
 def corpus_text(df: DataFrame, text: str = "text") -> DataFrame:
@@ -55,26 +62,6 @@ def _covered(chars: DataFrame, coverage: float) -> DataFrame:
     return chars.withColumn("covered", reached < coverage)
 
 
-def pair_counts(symbols: DataFrame) -> DataFrame:
-    """``left, right, n`` over neighbouring symbols of the framed words."""
-    parts = F.split(F.replace("symbols", F.lit(OPEN), F.lit("")), CLOSE)  # ends with an empty part
-    split = symbols.select("n", parts.alias("s"))
-    # explode_outer and coalesce, because explode and plain comparisons make Spark add filters on
-    # the split words below, which would split every word twice
-    neighbours = F.when(F.size("s") > 2, F.sequence(F.lit(1), F.size("s") - 2))
-    placed = split.select("n", "s", F.explode_outer(neighbours).alias("i"))
-
-    def known(symbol):
-        return F.coalesce(symbol, F.lit(UNKNOWN)) != UNKNOWN
-
-    return (
-        placed.select(F.get("s", F.col("i") - 1).alias("left"), F.get("s", "i").alias("right"), "n")
-        .where(known("left") & known("right"))
-        .groupBy("left", "right")
-        .agg(F.sum("n").alias("n"))
-    )
-
-
 def independent_merges(
     top: list[tuple[int, str, str]], complete: bool, known: set[str], limit: int
 ) -> list[tuple[int, str, str]]:
@@ -112,87 +99,283 @@ def independent_merges(
     return chosen
 
 
-def _frame(symbol: str) -> str:
-    return f"{OPEN}{symbol}{CLOSE}"
-
+def numbered_words(frequencies: DataFrame, uncovered: list[str]) -> DataFrame:
+    """``symbols, n`` of words of several characters, as code points; those outside the alphabet become one mark.
 
-def framed_words(frequencies: DataFrame, uncovered: list[str]) -> DataFrame:
-    """Words as a row of framed characters; characters outside the alphabet become one mark.
-
-    The three control characters used as frames and mark are never part of the alphabet.
+    Three control characters are never part of the alphabet.
     """
-    outside = "".join(dict.fromkeys([*uncovered, OPEN, CLOSE, UNKNOWN]))
+    outside = "".join(dict.fromkeys([*uncovered, "\x01", "\x02", UNKNOWN]))
     word = F.translate("word", outside, UNKNOWN * len(outside))
     chars = F.filter(F.split(word, ""), lambda c: c != "")
-    framed = F.concat(F.lit(OPEN), F.array_join(chars, CLOSE + OPEN), F.lit(CLOSE))
-    return frequencies.select(framed.alias("symbols"), "n")
+    return frequencies.select(F.transform(chars, F.ascii).alias("symbols"), "n").where(F.size("symbols") > 1)
+
+
+class Symbols:
+    """Numbers and strings of symbols, and the merges in numbers; small enough to go along with every task."""
+
+    def __init__(self):
+        self.pieces: list[str] = []
+        self.number: dict[str, int] = {}
+
+    def of(self, symbol: str) -> int:
+        if len(symbol) == 1:
+            return ord(symbol)
+        if symbol not in self.number:
+            self.number[symbol] = FIRST_PIECE + len(self.pieces)
+            self.pieces.append(symbol)
+        return self.number[symbol]
+
+    def merges(self, pairs: list[tuple[str, str]]) -> list[tuple[int, int, int]]:
+        return [(self.of(left), self.of(right), self.of(left + right)) for left, right in pairs]
+
+    def name(self, number: int) -> str:
+        return chr(number) if number < FIRST_PIECE else self.pieces[number - FIRST_PIECE]
+
+    def ends(self, symbols: np.ndarray, place: int) -> np.ndarray:
+        """Code points of the first (0) or last (-1) characters of symbols."""
+        table = np.array([ord(p[place]) for p in self.pieces] or [0], np.int64)
+        return np.where(symbols < FIRST_PIECE, symbols, table[np.maximum(symbols - FIRST_PIECE, 0)])
+
+
+def seam(last: str | np.ndarray, first: str | np.ndarray):
+    """The number of a seam, where the last character of a symbol meets the first of the next."""
+    if isinstance(last, str):
+        last, first = ord(last[-1]), ord(first[0])
+    return last * FIRST_PIECE + first
+
+
+class Words:
+    """The words of an Arrow batch as one row of symbols; ``owner`` has the word of each."""
+
+    def __init__(self, column: pa.Array):
+        sizes = np.diff(column.offsets.to_numpy())
+        self.symbols = column.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+        self.owner = np.repeat(np.arange(len(sizes)), sizes)
+
+    def merge(self, merges: list[tuple[int, int, int]]) -> None:
+        """Apply merges one after the other, each from left to right, to all words."""
+        for left, right, piece in merges:
+            s, o = self.symbols, self.owner
+            at = np.flatnonzero((s[:-1] == left) & (s[1:] == right) & (o[:-1] == o[1:]))
+            if left == right and len(at):
+                # of a run of overlapping places every other one counts
+                starts = np.flatnonzero(np.diff(at, prepend=-2) != 1)
+                run = np.repeat(starts, np.diff(starts, append=len(at)))
+                at = at[(np.arange(len(at)) - run) % 2 == 0]
+            if len(at):
+                s[at] = piece
+                self.symbols, self.owner = np.delete(s, at + 1), np.delete(o, at + 1)
+
+    def only(self, words: np.ndarray) -> "Words":
+        """The words that a mask names, under their old numbers."""
+        out = object.__new__(Words)
+        kept = words[self.owner]
+        out.symbols, out.owner = self.symbols[kept], self.owner[kept]
+        return out
+
+    def neighbours(self) -> np.ndarray:
+        """Places whose symbol has another of its word behind it."""
+        return np.flatnonzero(self.owner[:-1] == self.owner[1:])
+
+    def pairs(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of neighbours, as (left, right) rows, and the counts of their words."""
+        at = self.neighbours()
+        both = np.stack([self.symbols[at], self.symbols[at + 1]], axis=1)
+        known = (both != ord(UNKNOWN)).all(axis=1)
+        return both[known], n[self.owner[at]][known]
+
+    def lists(self, words: np.ndarray) -> pa.Array:
+        """The named words as an Arrow list column."""
+        sizes = np.bincount(self.owner, minlength=len(words))
+        offsets = np.concatenate([[0], np.cumsum(sizes[words])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.symbols[words[self.owner]].astype(np.int32)))
+
+
+def _summed(pairs: list[np.ndarray], counts: list[np.ndarray], symbols: Symbols) -> pa.RecordBatch:
+    """Pairs with their summed counts, by name, without those that come to nothing."""
+    both = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
+    different, which = np.unique(both, axis=0, return_inverse=True)
+    total = np.zeros(len(different), np.int64)
+    np.add.at(total, which.reshape(-1), np.concatenate(counts) if counts else np.empty(0, np.int64))
+    kept = different[total != 0]
+    return pa.RecordBatch.from_arrays(
+        [pa.array([symbols.name(x) for x in kept[:, i].tolist()], pa.string()) for i in (0, 1)]
+        + [pa.array(total[total != 0])], ["left", "right", "n"])
+
+
+def pair_counts(words: DataFrame, symbols: Symbols, merges: list[tuple[int, int, int]]) -> DataFrame:
+    """``left, right, n`` over neighbouring symbols of all words after some merges."""
+
+    def run(batches):
+        for rows in batches:
+            w = Words(rows.column("symbols"))
+            w.merge(merges)
+            pairs, n = w.pairs(rows.column("n").to_numpy())
+            yield _summed([pairs], [n], symbols)
+
+    return words.select("symbols", "n").mapInArrow(run, _PAIRS).groupBy("left", "right").agg(F.sum("n").alias("n"))
+
+
+class Postings:
+    """Inverted table from seams to words, in the order of the seams.
+
+    A merge can only change words that have its seam, so a round reads these postings alone. Words are
+    kept as they were when the table was written; a task brings them up to date with the merges since.
+    From time to time the table is written again without the seams that have been merged away.
+    """
+
+    def __init__(self, words: DataFrame, slices: int, symbols: Symbols):
+        s = F.col("symbols")
+        left, right = (F.transform(x, lambda c: c.cast("bigint")) for x in (F.slice(s, 1, F.size(s) - 1), F.slice(s, 2, F.size(s) - 1)))
+        known = F.when((F.size(s) > 1), F.zip_with(left, right, lambda a, b: F.when(
+            (a != ord(UNKNOWN)) & (b != ord(UNKNOWN)), a * FIRST_PIECE + b)))
+        posted = words.select(F.explode(F.array_distinct(F.array_compact(known))).alias("seam"), "symbols", "n")
+        self.spark, self.path, self.symbols = words.sparkSession, fresh_dir(words.sparkSession, "postings"), symbols
+        self.since: list[tuple[str, str]] = []
+        # each file has a share of the words, in the order of the seams: a frequent seam is read by all tasks
+        self.table = written_at(posted.repartition(slices, "symbols").sortWithinPartitions("seam"), self.path)
+
+    def changes(self, batch: list[tuple[str, str]]) -> list[tuple[str, str, int]]:
+        """What the merges of a batch add to the count of each pair; bounded by batch and vocabulary."""
+        seams = list(dict.fromkeys(seam(left, right) for left, right in batch))
+        # always more values than Spark compiles one by one, so that all rounds share their code
+        asked = F.col("seam").isin(*seams, *(-i for i in range(1, 13)))
+        symbols, order = self.symbols, np.argsort(seams)
+        since, now = symbols.merges(self.since), symbols.merges(batch)
+
+        def run(batches):
+            pairs, counts = [], []
+            for rows in batches:
+                n, own = rows.column("n").to_numpy(), rows.column("seam").to_numpy()
+                w = Words(rows.column("symbols"))
+                w.merge(since)
+                # a word that has several of the seams is looked at under the first of them
+                at = w.neighbours()
+                found = seam(symbols.ends(w.symbols[at], -1), symbols.ends(w.symbols[at + 1], 0))
+                place = np.searchsorted(seams, found, sorter=order).clip(max=len(seams) - 1)
+                place = np.where(np.array(seams)[order][place] == found, order[place], len(seams))
+                first = np.full(rows.num_rows, len(seams))
+                np.minimum.at(first, w.owner[at], place)
+                w = w.only(np.append(seams, -1)[first] == own)
+                before, times = w.pairs(n)
+                w.merge(now)
+                after, times_after = w.pairs(n)
+                pairs += [before, after]
+                counts += [-times, times_after]
+                if sum(map(len, counts)) > PAIRS_HELD:
+                    yield _summed(pairs, counts, symbols)
+                    pairs, counts = [], []
+            yield _summed(pairs, counts, symbols)
+
+        told = self.table.where(asked).mapInArrow(run, _PAIRS)
+        self.since = self.since + batch
+        return [tuple(r) for r in told.groupBy("left", "right").agg(F.sum("n").alias("n")).where("n != 0").collect()]
+
+    def compact(self) -> None:
+        """Bring the words up to date and leave out seams and words that no merge can change any more."""
+        symbols, since = self.symbols, self.symbols.merges(self.since)
+
+        def run(batches):
+            for rows in batches:
+                own = rows.column("seam").to_numpy()
+                w = Words(rows.column("symbols"))
+                w.merge(since)
+                at = w.neighbours()
+                there = seam(symbols.ends(w.symbols[at], -1), symbols.ends(w.symbols[at + 1], 0)) == own[w.owner[at]]
+                kept = np.bincount(w.owner[at], there, rows.num_rows) > 0
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(own[kept]), w.lists(kept), pa.array(rows.column("n").to_numpy()[kept])], ["seam", "symbols", "n"])
+
+        older, self.path = self.path, fresh_dir(self.spark, "postings")
+        self.table = written_at(self.table.mapInArrow(run, _POSTED), self.path)
+        self.since = []
+        discard(self.spark, older)
+
+
+class Pairs:
+    """The most frequent pairs with their counts, on the driver: at most ``CANDIDATES`` and those made since.
+
+    Pairs that are not listed have at most ``floor``; it is 0 if all are listed. Counts of unlisted pairs
+    can only fall, but for pairs with a symbol that a merge arrives at once more.
+    """
+
+    def __init__(self, counts: DataFrame):
+        rows = [tuple(r) for r in counts.orderBy(F.desc("n"), "left", "right").limit(CANDIDATES + 1).collect()]
+        self.first = rows[:1]
+        self.floor = rows[-1][2] if len(rows) > CANDIDATES else 0
+        self.counts = {(left, right): n for left, right, n in rows if n > self.floor}
+
+    def top(self, n: int) -> tuple[list[tuple[int, str, str]], bool]:
+        """The first of the pairs that are certain, and whether there are no others at all."""
+        sure = [(count, *pair) for pair, count in self.counts.items() if count > self.floor]
+        leading = heapq.nsmallest(n, sure, key=lambda x: (-x[0], x[1], x[2]))
+        return leading, len(sure) <= n and not self.floor
+
+    def change(self, changes: list[tuple[str, str, int]], made: set[str]) -> None:
+        for left, right, n in changes:
+            pair = (left, right)
+            if pair in self.counts or left in made or right in made or not self.floor:
+                count = self.counts.get(pair, 0) + n
+                if count > 0:
+                    self.counts[pair] = count
+                else:
+                    self.counts.pop(pair, None)
 
 
 def train_bpe(
     frequencies: DataFrame,
     merges: int,
     coverage: float = 0.9999,
-    table_every: int = 4,
+    table_every: int = 24,
 ) -> list[tuple[int, str, str, str, int]]:
     """Learn byte-pair merges from a word-frequency table until there are ``merges`` pieces.
 
     Returns rank, left, right, piece and count per merge; ties go to the smaller left, then right.
-    Pairs are counted over all distinct words once. Each round brings the most frequent ones to the
-    driver and applies every merge that is certain to come next; only words that hold a merged pair
-    are then counted again, before and after, and the difference is added to the table of counts.
-    Words that are down to one symbol leave the table. The word table is written to the shared folder
-    every ``table_every`` rounds, or sooner after many merges, to cut its lineage and keep the
-    generated code small. ``frequencies`` is read several times, so it should be a stored table.
+    Pairs are counted over all distinct words once, and the most frequent ones come to the driver. Each
+    round takes every merge that is certain to come next, reads the postings of their seams alone, and
+    gets back what they change. The postings are written anew every ``table_every`` rounds. Pairs are
+    counted over all words again only where the listed ones no longer tell. ``frequencies`` is read
+    several times, so it should be a stored table.
     """
     spark = frequencies.sparkSession
     # words are short but cost many pairs each, so partitions are sized by words, not by bytes
-    slices = max(spark.sparkContext.defaultParallelism, -(-frequencies.count() // WORDS_PER_TASK))
+    n_words = frequencies.count()
+    slices = max(-(-n_words // WORDS_PER_TASK), min(spark.sparkContext.defaultParallelism, -(-n_words // FEW_WORDS)), 1)
     chars = _covered(char_frequencies(frequencies), coverage)
     uncovered = [r[0] for r in chars.where("NOT covered").select("char").collect()]
+    table, symbols = fresh_dir(spark, "bpe"), Symbols()
+    words = written_at(numbered_words(frequencies, uncovered).repartition(slices), table)
+    postings = Postings(words, slices, symbols)
+    learned: list[tuple[int, str, str, str, int]] = []
 
-    def stored(df, path):
-        # filtered on the stored column: a filter over the merged one would merge a second time
-        return written_at(df, path).where(F.instr("symbols", CLOSE + OPEN) > 0)
+    def counted() -> Pairs:
+        return Pairs(pair_counts(words, symbols, symbols.merges([(left, right) for _, left, right, _, _ in learned])))
 
-    table = fresh_dir(spark, "bpe")
-    current = stored(framed_words(frequencies, uncovered).repartition(slices, "symbols"), table)
-    counted = fresh_dir(spark, "pairs")
-    counts = written_at(pair_counts(current), counted)
-    known: set[str] = set()
-    learned: list[tuple[int, str, str, str, int]] = []
-    rounds = pending = 0
+    pairs, fresh, known, rounds = counted(), True, set(), 0
     while len(known) < merges:
-        top = [
-            (r["n"], r["left"], r["right"])
-            for r in counts.orderBy(F.col("n").desc(), "left", "right")
-            .limit(CANDIDATES).collect()
-        ]
-        room = min(PENDING, merges - len(known))
-        batch = independent_merges(top, len(top) < CANDIDATES, known, room)
+        top, complete = pairs.top(LEADING)
+        if not top and pairs.floor and not fresh:
+            pairs, fresh = counted(), True
+            top, complete = pairs.top(LEADING)
+        if not top and pairs.first:
+            # every listed pair is as frequent as some that are not: only the first is certain
+            top, complete = [(n, left, right) for left, right, n in pairs.first], False
+            pairs.counts = {}
+        batch = independent_merges(top, complete, known, min(PENDING, merges - len(known)))
         if not batch:
             break
-        symbols = F.col("symbols")
+        again = {left + right for _, left, right in batch} & {piece for *_, piece, _ in learned}
         for count, left, right in batch:
             learned.append((len(learned), left, right, left + right, count))
-            symbols = F.replace(symbols, F.lit(_frame(left) + _frame(right)), F.lit(_frame(left + right)))
-        holds = reduce(or_, [F.instr("symbols", _frame(left) + _frame(right)) > 0 for _, left, right in batch])
-        touched = current.where(holds)
-        change = pair_counts(touched.select(symbols.alias("symbols"), "n")).unionByName(
-            pair_counts(touched).withColumn("n", -F.col("n")))
-        older, counted = counted, fresh_dir(spark, "pairs")
-        counts = written_at(
-            counts.unionByName(change).groupBy("left", "right").agg(F.sum("n").alias("n")).where("n > 0"), counted)
-        discard(spark, older)
-        current = current.select(symbols.alias("symbols"), "n")
+        pairs.change(postings.changes([(left, right) for _, left, right in batch]), {x + y for _, x, y in batch} - again)
+        fresh, pairs.first = False, []
+        if again and pairs.floor:
+            pairs, fresh = counted(), True
         rounds += 1
-        pending += len(batch)
-        if rounds >= table_every or pending >= PENDING:
-            rounds = pending = 0
-            older, table = table, fresh_dir(spark, "bpe")
-            current = stored(current, table)
-            discard(spark, older)
+        if rounds % table_every == 0:
+            postings.compact()
     discard(spark, table)
-    discard(spark, counted)
+    discard(spark, postings.path)
     return learned
 
 

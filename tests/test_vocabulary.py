@@ -138,3 +138,57 @@ def test_registered_training_is_whole(spark, monkeypatch):
     pieces = list(dict.fromkeys(a + b for a, b, _ in wanted))
     tail = sorted(chars, key=lambda c: (-chars[c], c))
     assert [r["piece"] for r in rows] == [*CONTROL_PIECES, *pieces, *tail]
+
+
+def test_candidates_that_no_longer_tell_are_counted_again(spark, monkeypatch):
+    """With one listed pair every round asks anew, also where all pairs are as frequent."""
+    monkeypatch.setattr(V, "CANDIDATES", 1)
+    words = {"▁abab": 2, "▁ba": 2, "▁cdc": 2, "▁aaaa": 1, "▁aaa": 1}
+    got = V.train_bpe(frequencies(spark, words), 12, coverage=1.0, table_every=2)
+    assert [(l, r, n) for _, l, r, _, n in got] == one_at_a_time(words, 12, set("".join(words)))
+
+
+def test_pieces_that_several_merges_arrive_at(spark):
+    """a+bc and ab+c, with a pair of the piece learned in between."""
+    words = {"abcd": 9, "xbc": 50, "yab": 30, "zabc": 12, "abce": 3, "qab": 20, "abcabc": 4}
+    for every in (1, 24):
+        got = V.train_bpe(frequencies(spark, words), 14, coverage=1.0, table_every=every)
+        assert [(l, r, n) for _, l, r, _, n in got] == one_at_a_time(words, 14, set("".join(words)))
+
+
+def test_a_round_reads_only_the_postings_of_its_seams(spark):
+    words = random_words(8, "abcdef", 200)
+    symbols = V.Symbols()
+    numbered = V.numbered_words(frequencies(spark, words), [])
+    postings = V.Postings(numbered, 2, symbols)
+    rows = postings.table.collect()
+    wanted = {(V.seam(a, b), w) for w in words for a, b in zip(w, w[1:])}
+    assert {(r["seam"], "".join(map(chr, r["symbols"]))) for r in rows} == wanted
+    plan = postings.table.where(F.col("seam").isin(*range(20)))._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(seam" in plan
+    (_, left, right), *_ = V.Pairs(V.pair_counts(numbered, symbols, [])).top(1)[0]
+    before = one_at_a_time(words, 1, set("".join(words)))
+    assert (left, right) == before[0][:2]
+    postings.changes([(left, right)])
+    postings.compact()
+    after = {w: merge_word(list(w), left, right) for w in words}
+    kept = {(r["seam"], "".join(symbols.name(x) for x in r["symbols"])) for r in postings.table.collect()}
+    assert kept == {(V.seam(a, b), w) for w, s in after.items() for a, b in zip(s, s[1:])}
+
+
+def test_merges_in_words_at_once():
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randrange(1, 12))) for _ in range(200)]
+    symbols = V.Symbols()
+    merges = [("a", "a"), ("b", "aa"), ("aa", "aa"), ("a", "b"), ("ab", "ab")]
+    w = V.Words(pa.array([[ord(c) for c in t] for t in texts], pa.list_(pa.int32())))
+    w.merge(symbols.merges(merges))
+    for i, text in enumerate(texts):
+        plain = list(text)
+        for left, right in merges:
+            plain = merge_word(plain, left, right)
+        assert [symbols.name(x) for x in w.symbols[w.owner == i].tolist()] == plain
+    assert w.lists(np.ones(200, bool)).to_pylist()[7] == w.symbols[w.owner == 7].tolist()

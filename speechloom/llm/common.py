@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 from speechloom.workspace import discard, fresh_dir, written_at
@@ -104,15 +105,6 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return first, end, np.searchsorted(first, offsets).astype(np.int64)
 
 
-_ODD = 0x9E3779B97F4A7C15
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit values over all bits."""
     h = h ^ (h >> np.uint64(31))
@@ -122,27 +114,41 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+LONG_WORD = 512  # bytes from which a word is hashed by itself
+
+
 class WordHasher:
-    """64-bit hashes of all words of a slice at once, from running sums of weighted byte values."""
+    """64-bit hashes of all words of a slice at once, eight bytes of every word at a time.
+
+    Each step mixes the bytes into what came before, so that no sum over places makes words equal.
+    """
 
     def __init__(self, seed: int, lower: bool = False):
-        values = np.random.default_rng(seed).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.seed, self.factor = np.random.default_rng(seed).integers(1, 1 << 63, 2, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.case = np.arange(256, dtype=np.uint8)
         if lower:
-            values[65:91] = values[97:123]
-        self.values = values
+            self.case[65:91] = self.case[97:123]
 
     def __call__(self, data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
         if not len(first):
             return np.empty(0, np.uint64)
-        n = len(data)
-        base = _ODD
-        inverse = pow(base, -1, 1 << 64)
-        sums = np.empty(n + 1, np.uint64)
-        sums[0] = 0
-        weighted = self.values[data]
-        weighted *= _powers(base, n)
-        np.cumsum(weighted, out=sums[1:])
-        return mixed((sums[end] - sums[first]) * _powers(inverse, n)[first])
+        padded = np.zeros(len(data) + 8, np.uint8)
+        padded[:len(data)] = self.case[data]
+        eight = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+        size = end - first
+        out = mixed(size.astype(np.uint64) * self.factor + self.seed)
+        for i in np.flatnonzero(size > LONG_WORD):
+            out[i] ^= np.uint64(xxhash.xxh3_64_intdigest(padded[first[i]:end[i]].tobytes(), int(self.seed)))
+        word = np.flatnonzero(size <= LONG_WORD)
+        at, left = first[word], size[word]
+        while len(word):
+            part = eight[at]
+            short = left < 8
+            part[short] &= (np.uint64(1) << (left[short] * 8).astype(np.uint64)) - np.uint64(1)
+            out[word] = mixed((out[word] ^ part) * self.factor)
+            more = left > 8
+            word, at, left = word[more], at[more] + 8, left[more] - 8
+        return out
 
 
 def windows(hashes: np.ndarray, width: int, seed: int) -> np.ndarray:

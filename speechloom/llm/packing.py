@@ -8,6 +8,7 @@ smaller ones go, longest first, into the tightest gap that holds them.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 
@@ -24,12 +25,16 @@ CAPACITY = 1024
 END_ID = 2
 VOCABULARY = "byte_bpe_50k"
 GROUP_ROWS = 50_000
+LONG_SPACE = 10_000  # characters of a run of white space
 
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
 class Encoder:
-    """Ids of whole texts: the rank vocabulary, and its JSON form for texts that hold a special token."""
+    """Ids of whole texts: the rank vocabulary, and its JSON form for texts that hold a special token.
+
+    So do texts with a long run of white space, in which the rank form's pattern goes too deep.
+    """
 
     def __init__(self, vocabulary: str):
         import base64
@@ -44,10 +49,11 @@ class Encoder:
             vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
         )
         self.whole = Tokenizer.from_file(public_tokenizers.path(f"{vocabulary}.json"))
+        self.spaces = re.compile(rf"\s{{{LONG_SPACE}}}")
         self.special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
 
     def __call__(self, text: str) -> list[int]:
-        if any(s in text for s in self.special):
+        if any(s in text for s in self.special) or len(text) >= LONG_SPACE and self.spaces.search(text):
             return self.whole.encode(text, add_special_tokens=False).ids
         return self.plain.encode_ordinary(text)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from speechloom.functions.text import null_tokens_to_empty as empty_if_missing
 from speechloom.schema import AUDIO_COLUMNS, MISSING_TOKENS, TEXT_COLUMNS
+from speechloom.sources.quoted_lines import quoted_records
 
 _ODD_ROW, _MARK = "_odd_row", "\x01"
 
@@ -57,7 +58,8 @@ def read_transcripts(
     """Columns ``audio``, ``text`` and ``duration`` of a delimited file with a header.
 
     Missing cells at the end of a row are empty; a row with more cells than the header fails.
-    ``multi_line`` is needed only for quoted cells with line breaks; it makes each file one task.
+    ``multi_line`` is needed only for quoted cells with line breaks. Such files are gone through twice,
+    each by many tasks: first to see which splits begin inside quotes.
     """
     sep = sep or sniff_delimiter(spark, path)
     dialect = {"sep": sep, "quote": '"', "escape": '"'}
@@ -75,11 +77,16 @@ def read_transcripts(
     reader = reader.options(header=True, columnPruning=False, columnNameOfCorruptRecord=_ODD_ROW)
     if len({n.lower() for n in names}) == len(names) and "" not in names:
         # names are checked against the header of every further file
-        reader = reader.option("enforceSchema", False)
+        reader, checked = reader.option("enforceSchema", False), names
         columns = [f"`{n.replace('`', '``')}`" for n in names]
     else:
-        columns = [f"c{i}" for i in range(len(names))]
-    df = reader.schema(", ".join(f"{c} STRING" for c in [*columns, _ODD_ROW])).csv(path)
+        columns, checked = [f"c{i}" for i in range(len(names))], None
+    schema = ", ".join(f"{c} STRING" for c in [*columns, _ODD_ROW])
+    if multi_line:
+        parsed = F.from_csv("record", F.lit(schema), {**dialect, "columnNameOfCorruptRecord": _ODD_ROW})
+        df = quoted_records(spark, path, sep, checked).select(parsed.alias("r")).select("r.*")
+    else:
+        df = reader.schema(schema).csv(path)
 
     # with marks appended, the last header column of a short row holds a mark
     marked = F.concat(F.rtrim(F.col(_ODD_ROW), F.lit("\r\n")), F.lit(f"{sep}{_MARK}" * len(names)))

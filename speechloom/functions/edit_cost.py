@@ -4,6 +4,10 @@ The cost of a deletion or insertion is B and of a substitution B + 1, with B abo
 number of substitutions. So the minimum over all alignments orders by (number of edits, number of
 substitutions) and both can be read back from one integer. Pairs of similar size are stacked into a matrix, one dynamic-programming row per step, so
 the Python overhead is paid per step of a stack and not per utterance.
+
+Long pairs, such as whole recordings, are aligned one by one in a band around the diagonal, which is
+doubled until the result proves that no better alignment leaves it. So work and memory follow the
+number of errors and not the square of the length.
 """
 
 from __future__ import annotations
@@ -12,6 +16,8 @@ import numpy as np
 import pandas as pd
 
 CELLS = 1 << 16  # matrix entries per stack, small enough for a core's cache
+LONG_CELLS = 1 << 22  # words times words from which a pair is aligned in a band
+BAND = 64  # places on either side of the diagonal to begin with
 COUNTS = ["substitutions", "deletions", "insertions", "hits"]
 
 
@@ -24,9 +30,13 @@ def edit_counts(references: list, hypotheses: list) -> pd.DataFrame:
     edits = np.zeros(pairs, np.int64)
     subs = np.zeros(pairs, np.int64)
     longest = np.maximum(n, m)
+    is_long = n * m > LONG_CELLS
+    for i in np.flatnonzero(is_long):
+        edits[i], subs[i] = banded_cost(ref_ids[i], hyp_ids[i])
     order = np.argsort(-longest, kind="stable")
+    order = order[~is_long[order]]
     at = 0
-    while at < pairs:
+    while at < len(order):
         take = max(1, CELLS // (int(longest[order[at]]) + 1))
         stack = order[at : at + take]
         stack = stack[np.argsort(-n[stack], kind="stable")]
@@ -74,3 +84,57 @@ def _stack_cost(refs, hyps, n, m):
         row[:k] = new
     best = row[np.arange(pairs), m].astype(np.int64)
     return best // b, best % b
+
+
+def _shared(a: np.ndarray, b: np.ndarray) -> int:
+    """Length of the common beginning."""
+    k = min(len(a), len(b))
+    differ = np.flatnonzero(a[:k] != b[:k])
+    return int(differ[0]) if len(differ) else k
+
+
+def banded_cost(ref: np.ndarray, hyp: np.ndarray) -> tuple[int, int]:
+    """Edits and substitutions of one pair.
+
+    What both begin and end with is matched in some cheapest alignment and left out. An alignment that
+    leaves a band of ``k`` places beyond the corners' diagonals needs at least ``2 k + 2`` insertions and
+    deletions more than the lengths differ by, so a result with fewer edits is the best of all.
+    """
+    k = _shared(ref, hyp)
+    ref, hyp = ref[k:], hyp[k:]
+    k = _shared(ref[::-1], hyp[::-1])
+    ref, hyp = ref[:len(ref) - k], hyp[:len(hyp) - k]
+    gap, wide = abs(len(hyp) - len(ref)), max(len(ref), len(hyp))
+    k = min(BAND, wide)
+    while True:
+        edits, subs = _in_band(ref, hyp, k)
+        if edits < gap + 2 * k + 2 or k >= wide:
+            return edits, subs
+        k = min(2 * k, wide)
+
+
+def _in_band(ref: np.ndarray, hyp: np.ndarray, k: int) -> tuple[int, int]:
+    """The cheapest alignment whose places j - i stay within ``k`` of those of both corners."""
+    n, m = len(ref), len(hyp)
+    low, high = min(0, m - n) - k, max(0, m - n) + k
+    width = high - low + 1
+    b = max(n, m) + 1
+    # hyp[j - 1] for all places of a row; outside of the words nothing is equal
+    words = np.full(n + m + 2 * width, -2, np.int64)
+    words[width:width + m] = hyp
+    ramp = np.arange(width, dtype=np.int64) * b
+    # a cost that no alignment has: places before the first word of the row
+    never = np.int64((n + m + 2) * (b + 1) * 2)
+    row = np.where(np.arange(low, high + 1) >= 0, np.arange(low, high + 1) * b, never)
+    for i in range(1, n + 1):
+        at = width + i + low - 1
+        new = row + (words[at:at + width] != ref[i - 1]) * np.int64(b + 1)
+        if i + low <= 0 <= i + high:
+            new[-i - low] = never  # the first column has nothing to its left
+        np.minimum(new[:-1], row[1:] + b, out=new[:-1])
+        new -= ramp
+        np.minimum.accumulate(new, out=new)
+        new += ramp
+        row = new
+    best = int(row[m - n - low])
+    return best // b, best % b

@@ -54,7 +54,8 @@ def first_of_batch(batch: DataFrame, n: int, limits: str, number: int) -> DataFr
 
     ``limits`` is a folder with one small table per batch, the rows kept of each split. Only those of
     earlier batches are read and the batch's own is written anew, so a repeated batch, also after a
-    restart, keeps the same rows. Each task passes on ``n`` ids per split at most.
+    restart, keeps the same rows. A row that comes late, but at a position below ``n``, is kept as well.
+    Each task passes on ``n`` ids per split at most.
     """
     spark = batch.sparkSession
     split = F.col("split") if "split" in batch.columns else F.lit("")
@@ -65,7 +66,9 @@ def first_of_batch(batch: DataFrame, n: int, limits: str, number: int) -> DataFr
         before = spark.read.option("basePath", limits).schema(f"{LIMITS}, batch bigint").parquet(limits)
         # one row per split
         kept = before.where(F.col("batch") < number).groupBy(F.col("split").alias("_split")).agg(F.sum("kept").alias("_kept"))
-        ranked = ranked.join(kept, "_split", "left").where(F.col("_place") <= n - F.coalesce("_kept", F.lit(0)))
+        room = n - F.coalesce("_kept", F.lit(0))
+        # no more rows than its position come before a row, so one below n is always among the first
+        ranked = ranked.join(kept, "_split", "left").where((F.col("_place") <= room) | (F.col("_row") < n))
     own = f"{limits}/batch={number}"
     ranked.groupBy("_split").agg(F.max("_row").alias("_last"), F.count("*").alias("kept")).withColumnRenamed(
         "_split", "split").write.mode("overwrite").parquet(own)

@@ -43,12 +43,14 @@ def test_stream_equals_batch_across_a_restart(spark, tmp_path):
 def test_a_repeated_batch_keeps_the_same_rows(spark, tmp_path):
     rng = random.Random(2)
     limits = str(tmp_path / "limits")
-    batches = [spark.createDataFrame(rows_of(range(a, a + 4), rng), SCHEMA).drop("split") for a in (0, 10, 20)]
+    batches = [spark.createDataFrame(rows_of(range(a, a + 4), rng), SCHEMA).drop("split") for a in (50, 60, 70)]
     first = [sorted(r["row_idx"] for r in first_of_batch(b, 6, limits, k).collect()) for k, b in enumerate(batches)]
-    assert first == [[0, 1, 2, 3], [10, 11], []]
+    assert first == [[50, 51, 52, 53], [60, 61], []]
     for k in (1, 0, 2):
         again = first_of_batch(batches[k], 6, limits, k).collect()
         assert sorted(r["row_idx"] for r in again) == first[k]
+    late = spark.createDataFrame(rows_of([3, 90], rng), SCHEMA).drop("split")
+    assert [r["row_idx"] for r in first_of_batch(late, 6, limits, 3).collect()] == [3]
 
 
 @pytest.mark.parametrize("n", [0, None])

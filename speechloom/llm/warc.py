@@ -2,6 +2,10 @@
 
 A payload is streamed as rows of record identifier and chunk number, each with the digest of all
 bytes so far. Chunks become WARC segments: the first is the record, the others are continuations.
+Which records repeat an earlier payload is found from one slim row per record. A bitmap of fixed size
+then tells chunks that certainly belong to no such record: they go from the chunk table straight into
+archives. Only the others meet the exact list in a shuffle. On reading, only segments of records that
+have several are shuffled.
 Spark's text writer and reader carry the archives, so any file system that Spark knows will do. No
 chunk holds the line that begins a record or ends in that line without its break, which the writer
 would add; so that line safely separates records on reading.
@@ -10,6 +14,7 @@ would add; so that line safely separates records on reading.
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 
 import pyarrow as pa
@@ -25,8 +30,12 @@ SEPARATOR = VERSION + "\r\n"
 CRLF = "\r\n"
 DATE = "2024-01-01T00:00:00Z"
 
+# bits that tell which records may be revisits, and how many of them a row holds
+BITS = 1 << 26
+ROW_BITS = 1 << 15
+
 CHUNKS = ("record_id string, page_id bigint, url string, chunk int, data string, running_digest string, "
-          "running_bytes bigint, last boolean")
+          "running_bytes bigint, last boolean, digest string, bytes bigint, n_chunks int")
 
 
 def chunk_ends(payload: memoryview, most: int) -> list[int]:
@@ -34,12 +43,8 @@ def chunk_ends(payload: memoryview, most: int) -> list[int]:
 
     No chunk ends in a separator without its line break, because a line break follows each chunk.
     """
-    mark, version = SEPARATOR.encode(), VERSION.encode()
-    whole = payload.obj
-    forced, at = [], whole.find(mark)
-    while at >= 0:
-        forced.append(at + 4)
-        at = whole.find(mark, at + 4)
+    version = VERSION.encode()
+    forced = [found.start() + 4 for found in re.finditer(re.escape(SEPARATOR.encode()), payload)]
     out, at, f = [], 0, 0
     while at < len(payload):
         end = min(at + most, len(payload))
@@ -56,45 +61,64 @@ def chunk_ends(payload: memoryview, most: int) -> list[int]:
 
 
 def chunk_table(pages: DataFrame, most: int = CHUNK_BYTES) -> DataFrame:
-    """Rows ``record_id, page_id, url, chunk, data, running_digest, running_bytes, last``; null html is empty."""
+    """Rows ``record_id, page_id, url, chunk, data, running_digest, running_bytes, last, digest, bytes,
+    n_chunks``, the last three of the whole payload; null html is empty.
+
+    Payloads are read in place: of each, only chunks of one batch and their digests are ever copied.
+    """
 
     def run(batches):
         for batch in slices(batches, "html"):
-            for page_id, url, html in zip(*(batch.column(c).to_pylist() for c in ("page_id", "url", "html"))):
-                payload = memoryview((html or "").encode())
+            pages_of, urls = batch.column("page_id").to_pylist(), batch.column("url").to_pylist()
+            for page_id, url, html in zip(pages_of, urls, batch.column("html")):
+                payload = memoryview(html.as_buffer() if html.is_valid else b"").cast("B")
                 ends = chunk_ends(payload, most)
-                digest, name, at = hashlib.sha256(), str(uuid.uuid4()), 0
+                digest, name, running = hashlib.sha256(), str(uuid.uuid4()), []
+                for at, end in zip([0, *ends], ends):
+                    digest.update(payload[at:end])
+                    running.append(digest.hexdigest())
+                whole = (running[-1], len(payload), len(ends))
                 for first in range(0, len(ends), 64):
-                    rows = []
-                    for i, end in enumerate(ends[first:first + 64], first):
-                        digest.update(payload[at:end])
-                        rows.append((name, page_id, url, i + 1, str(payload[at:end], "utf-8"), digest.hexdigest(),
-                                     end, i + 1 == len(ends)))
-                        at = end
+                    rows = [
+                        (name, page_id, url, i + 1, str(payload[ends[i - 1] if i else 0:ends[i]], "utf-8"), running[i],
+                         ends[i], i + 1 == len(ends), *whole)
+                        for i in range(first, min(first + 64, len(ends)))
+                    ]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), (
                             pa.string(), pa.int64(), pa.string(), pa.int32(), pa.string(), pa.string(), pa.int64(),
-                            pa.bool_()))],
-                        ["record_id", "page_id", "url", "chunk", "data", "running_digest", "running_bytes", "last"])
+                            pa.bool_(), pa.string(), pa.int64(), pa.int32()))],
+                        ["record_id", "page_id", "url", "chunk", "data", "running_digest", "running_bytes", "last",
+                         "digest", "bytes", "n_chunks"])
 
     return pages.select(F.col("page_id").cast("bigint"), F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html")).mapInArrow(run, CHUNKS)
 
 
 def revisits(chunks: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
-    """``record_id, bytes, digest, n_chunks, refers`` of every record; refers names the first of equal payloads."""
-    finals = chunks.filter("last").select(
-        "record_id", "page_id", F.col("running_bytes").alias("bytes"), F.col("running_digest").alias("digest"),
-        F.col("chunk").alias("n_chunks"))
+    """``record_id, refers`` of every record with an earlier one of equal payload, which refers names."""
+    finals = chunks.filter(F.col("last") & (F.col("bytes") >= least)).select("record_id", "page_id", "digest")
     # payloads may be equal in a third of all rows: minima on the way, then a join that Spark can split
     order = F.struct(F.col("page_id").isNull().alias("x"), "page_id", "record_id")
     first = settled(
-        finals.filter(F.col("bytes") >= least).groupBy("digest").agg(
-            F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
+        finals.groupBy("digest").agg(F.min(order).alias("first"), F.count("*").alias("n")).filter("n > 1")
         .select("digest", F.col("first.record_id").alias("first")), "first")
-    return finals.join(first, "digest", "left").select(
-        "record_id", "bytes", "digest", "n_chunks",
-        F.when(F.col("first") != F.col("record_id"), F.col("first")).alias("refers"))
+    return finals.join(first, "digest").filter("record_id <> first").select("record_id", F.col("first").alias("refers"))
+
+
+def doubtful(chunks: DataFrame, again: DataFrame) -> DataFrame:
+    """Add ``doubt``: false only where ``record_id`` is certainly not in ``again``.
+
+    The bitmap has ``BITS`` bits in rows of ``ROW_BITS``, 8 MB whatever the number of records; the more
+    of them there are, the more chunks are in doubt.
+    """
+    spot = F.pmod(F.xxhash64("record_id"), F.lit(BITS))
+    place = spot % ROW_BITS
+    bitmap = again.groupBy(F.floor(spot / ROW_BITS).alias("row")).agg(F.bitmap_construct_agg(place).alias("bits"))
+    byte = F.conv(F.hex(F.substring("bits", (F.floor(place / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    doubt = F.floor(byte / F.pow(F.lit(2), place % 8)).cast("int").bitwiseAND(F.lit(1)) == 1
+    return chunks.withColumn("row", F.floor(spot / ROW_BITS)).join(F.broadcast(bitmap), "row", "left").withColumn(
+        "doubt", F.coalesce(doubt, F.lit(False))).drop("row", "bits")
 
 
 def _line(name: str, value: F.Column) -> F.Column:
@@ -102,10 +126,20 @@ def _line(name: str, value: F.Column) -> F.Column:
 
 
 def write_warc(pages: DataFrame, path: str, *, most: int = CHUNK_BYTES, least: int = LEAST_REVISIT) -> None:
-    """Write a record per row to gzip archives in ``path``; equal payloads of ``least`` bytes are kept once."""
+    """Write a record per row to gzip archives in ``path``; equal payloads of ``least`` bytes are kept once.
+
+    Null html is an empty payload; a row without page_id or url leaves that header out, and among equal
+    payloads it comes last. Repeated rows are records of their own. An empty table gives archives without
+    a record; other columns are not looked at.
+    """
     chunks = settled(chunk_table(pages, most), "chunks", codec="zstd")
-    marks = settled(revisits(chunks, least), "marks")
-    rows = chunks.join(marks, "record_id").filter(F.col("refers").isNull() | (F.col("chunk") == 1))
+    repeats = settled(revisits(chunks, least), "repeats")
+    told = doubtful(chunks, repeats)
+    # segments of a record come in order, out of the chunk table as well as out of the join
+    alone = told.filter(~F.col("doubt")).withColumn("refers", F.lit(None).cast("string"))
+    met = told.filter("doubt").join(repeats, "record_id", "left").filter(
+        F.col("refers").isNull() | (F.col("chunk") == 1)).sortWithinPartitions("record_id", "chunk")
+    rows = alone.unionByName(met)
     again = F.col("refers").isNotNull()
     data = F.when(again, "").otherwise(F.col("data"))
     split = ~again & (F.col("n_chunks") > 1)
@@ -130,13 +164,13 @@ def write_warc(pages: DataFrame, path: str, *, most: int = CHUNK_BYTES, least: i
         F.lit(CRLF), data, F.lit(CRLF),
     )
     # the writer ends each row with the second line break of the record
-    rows.sortWithinPartitions("record_id", "chunk").select(value.alias("value")).write.option(
-        "lineSep", CRLF).option("compression", "gzip").text(path)
-    let_go(pages.sparkSession, (chunks, marks))
+    rows.select(value.alias("value")).write.option("lineSep", CRLF).option("compression", "gzip").text(path)
+    let_go(pages.sparkSession, (chunks, repeats))
 
 
 def read_segments(spark: SparkSession, path: str) -> DataFrame:
-    """One row per record of the archives: ``record_id, segment, type, page_id, url, digest, refers, total, data``.
+    """One row per record of the archives: ``record_id, segment, split, type, page_id, url, digest, refers, total,
+    data``; split tells that its payload comes in several.
 
     A record whose data is not as long as its header says ends the job.
     """
@@ -158,6 +192,8 @@ def read_segments(spark: SparkSession, path: str) -> DataFrame:
     return split.select(
         field("WARC-Record-ID", name).alias("record_id"),
         F.coalesce(field("WARC-Segment-Number", "([0-9]+)").cast("int"), F.lit(1)).alias("segment"),
+        (field("WARC-Segment-Number", "([0-9]+)").isNotNull() | F.coalesce(
+            field("WARC-Type", "([a-z]+)") == "continuation", F.lit(False))).alias("split"),
         field("WARC-Type", "([a-z]+)").alias("type"),
         field("WARC-Page-ID", "(-?[0-9]+)").cast("bigint").alias("page_id"),
         field("WARC-Target-URI", "<([^\r]*)>").alias("url"),
@@ -173,7 +209,8 @@ RECORDS = ("record_id string, page_id bigint, type string, refers string, payloa
 
 
 def read_records(segments: DataFrame) -> DataFrame:
-    """One row per record, its segments digested one after the other as they stream by.
+    """One row per record. A payload in one piece is digested where it is read; segments of others are
+    digested one after the other as they stream by.
 
     Only the digest's state is kept between segments; missing segments end the job.
     """
@@ -195,8 +232,8 @@ def read_records(segments: DataFrame) -> DataFrame:
         for batch in slices(batches, "data"):
             rows = []
             columns = [batch.column(c).to_pylist() for c in (
-                "record_id", "page_id", "type", "refers", "digest", "segment", "total", "data")]
-            for record_id, page_id, kind, refers, named, number, total, data in zip(*columns):
+                "record_id", "page_id", "type", "refers", "digest", "segment", "total")]
+            for record_id, page_id, kind, refers, named, number, total, data in zip(*columns, batch.column("data")):
                 if now is None or record_id != now[0]:
                     if now is not None:
                         rows.append(done())
@@ -204,23 +241,26 @@ def read_records(segments: DataFrame) -> DataFrame:
                 segment += 1
                 if number != segment:
                     raise ValueError(f"record {record_id} lacks segment {segment}")
-                data = data.encode()
+                data = data.as_buffer()
                 digest.update(data)
-                n += len(data)
+                n += data.size
                 told = total if total is not None else told
             yield batch_of(rows)
         if now is not None:
             yield batch_of([done()])
 
-    streamed = segments.repartition("record_id").sortWithinPartitions("record_id", "segment")
-    return streamed.mapInArrow(run, RECORDS)
+    streamed = segments.filter("split").repartition("record_id").sortWithinPartitions("record_id", "segment")
+    return segments.filter("not split").select(
+        "record_id", "page_id", "type", "refers", F.octet_length("data").cast("bigint").alias("payload_bytes"),
+        F.sha2("data", 256).alias("payload_digest"), F.col("digest").alias("told_digest"),
+    ).unionByName(streamed.mapInArrow(run, RECORDS))
 
 
 def payloads(spark: SparkSession, path: str) -> DataFrame:
     """``page_id, payload_bytes, payload_digest, record_type, refers_to`` of every record of the archives.
 
     Lengths and digests are of the full payload; a revisit has those of the response it names. A
-    payload whose digest is not the one in its header ends the job.
+    payload whose digest is not the one in its header ends the job. Archives without a record give no rows.
     """
     records = settled(read_records(read_segments(spark, path)), "records")
     good = F.when(F.col("payload_digest") == F.col("told_digest"), F.col("payload_digest")).otherwise(

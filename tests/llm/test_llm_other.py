@@ -7,6 +7,8 @@ import cases
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from speechloom.llm import language_id, mixing, url_reputation, warc
 
 # language identification
@@ -280,5 +282,22 @@ def test_damage_is_found(spark, tmp_path):
         warc.payloads(spark, path).collect()
 
 
+@pytest.mark.parametrize("bits", [2, 64, 1 << 26])
+def test_chunks_in_doubt_meet_the_exact_list(spark, tmp_path, monkeypatch, bits):
+    monkeypatch.setattr(warc, "BITS", bits)
+    rows = [(i, f"http://a/{i}", f"payload {i % 7} " * (40 if i % 3 else 1000)) for i in range(1, 40)]
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.payloads(spark, archive(spark, tmp_path, rows, most=500)).collect()}
+    first = want_of(rows)
+    assert got == {i: ("response", None) if first[h.encode()] == i else ("revisit", first[h.encode()]) for i, _, h in rows}
+
+
+def test_no_revisit_is_out_of_doubt(spark):
+    chunks = spark.range(3000).select(F.col("id").cast("string").alias("record_id"))
+    again = chunks.filter("cast(record_id as int) % 10 = 0")
+    told = {int(r.record_id): r.doubt for r in warc.doubtful(chunks, again).collect()}
+    assert len(told) == 3000 and all(told[i] for i in range(0, 3000, 10)) and sum(told.values()) < 330
+    assert not any(r.doubt for r in warc.doubtful(chunks, again.limit(0)).collect())
+
+
 def test_empty_archive(spark, tmp_path):
     assert warc.payloads(spark, archive(spark, tmp_path, [])).collect() == []

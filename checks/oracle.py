@@ -285,6 +285,7 @@ ORACLE = {
         {_hex(_pcm_list('samples', 'x::DOUBLE'))} AS pcm
         FROM wave WHERE has_audio AND samples IS NOT NULL AND rate IS NOT NULL"""),
     "reuse_or_build": _SPLIT_MANIFEST,
+    "reuse_or_publish": _SPLIT_MANIFEST,
     "read_local_manifests": _with(EXPLAINED, f"SELECT split, count(*) AS n FROM {_split('valid', 0.1)} GROUP BY split"),
     "strip_text": _with(UTT, f"SELECT row_idx, {_strip('text')} AS text FROM utt"),
     "drop_empty_text": _with(UTT, f"SELECT row_idx FROM utt WHERE {_strip('text')} <> ''"),
@@ -359,6 +360,7 @@ ORACLE = {
         UNION ALL SELECT (5 + rank)::INT, piece, rank FROM merges
         UNION ALL SELECT (4 + (SELECT count(*) FROM merges) + row_number() OVER (ORDER BY n DESC, char))::INT, char, NULL
         FROM ranked WHERE covered"""),
+    "spread_seconds": "SELECT count(*) AS n, round(sum(n_chars / 15), 3) AS seconds, true AS near FROM documents",
     "transcribe": _with(UTT, "SELECT path, replace(string_split(path, '/')[-1], '.wav', '') AS transcription FROM files"),
     "transcribe_directory": _with(WAV_FILES, "SELECT path, lpad(vec_id::VARCHAR, 8, '0') AS transcription FROM listed"),
     "evaluate_manifest": _with(SPOKEN + "," + _alignment("spoken"), _RATES, recursive=True),

@@ -15,7 +15,7 @@ from speechloom.operators.error_rates import (
     word_alignment,
 )
 from speechloom.operators.joins import join_audio_files, missing_audio, pair_hypotheses
-from speechloom.operators.scoring import attach_transcriptions, sample_record, transcribe
+from speechloom.operators.scoring import attach_transcriptions, sample_record, spread_seconds, transcribe
 from speechloom.operators.waveforms import (
     encoded_wav,
     export_audio,
@@ -29,7 +29,7 @@ from speechloom.plans.evaluation import evaluate_manifest, transcribe_directory
 from speechloom.plans.local_corpus import explain_transcripts, prepare_local_corpus
 from speechloom.plans.tokenizer import train_tokenizer
 from speechloom.schema import MERGES
-from speechloom.sources import audio_files, datasets, manifests, positions
+from speechloom.sources import audio_files, datasets, manifests, positions, versions
 from speechloom.sources import transcripts as delimited
 from speechloom.streaming.manifest import stream_manifest
 from speechloom.workspace import fresh_dir, path_exists, written, written_at
@@ -224,6 +224,24 @@ def reuse_or_build(spark, sf_dir):
     return manifests.union_splits(manifests.reuse_or_build(spark, out, lambda: None, reuse=True))
 
 
+def reuse_or_publish(spark, sf_dir):
+    """The second build's rows, read through the pointer; the first one held other rows."""
+    out = fresh_dir(spark, "versions")
+    split = splits.exact_split(_staged_manifest(spark, sf_dir), 0.1)
+    versions.reuse_or_publish(spark, out, lambda: split.filter("split = 'val'"))
+    versions.reuse_or_publish(spark, out, lambda: split)
+    return manifests.union_splits(versions.reuse_or_publish(spark, out, lambda: None, reuse=True))
+
+
+def spread_seconds_query(spark, sf_dir):
+    """Rows and seconds over all tasks, and whether the longest task is near the mean."""
+    spoken = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", (F.col("n_chars") / 15).alias("duration"))
+    tasks = spread_seconds(spoken, 100).groupBy(F.spark_partition_id().alias("task")).agg(
+        F.count("*").alias("n"), F.sum("duration").alias("seconds"), F.max("duration").alias("longest"))
+    near = F.max("seconds") <= 1.2 * F.avg("seconds") + F.max("longest")
+    return tasks.agg(F.sum("n").alias("n"), F.round(F.sum("seconds"), 3).alias("seconds"), near.alias("near"))
+
+
 def read_local_manifests(spark, sf_dir):
     out = fresh_dir(spark, "local")
     manifests.write_manifest(splits.exact_split(_staged_manifest(spark, sf_dir), 0.1), out)
@@ -677,6 +695,7 @@ QUERIES = {
     "write_corpus_text": write_corpus_text,
     "export_audio": export_audio_query,
     "reuse_or_build": reuse_or_build,
+    "reuse_or_publish": reuse_or_publish,
     "read_local_manifests": read_local_manifests,
     "strip_text": strip_text,
     "drop_empty_text": drop_empty_text,
@@ -728,6 +747,7 @@ QUERIES = {
     "validate_audio_table": validate_audio_table_query,
     "train_bpe": train_bpe,
     "vocabulary": vocabulary_query,
+    "spread_seconds": spread_seconds_query,
     "transcribe": transcribe_query,
     "transcribe_directory": transcribe_directory_query,
     "evaluate_manifest": evaluate_manifest_query,

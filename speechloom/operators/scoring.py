@@ -10,6 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+# What any row costs besides its seconds, and how many histogram steps a doubling of the cost has.
+ROW_SECONDS = 0.1
+STEPS = 64
+MOST_SECONDS = 1 << 20  # twelve days: more is no length of a recording
+UNKNOWN = -(1 << 20)
+
 # Builds a scorer once per Python worker; a scorer maps paths to as many texts.
 ScorerFactory = Callable[[], Callable[[Sequence[str]], Sequence[str]]]
 
@@ -21,6 +27,47 @@ def spread(df: DataFrame, rows_per_task: int = 2000) -> DataFrame:
     return df.repartition(tasks)
 
 
+def spread_seconds(df: DataFrame, rows_per_task: int = 2000, seconds: str = "duration") -> DataFrame:
+    """Partitions that hold about equal seconds, each with rows of similar length in ascending order.
+
+    So no task waits for the one with the long recordings, and a scorer's batches need little padding.
+    A partition exceeds the mean by one row at most, and by a few of those that share a step of the
+    histogram. There are as many as ``spread`` makes. Unknown, negative and impossible seconds count as
+    the mean of the known ones. The driver gets the histogram of costs, some 1,500 steps whatever the
+    number of rows; steps that hold many partitions' worth are dealt out by row number.
+    """
+    given = F.col(seconds).cast("double")
+    known = F.when(given.isNotNull() & ~F.isnan(given) & (given >= 0) & (given <= MOST_SECONDS), given)
+    step = F.floor(F.log2(known + ROW_SECONDS) * STEPS).cast("int")
+    # consecutive numbers times the golden ratio fill a step evenly, wherever one stops
+    number = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 32) - 1))
+    marked = df.withColumns({
+        "spread_step": F.coalesce(step, F.lit(UNKNOWN)), "spread_cost": known + ROW_SECONDS,
+        "spread_place": (number * F.lit(663_608_941)).bitwiseAND(F.lit((1 << 30) - 1)) / F.lit(float(1 << 30)),
+    })
+    steps = {r["spread_step"]: (r["n"], r["cost"]) for r in marked.groupBy("spread_step").agg(
+        F.count("*").alias("n"), F.sum("spread_cost").alias("cost")).collect()}
+    rows = sum(n for n, _ in steps.values())
+    if not rows:
+        return df
+    n_unknown = steps.pop(UNKNOWN, (0, None))[0]
+    mean = sum(cost for _, cost in steps.values()) / (rows - n_unknown) if rows > n_unknown else 1.0
+    order = sorted([(cost / n, step, cost) for step, (n, cost) in steps.items()]
+                   + ([(mean, UNKNOWN, mean * n_unknown)] if n_unknown else []))
+    tasks = max(min(rows, df.sparkSession.sparkContext.defaultParallelism), -(-rows // rows_per_task))
+    per_cost = tasks / sum(cost for _, _, cost in order)
+    bounds, at = [], 0.0
+    for _, step, cost in order:
+        bounds.append((step, at, cost * per_cost))
+        at += cost * per_cost
+    table = df.sparkSession.createDataFrame(bounds, "spread_step int, spread_from double, spread_width double")
+    task = F.least(F.floor(F.col("spread_from") + F.col("spread_place") * F.col("spread_width")), F.lit(tasks - 1))
+    return (
+        marked.join(F.broadcast(table), "spread_step").repartitionById(tasks, task.cast("int"))
+        .sortWithinPartitions(F.coalesce("spread_cost", F.lit(mean))).select(*df.columns)
+    )
+
+
 def transcribe(
     df: DataFrame,
     make_scorer: ScorerFactory,

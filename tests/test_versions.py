@@ -1,0 +1,75 @@
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from speechloom.sources import versions
+
+ROW = "split string, audio_filepath string, text string, duration double"
+
+
+def built(spark, *names):
+    return spark.createDataFrame([("train", n, "text", 1.0) for n in names] + [("val", "v", "text", 2.0)], ROW)
+
+
+def paths_of(parts):
+    return {s: sorted(r.audio_filepath for r in df.collect()) for s, df in parts.items()}
+
+
+def test_versions_follow_each_other(spark, tmp_path):
+    out = str(tmp_path / "m")
+    with pytest.raises(FileNotFoundError):
+        versions.reuse_or_publish(spark, out, lambda: None, reuse=True)
+    first = versions.reuse_or_publish(spark, out, lambda: built(spark, "a"))
+    second = versions.reuse_or_publish(spark, out + "/", lambda: built(spark, "b", "c"))
+    # readers of the older version go on
+    assert paths_of(first) == {"train": ["a"], "val": ["v"]}
+    assert paths_of(second) == paths_of(versions.reuse_or_publish(spark, out, lambda: None, reuse=True)) == {
+        "train": ["b", "c"], "val": ["v"]}
+    assert paths_of(versions.read_version(spark, out, 1)) == {"train": ["a"], "val": ["v"]}
+    with pytest.raises(FileNotFoundError):
+        versions.read_version(spark, out, 3)
+
+
+def test_a_build_that_dies_leaves_the_older_version(spark, tmp_path):
+    out = str(tmp_path / "m")
+    versions.publish_manifest(built(spark, "a"), out)
+    broken = spark.range(0, 1000, 1, 8).select(
+        F.when(F.col("id") % 2 == 0, "train").otherwise("val").alias("split"), F.col("id").cast("string").alias("audio_filepath"),
+        F.when(F.col("id") < 990, "t").otherwise(F.raise_error(F.lit("killed")).cast("string")).alias("text"),
+        F.lit(1.0).alias("duration"))
+    with pytest.raises(Exception, match="killed"):
+        versions.reuse_or_publish(spark, out, lambda: broken)
+    # and one that dies while the pointer is written
+    with open(os.path.join(out, "pointers", f"{2:010d}"), "w") as f:
+        f.write("v-half")
+    assert paths_of(versions.read_version(spark, out)) == {"train": ["a"], "val": ["v"]}
+    assert versions.publish_manifest(built(spark, "b"), out) == 3
+    assert paths_of(versions.read_version(spark, out))["train"] == ["b"]
+
+
+def test_a_number_is_given_once(spark, tmp_path):
+    out = str(tmp_path / "m")
+    assert versions._point(spark, out, 1, "v-x") and not versions._point(spark, out, 1, "v-y")
+    assert versions._pointers(spark, out) == {1: "v-x"}
+
+
+def test_old_versions_go(spark, tmp_path):
+    out = str(tmp_path / "m")
+    for name in "abc":
+        versions.publish_manifest(built(spark, name), out)
+    os.makedirs(os.path.join(out, "versions", "v-dead"))
+    gone = versions.drop_versions(spark, out, 2, unfinished=True)
+    assert len(gone) == 2 and "v-dead" in gone
+    assert paths_of(versions.read_version(spark, out, 2))["train"] == ["b"]
+    assert paths_of(versions.read_version(spark, out))["train"] == ["c"]
+    with pytest.raises(FileNotFoundError):
+        versions.read_version(spark, out, 1)
+    with pytest.raises(ValueError):
+        versions.drop_versions(spark, out, 0)
+
+
+def test_empty_manifest_is_a_version(spark, tmp_path):
+    out = str(tmp_path / "m")
+    got = versions.reuse_or_publish(spark, out, lambda: built(spark).limit(0))
+    assert paths_of(got) == {"train": [], "val": []}

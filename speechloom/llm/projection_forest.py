@@ -1,12 +1,17 @@
 """Near-duplicate vectors by a forest of random-projection trees.
 
 Each tree splits the space by random directions at medians; vectors close to a split go to both
-sides. Vectors that share a leaf of any tree are compared in full, and links are united. A pair that
-shares several leaves counts in the first of them alone, so links are counted without listing pairs.
+sides. A narrow margin keeps copies few, and as many trees are grown as a pair at the threshold needs
+to share a leaf of one of them. Depth follows the table: where the sample that trees are grown on ends,
+splits go on through the centre of what it has there. Vectors that share a leaf of any tree are
+compared in full, and links are united. A pair that shares several leaves counts in the first of them
+alone, so links are counted without listing pairs.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -17,30 +22,50 @@ from speechloom.llm.vectors import dimension, matrix, sample, unit, usable
 from speechloom.workspace import written
 
 COSINE = 0.9
-TREES = 4
-LEAF_ROWS = 768
+MISS = 1e-4  # chance that a pair at the threshold shares no leaf
+LEAF_ROWS = 128
 BLOCK_ROWS = 2048
 SAMPLE = 32_768
 LEAST_SAMPLE = 16
-SPILL = 0.4
+SPILL = 0.1  # margin on either side of a split, as a share of the projections' deviation
 TILE = 256
 
-LEAVES = "rep bigint, n bigint, embedding array<float>, leaves array<int>"
 JUDGED = "rep bigint, n_links bigint, label bigint"
 
 
+def trees_needed(n_rows: int, cosine: float = COSINE) -> int:
+    """Trees in which all but ``MISS`` of the pairs at ``cosine`` share a leaf.
+
+    A split parts a pair if the two lie beyond the margin on different sides; projections of unit
+    vectors on random directions are close to normal.
+    """
+    apart = math.sqrt(max(2 * (1 - cosine), 1e-12))
+    a = 2 * SPILL / apart
+    beyond = math.exp(-a * a / 2) / math.sqrt(2 * math.pi) - a * math.erfc(a / math.sqrt(2)) / 2
+    parted = min(2 * apart * beyond / math.sqrt(math.pi * max(1 + cosine, 1e-3)), 0.5)
+    together = (1 - parted) ** max(math.log2(max(n_rows, 1) / LEAF_ROWS), 0)
+    return max(2, math.ceil(math.log(MISS) / math.log1p(-min(together, 0.999))))
+
+
 class Forest:
-    """Directions, thresholds and children of all nodes; leaves are numbered over all trees."""
+    """Directions, thresholds and children of all nodes; leaves are numbered over all trees.
+
+    A leaf that the sample can split no further, though the table has too many rows for it, is split by
+    ``extra`` more directions through the sample's centre there.
+    """
 
-    def __init__(self, x: np.ndarray, n_rows: int, seed: int = 8):
+    def __init__(self, x: np.ndarray, n_rows: int, cosine: float = COSINE, seed: int = 8):
         rng = np.random.default_rng(seed)
         d = x.shape[1]
         self.margin = SPILL / np.sqrt(d)
         self.direction, self.cut, self.child, self.roots, self.n_leaves = [], [], [], [], 0
+        self.extra: dict[int, tuple[int, np.ndarray]] = {}
+        self.seed = seed
         per_row = n_rows / len(x)
 
         def grow(rows: np.ndarray) -> int:
             """A node's number, or a leaf's as -1 - number."""
+            one = False
             if len(rows) * per_row > LEAF_ROWS and len(rows) >= 2 * LEAST_SAMPLE:
                 direction = rng.standard_normal(d)
                 direction /= np.sqrt(direction @ direction)
@@ -54,10 +79,30 @@ class Forest:
                     self.child.append(None)
                     self.child[at] = (grow(left), grow(right))
                     return at
-            self.n_leaves += 1
-            return -self.n_leaves
-
-        self.roots = [grow(np.arange(len(x))) for _ in range(TREES)]
+                one = True
+            name = self.n_leaves
+            levels = 0 if one else max(math.ceil(math.log2(max(len(rows), 1) * per_row / LEAF_ROWS)), 0)
+            if levels:
+                self.extra[name] = levels, x[rows].mean(axis=0)
+            self.n_leaves += 1 << levels
+            return -1 - name
+
+        self.roots = [grow(np.arange(len(x))) for _ in range(trees_needed(n_rows, cosine))]
+
+    def _further(self, leaf: int, x: np.ndarray, rows: np.ndarray) -> list[tuple[int, np.ndarray]]:
+        """Leaves of rows below a leaf of the sample."""
+        levels, centre = self.extra[leaf]
+        rng = np.random.default_rng([self.seed, leaf])
+        found = [(0, rows)]
+        for _ in range(levels):
+            direction = rng.standard_normal(x.shape[1])
+            direction /= np.sqrt(direction @ direction)
+            cut, halves = centre @ direction, []
+            for bits, own in found:
+                p = x[own] @ direction - cut
+                halves += [(2 * bits, own[p <= self.margin]), (2 * bits + 1, own[p > -self.margin])]
+            found = [(bits, own) for bits, own in halves if len(own)]
+        return [(leaf + bits, own) for bits, own in found]
 
     def leaves(self, x: np.ndarray) -> list[list[int]]:
         """Of each row, the leaves it falls or spills into, in order."""
@@ -68,8 +113,10 @@ class Forest:
             if not len(rows):
                 continue
             if node < 0:
-                for r in rows.tolist():
-                    out[r].append(-1 - node)
+                leaf = -1 - node
+                for name, own in self._further(leaf, x, rows) if leaf in self.extra else [(leaf, rows)]:
+                    for r in own.tolist():
+                        out[r].append(name)
                 continue
             p = x[rows] @ self.direction[node] - self.cut[node]
             left, right = self.child[node]
@@ -157,20 +204,22 @@ def near_vectors(vectors: DataFrame, *, cosine: float = COSINE) -> DataFrame:
     reps = written(
         known.filter(F.size("embedding") == d).join(
             classes.select("h1", "h2", F.col("rep").alias("vec_id"), "n"), ["h1", "h2", "vec_id"]
-        ).select(F.col("vec_id").alias("rep"), "n", F.col("embedding").cast("array<float>").alias("embedding")), "reps")
+        ).select(F.col("vec_id").alias("rep"), "n", "embedding"), "reps")
     n_rows = reps.count()
     judged = spark.createDataFrame([], JUDGED)
     if n_rows:
-        # bounded sample; the trees have at most TREES * SAMPLE / LEAST_SAMPLE nodes
-        forest = Forest(unit(sample(reps.withColumnRenamed("rep", "vec_id"), SAMPLE)), n_rows)
+        # bounded sample; a tree has at most SAMPLE / LEAST_SAMPLE nodes
+        forest = Forest(unit(sample(reps.withColumnRenamed("rep", "vec_id"), SAMPLE)), n_rows, cosine)
+        kind = reps.schema["embedding"].dataType.simpleString()
 
         def drop(batches):
             for batch in batches:
                 if batch.num_rows:
                     x = unit(matrix(batch.column("embedding"), d))
-                    yield batch.append_column("leaves", pa.array(forest.leaves(x), pa.list_(pa.int32())))
+                    yield batch.append_column("leaves", pa.array(forest.leaves(x), pa.list_(pa.int64())))
 
-        dropped = written(reps.mapInArrow(drop, LEAVES), "leaves").withColumn("leaf", F.explode("leaves"))
+        dropped = written(reps.mapInArrow(
+            drop, f"rep bigint, n bigint, embedding {kind}, leaves array<bigint>"), "leaves").withColumn("leaf", F.explode("leaves"))
         # leaves that are still large, as of vectors that no direction tells apart, are compared in blocks
         sizes = written(dropped.groupBy("leaf").agg(F.count("*").alias("size")), "sizes").select(
             "leaf", F.ceil(F.col("size") / BLOCK_ROWS).cast("int").alias("blocks"))

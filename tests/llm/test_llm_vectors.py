@@ -143,3 +143,38 @@ def test_fewer_candidates_than_asked(spark):
     assert nearest(table(spark, [(20, [1.0, 0.0])])).collect() == []
     rows = nearest(table(spark, [(20, [1.0, 0.0]), (3, [0.5, 1.0]), (2, [0.5, 7.0]), (5, [-1.0, 0.0])])).collect()
     assert [(r.rank, r.vec_id, r.score) for r in sorted(rows, key=lambda r: r.rank)] == [(1, 2, 0.5), (2, 3, 0.5), (3, 5, -1.0)]
+
+
+def linked_rows(n, d, seed=9):
+    """Unit vectors of which a tenth has a partner at a cosine of about 0.9."""
+    rng = np.random.default_rng(seed)
+    base = rng.standard_normal((n - n // 10, d))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    near = base[:n // 10] + rng.standard_normal((n // 10, d)) * 0.45 / np.sqrt(d)
+    return np.vstack([base, near / np.linalg.norm(near, axis=1)[:, None]])
+
+
+@pytest.mark.parametrize("n, sampled, most", [(8000, 8000, 0.4), (20_000, 20_000, 0.25), (20_000, 256, 0.25)])
+def test_forest_compares_few_pairs_and_finds_nearly_all(n, sampled, most):
+    """Also where the sample ends long before the leaves are small."""
+    from speechloom.llm.projection_forest import LEAF_ROWS, Forest
+
+    x = linked_rows(n, 48)
+    forest = Forest(x[np.random.default_rng(1).permutation(n)[:sampled]], n)
+    leaves = forest.leaves(x)
+    sizes = np.bincount(np.concatenate(leaves))
+    assert bool(forest.extra) == (sampled < n) and len(sizes) <= forest.n_leaves
+    assert (sizes * (sizes - 1.0)).sum() < most * n * (n - 1.0) and sizes.max() < 8 * LEAF_ROWS
+    sets = [set(v) for v in leaves]
+    pairs = [(i, n - n // 10 + i) for i in range(n // 10)]
+    close = [(i, j) for i, j in pairs if x[i] @ x[j] >= 0.9]
+    assert len(close) > 100 and np.mean([bool(sets[i] & sets[j]) for i, j in close]) >= 0.99
+
+
+def test_doubles_are_compared_as_doubles(spark):
+    # the cosine of (1, 2) is just under 0.9, and would be over it after a cast to float
+    b = [0.9 - 1e-12, np.sqrt(1 - (0.9 - 1e-12) ** 2)]
+    rows = [(1, [1.0, 0.0]), (2, [float(v) for v in b]), (3, [0.95, np.sqrt(1 - 0.95**2).item()])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in near_vectors(df).collect()}
+    assert got == {1: 1, 2: 1, 3: 2}

@@ -332,6 +332,7 @@ ORACLE = {
     "word_alignment": _with(PAIRS + "," + _alignment("pairs"), "SELECT * FROM counts", recursive=True),
     "corpus_error_rates": _with(PAIRS + "," + _alignment("pairs"), _RATES, recursive=True),
     "word_frequencies": _with(FREQUENCIES, "SELECT * FROM freq"),
+    "folded_frequencies": _with(f"{SHORT_CORPUS},{COUNTED}", "SELECT * FROM freq"),
     "char_coverage": _with(FREQUENCIES, "SELECT char, n FROM ranked WHERE covered"),
     "first_n": _with(WAVE, """SELECT row_idx, text FROM wave
         QUALIFY row_number() OVER (PARTITION BY split ORDER BY row_idx) <= 60"""),

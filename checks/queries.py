@@ -14,6 +14,7 @@ from speechloom.operators.error_rates import (
     count_reference_words,
     word_alignment,
 )
+from speechloom.operators.folding import folded_frequencies
 from speechloom.operators.joins import join_audio_files, missing_audio, pair_hypotheses
 from speechloom.operators.scoring import attach_transcriptions, sample_record, spread_seconds, transcribe
 from speechloom.operators.waveforms import (
@@ -424,6 +425,16 @@ def word_frequencies(spark, sf_dir):
     return _frequencies(spark, sf_dir)
 
 
+def folded_frequencies_query(spark, sf_dir):
+    """Half of the texts come with full-width digits and capitals, and a byte-order mark in front."""
+    plain = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    wide = "".join(chr(ord(c) + 0xFEE0) for c in plain)
+    text = F.col("text")
+    texts = S.short_texts(spark, sf_dir).select(F.when(F.length(text) % 2 == 0, text).otherwise(
+        F.concat(F.lit("\ufeff"), F.translate(text, plain, wide))).alias("text"))
+    return folded_frequencies(vocabulary.corpus_text(texts))
+
+
 def char_coverage(spark, sf_dir):
     return vocabulary.char_coverage(_frequencies(spark, sf_dir))
 
@@ -731,6 +742,7 @@ QUERIES = {
     "word_alignment": word_alignment_query,
     "corpus_error_rates": corpus_error_rates_query,
     "word_frequencies": word_frequencies,
+    "folded_frequencies": folded_frequencies_query,
     "char_coverage": char_coverage,
     "first_n": first_n,
     "exact_split": exact_split,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from speechloom.operators.folding import folded_frequencies
 from speechloom.operators.vocabulary import (
     char_coverage,
     corpus_text,
@@ -17,11 +18,14 @@ from speechloom.workspace import written
 
 
 def train_tokenizer(
-    train_split: DataFrame, text: str = "text", vocab_size: int = 1024, coverage: float = 0.9999
+    train_split: DataFrame, text: str = "text", vocab_size: int = 1024, coverage: float = 0.9999, fold: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Merges and vocabulary from the transcripts of the train split, before any audio filter."""
+    """Merges and vocabulary from the transcripts of the train split, before any audio filter.
+
+    ``fold`` applies Unicode compatibility folding to the words first, as public trainers do by default.
+    """
     spark = train_split.sparkSession
-    frequencies = written(word_frequencies(corpus_text(train_split, text)), "words")
+    frequencies = written((folded_frequencies if fold else word_frequencies)(corpus_text(train_split, text)), "words")
     if frequencies.isEmpty():
         raise ValueError("no text found in training data")
     chars = written(char_coverage(frequencies, coverage), "chars")

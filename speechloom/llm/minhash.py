@@ -27,6 +27,7 @@ PERCENT = 80
 BANDS, ROWS = 24, 4
 SLICE_BYTES = 1 << 20
 SLACK = 5.0
+LARGE_GROUP = 32  # members of one component that have a shingle in common
 
 
 def shingles(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -121,7 +122,8 @@ def rare_pairs(sets: DataFrame, percent: int) -> DataFrame:
 
     In each set shingles are put in order, rarest first. Of two similar sets the smaller one's first
     shingles (``index``) meet the larger one's (``probe``), and what follows the first meeting in both
-    must suffice for the similarity. Shingles of one set alone only push the others back.
+    must suffice for the similarity. Shingles of one set alone only push the others back. No two members
+    of a component are brought together where ``LARGE_GROUP`` or more of them share a shingle.
     """
     rows = sets.select("doc_id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
     common = written(rows.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1"), "common")
@@ -133,17 +135,27 @@ def rare_pairs(sets: DataFrame, percent: int) -> DataFrame:
         ordered.filter(f"at < n - (n * {percent} + 99) div 100 + 1").select("s", "doc_id", "component", "n", "at"),
         "probe")
     index = probe.filter(f"at < n - (n * {2 * percent} + {99 + percent}) div {100 + percent} + 1")
-    x, y = probe.alias("x"), index.alias("y")
+    # many members of one component may share a shingle; such groups meet other components only, by name
+    groups = written(probe.groupBy("s", "component").agg(F.count("*").alias("members")), "groups")
+    large = groups.filter(F.col("members") >= LARGE_GROUP).select("s", "component")
+    other = groups.select("s", F.col("component").alias("other"))
+    names = large.join(other, "s").filter("component <> other")
+    meetings = written(names.unionByName(names.select(
+        "s", F.col("other").alias("component"), F.col("component").alias("other"))).distinct(), "meetings")
+    named = probe.join(meetings, ["s", "component"]).alias("x")
+    met = index.select("s", "doc_id", F.col("component").alias("other"), "n", "at").alias("y")
+    few = groups.filter(F.col("members") < LARGE_GROUP).select("s", "component")
+    x, y = (t.join(few, ["s", "component"], "left_semi").alias(name) for t, name in ((probe, "x"), (index, "y")))
     left = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     may = (
         (F.col("x.s") == F.col("y.s"))
-        & (F.col("x.component") != F.col("y.component"))
         & (F.struct("x.n", "x.doc_id") > F.struct("y.n", "y.doc_id"))
         & (F.col("y.n") * 100 >= F.col("x.n") * percent)
         & (left * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
     )
-    return x.join(y, may).select(
-        F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b")).distinct()
+    pair = (F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
+    small = x.join(y, may & (F.col("x.component") != F.col("y.component"))).select(*pair)
+    return named.join(met, may & (F.col("x.other") == F.col("y.other"))).select(*pair).unionByName(small).distinct()
 
 
 def link_classes(docs: DataFrame, sketch: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:

@@ -113,5 +113,33 @@ def test_components(spark, seed):
     assert got == {i: u.find(i) for i in u.up if u.find(i) != i}
 
 
+def sets_of(spark, members, strays, seed=3):
+    """One component of near copies, and strays that share some or most of its shingles."""
+    rng = random.Random(seed)
+    base, rows = list(range(60)), []
+    for i in range(members):
+        rows.append((i, 0, sorted({*rng.sample(base, 57), 1000 + rng.randrange(50)})))
+    for i in range(strays):
+        own = rng.sample(base, rng.choice([20, 50, 58]))
+        rows.append((10_000_000 + i, 10_000_000 + i, sorted({*own, *range(5000 + 10 * i, 5004 + 10 * i)})))
+    rows += [(20_000_000 + i, 20_000_000 + i // 3, sorted({*range(7000, 7030), 7100 + i})) for i in range(9)]
+    return rows, spark.createDataFrame(rows, "doc_id bigint, component bigint, shingles array<bigint>")
+
+
+@pytest.mark.parametrize("large", [2, 32, 1 << 20])
+def test_rare_pairs_miss_no_pair_of_different_components(spark, monkeypatch, large):
+    from speechloom.llm import minhash
+
+    monkeypatch.setattr(minhash, "LARGE_GROUP", large)
+    rows, sets = sets_of(spark, 150, 12)
+    component = {i: c for i, c, _ in rows}
+    got = {(r.a, r.b) for r in minhash.rare_pairs(sets, 80).collect()}
+    assert all(a < b and component[a] != component[b] for a, b in got)
+    shingles = {i: set(x) for i, _, x in rows}
+    want = {(a, b) for a in shingles for b in shingles if a < b and component[a] != component[b]
+            and 100 * len(shingles[a] & shingles[b]) >= 80 * len(shingles[a] | shingles[b])}
+    assert want and want <= got
+
+
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []

@@ -27,7 +27,7 @@ PERCENT = 80
 BANDS, ROWS = 24, 4
 SLICE_BYTES = 1 << 20
 SLACK = 5.0
-LARGE_GROUP = 32  # members of one component that have a shingle in common
+LARGE_GROUP = 32  # sets that have a shingle among their rarest
 
 
 def shingles(texts: pa.Array, width: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -122,8 +122,10 @@ def rare_pairs(sets: DataFrame, percent: int) -> DataFrame:
 
     In each set shingles are put in order, rarest first. Of two similar sets the smaller one's first
     shingles (``index``) meet the larger one's (``probe``), and what follows the first meeting in both
-    must suffice for the similarity. Shingles of one set alone only push the others back. No two members
-    of a component are brought together where ``LARGE_GROUP`` or more of them share a shingle.
+    must suffice for the similarity. Shingles of one set alone only push the others back. Whether two sets
+    suffice depends on their sizes and the places of the shingle in them alone. So where ``LARGE_GROUP`` or
+    more sets share a shingle, different sizes and places meet first, then the components that have them,
+    and sets only where both suffice and the components differ.
     """
     rows = sets.select("doc_id", "component", F.size("shingles").alias("n"), F.explode("shingles").alias("s"))
     common = written(rows.groupBy("s").agg(F.count("*").alias("df")).filter("df > 1"), "common")
@@ -134,28 +136,40 @@ def rare_pairs(sets: DataFrame, percent: int) -> DataFrame:
     probe = written(
         ordered.filter(f"at < n - (n * {percent} + 99) div 100 + 1").select("s", "doc_id", "component", "n", "at"),
         "probe")
-    index = probe.filter(f"at < n - (n * {2 * percent} + {99 + percent}) div {100 + percent} + 1")
-    # many members of one component may share a shingle; such groups meet other components only, by name
-    groups = written(probe.groupBy("s", "component").agg(F.count("*").alias("members")), "groups")
-    large = groups.filter(F.col("members") >= LARGE_GROUP).select("s", "component")
-    other = groups.select("s", F.col("component").alias("other"))
-    names = large.join(other, "s").filter("component <> other")
-    meetings = written(names.unionByName(names.select(
-        "s", F.col("other").alias("component"), F.col("component").alias("other"))).distinct(), "meetings")
-    named = probe.join(meetings, ["s", "component"]).alias("x")
-    met = index.select("s", "doc_id", F.col("component").alias("other"), "n", "at").alias("y")
-    few = groups.filter(F.col("members") < LARGE_GROUP).select("s", "component")
-    x, y = (t.join(few, ["s", "component"], "left_semi").alias(name) for t, name in ((probe, "x"), (index, "y")))
+    index = f"at < n - (n * {2 * percent} + {99 + percent}) div {100 + percent} + 1"
+    several = written(
+        probe.groupBy("s").agg(F.count("*").alias("members"), F.min("component").alias("low"),
+                               F.max("component").alias("high")).filter("low <> high").select("s", "members"), "several")
+    few, many = (probe.join(several.filter(size), "s", "left_semi")
+                 for size in (f"members < {LARGE_GROUP}", f"members >= {LARGE_GROUP}"))
     left = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
     may = (
         (F.col("x.s") == F.col("y.s"))
-        & (F.struct("x.n", "x.doc_id") > F.struct("y.n", "y.doc_id"))
+        & (F.col("x.n") >= F.col("y.n"))
         & (F.col("y.n") * 100 >= F.col("x.n") * percent)
         & (left * (100 + percent) >= (F.col("x.n") + F.col("y.n")) * percent)
     )
+    later = F.struct("x.n", "x.doc_id") > F.struct("y.n", "y.doc_id")
     pair = (F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-    small = x.join(y, may & (F.col("x.component") != F.col("y.component"))).select(*pair)
-    return named.join(met, may & (F.col("x.other") == F.col("y.other"))).select(*pair).unionByName(small).distinct()
+    apart = F.col("x.component") != F.col("y.component")
+    small = few.alias("x").join(few.filter(index).alias("y"), may & later & apart).select(*pair)
+
+    many = written(many, "many")
+    kind, other = ["s", "n", "at"], ["s", "other_n", "other_at"]
+    groups = written(many.select(*kind, "component").distinct(), "groups")
+    kinds = written(groups.groupBy(*kind).agg(F.min("component").alias("low"), F.max("component").alias("high")), "kinds")
+    one = (F.least("x.low", "y.low") == F.greatest("x.high", "y.high"))
+    suffice = kinds.alias("x").join(kinds.filter(index).alias("y"), may & ~one).select(
+        "x.s", "x.n", "x.at", F.col("y.n").alias("other_n"), F.col("y.at").alias("other_at"))
+    others = groups.select("s", F.col("n").alias("other_n"), F.col("at").alias("other_at"), F.col("component").alias("other"))
+    meetings = written(
+        groups.join(suffice, kind).alias("x").join(others.alias("y"), [*other]).filter("component <> other"), "meetings")
+    met = many.select("s", F.col("n").alias("other_n"), F.col("at").alias("other_at"), F.col("component").alias("other"),
+                      F.col("doc_id").alias("other_id"))
+    large = many.join(meetings, [*kind, "component"]).join(met, [*other, "other"]).filter(
+        F.struct("n", "doc_id") > F.struct("other_n", "other_id")).select(
+        F.least("doc_id", "other_id").alias("a"), F.greatest("doc_id", "other_id").alias("b"))
+    return large.unionByName(small).distinct()
 
 
 def link_classes(docs: DataFrame, sketch: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:

@@ -141,5 +141,35 @@ def test_rare_pairs_miss_no_pair_of_different_components(spark, monkeypatch, lar
     assert want and want <= got
 
 
+def rows_of_joins(df):
+    """Runs ``df``; the rows that each join of its plan made."""
+    plan, todo, made = df._jdf.queryExecution().executedPlan(), [], []
+    df._jdf.queryExecution().toRdd().count()
+    todo.append(plan)
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        elif "Join" in kind:
+            made.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return made
+
+
+def test_rare_pairs_of_a_large_component_and_many_strays(spark):
+    from speechloom.llm import minhash
+
+    rng = random.Random(5)
+    base = list(range(60))
+    rows = [(i, 0, sorted({*rng.sample(base, 57), 1000 + i % 50})) for i in range(300)]
+    # strays share most shingles, but too few to be similar
+    rows += [(1000 + i, 1000 + i, sorted({*rng.sample(base, 49), *range(5000 + 10 * i, 5005 + 10 * i)})) for i in range(100)]
+    sets = spark.createDataFrame(rows, "doc_id bigint, component bigint, shingles array<bigint>")
+    assert max(rows_of_joins(minhash.rare_pairs(sets, 80)), default=0) < sum(len(x) for _, _, x in rows)
+
+
 def test_no_links(spark):
     assert components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []

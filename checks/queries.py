@@ -509,12 +509,14 @@ def resample_waveforms_query(spark, sf_dir):
 def resample_files_query(spark, sf_dir):
     """Of files that are at 16 kHz, the samples too: decoded and encoded again."""
     files = S.wav_files(spark, sf_dir)
-    done = resample_files(files).join(files.select("path", F.substr("content", F.lit(25), F.lit(4)).alias("rate")), "path")
-    same = F.col("rate") == F.lit(bytearray((16000).to_bytes(4, "little")))
-    return done.select(
+    same = F.substr("content", F.lit(25), F.lit(4)) == F.lit(bytearray((16000).to_bytes(4, "little")))
+    # resampled files may be thousands of times longer: only what is asked of them is joined
+    done = resample_files(files, same.alias("same")).select(
         "path", "measured", F.octet_length("wav").cast("bigint").alias("n_bytes"),
-        F.when(same, _pcm(F.col("wav"))).alias("pcm"),
+        F.when(F.col("same"), _pcm(F.col("wav"))).alias("pcm"),
     )
+    listed = files.select("path", same.alias("same"))
+    return done.join(listed, "path").select("path", "measured", "n_bytes", F.when(F.col("same"), F.col("pcm")).alias("pcm"))
 
 
 def validate_audio_table_query(spark, sf_dir):

@@ -27,7 +27,7 @@ from speechloom.operators.ladders import within_duration
 from speechloom.schema import TARGET_RATE
 from speechloom.sources.audio_files import default_fs, file_opener, probed_files
 
-SLICE_BYTES = 64 << 20
+SLICE_BYTES = 4 << 20
 
 _RESAMPLED_FILE = T.StructType([
     T.StructField("wav", T.BinaryType()),
@@ -130,10 +130,14 @@ def _resampled_file(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
     return _in_slices(rows, kind, lambda row: len(row["wav"]))
 
 
-def resample_files(files: DataFrame) -> DataFrame:
-    """``path, wav, measured`` of a table with ``content``: mono 16 kHz PCM; NULLs when it cannot be read."""
-    done = files.select("path", _resampled_file(F.col("content")).alias("_r"))
-    return done.select("path", F.col("_r.wav").alias("wav"), F.col("_r.duration").alias("measured"))
+def resample_files(files: DataFrame, *more: Column) -> DataFrame:
+    """``path, wav, measured`` of a table with ``content``: mono 16 kHz PCM; NULLs when it cannot be read.
+
+    ``more`` columns of the files follow. A file may get thousands of times longer, so take what is
+    needed of ``wav`` before a join or another shuffle.
+    """
+    done = files.select("path", _resampled_file(F.col("content")).alias("_r"), *more)
+    return done.select("path", F.col("_r.wav").alias("wav"), F.col("_r.duration").alias("measured"), *done.columns[2:])
 
 
 def resample_to_files(files: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 import struct
+import tempfile
 import wave
 
 import numpy as np
@@ -7,6 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from speechloom.functions.waveform import (
     UnreadableAudio,
     encode_wav,
@@ -249,3 +251,16 @@ def test_stream_equals_batch_and_restarts(spark, dataset, tmp_path, split_column
     assert run() == first  # nothing new to read
     source.where("row_idx = 0").withColumn("row_idx", F.lit(5).cast("bigint")).write.mode("append").parquet(folder)
     assert run() == batch() and len(batch()) == 4 + split_column
+
+
+def test_resample_files_query_shuffles_no_wav(spark):
+    rows = [(i, [0.1 * (i % 7)] * 64) for i in range(40)]
+    with tempfile.TemporaryDirectory() as folder:
+        spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").write.parquet(f"{folder}/embeddings.parquet")
+        done = entry.queries()["resample_files"](spark, folder)
+        assert done.count() == 40
+        plan = done._jdf.queryExecution().optimizedPlan()
+        join = plan
+        while "Join" not in join.nodeName():
+            join = join.children().apply(0)
+        assert "wav" not in join.output().mkString(" ") and "_r" not in join.output().mkString(" ")

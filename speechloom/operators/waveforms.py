@@ -100,17 +100,42 @@ def resample_waveforms(df: DataFrame, audio: str = "audio") -> DataFrame:
 
 
 @F.arrow_udf(T.BinaryType())
-def _encoded(arrays: pa.Array, rates: pa.Array) -> pa.Array:
-    return pa.array(
-        [None if x is None else encode_wav(x, rate) for x, rate in zip(_rows(arrays), rates.to_pylist())],
-        pa.binary(),
-    )
+def _encoded(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    rows = (None if x is None else encode_wav(x, rate)
+            for arrays, rates in batches for x, rate in zip(_rows(arrays), rates.to_pylist()))
+    return _in_slices(rows, pa.binary(), len)
 
 
 def encoded_wav(audio: Column) -> Column:
     return _encoded(audio["array"], audio["sampling_rate"])
 
 
+@F.arrow_udf(T.BinaryType())
+def _resampled_wav(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def rows():
+        for arrays, rates in batches:
+            for x, rate in zip(_rows(arrays), rates.to_pylist()):
+                if x is None:
+                    yield None
+                else:
+                    y = fourier_resample(x, resampled_length(len(x), rate, TARGET_RATE))
+                    yield encode_wav(y.astype(np.float32), TARGET_RATE)
+
+    return _in_slices(rows(), pa.binary(), len)
+
+
+def resampled_wavs(df: DataFrame, audio: str = "audio") -> DataFrame:
+    """``wav`` and ``duration`` of the waveforms at 16 kHz; rows as for ``resample_waveforms``.
+
+    The samples at 16 kHz, which may be many more, stay in one Python function, one row at a time.
+    """
+    array = F.col(audio)["array"].cast("array<float>")
+    given = "sampling_rate" in df.schema[audio].dataType.names
+    rate = F.coalesce(F.col(audio)["sampling_rate"], F.lit(TARGET_RATE)) if given else F.lit(TARGET_RATE)
+    seconds = resampled_duration(F.size(array), F.col(audio)["sampling_rate"] if given else rate)
+    return df.withColumn("wav", _resampled_wav(array, rate)).withColumn("duration", seconds)
+
+
 def _resample_content(content: pa.Scalar) -> dict | None:
     if not content.is_valid:
         return None

@@ -16,8 +16,7 @@ from speechloom.operators.ladders import (
     to_manifest,
 )
 from speechloom.operators.splits import split_summary
-from speechloom.operators.waveforms import encoded_wav, export_audio_files, resample_waveforms
-from speechloom.schema import WAVEFORM
+from speechloom.operators.waveforms import export_audio_files, resampled_wavs
 from speechloom.sources.datasets import first_n
 from speechloom.sources.manifests import write_manifest
 from speechloom.workspace import written_at
@@ -47,7 +46,7 @@ def dataset_waveforms(
     language_tag: str | None = None,
     prefix_split: bool = False,
 ) -> DataFrame:
-    """Rows at 16 kHz: ``row_idx, split, audio_filepath, text, duration, audio, reason``.
+    """Rows at 16 kHz: ``row_idx, split, audio_filepath, text, duration, wav, reason``.
 
     Files are named after the source position, so skipped rows leave gaps. Waveforms of skipped
     rows are dropped before any Python function sees them. Where the schema alone decides the
@@ -58,12 +57,12 @@ def dataset_waveforms(
     valid = explained.withColumn("_text", spoken)
     if audio in explained.columns and is_embedded(explained.schema[audio].dataType):
         files = F.when(F.col("reason").isNull(), F.col(audio)["bytes"])
-        waves = resample_waveforms(valid.withColumn(audio, decoded_audio(files)), audio).withColumn(
+        waves = resampled_wavs(valid.withColumn(audio, decoded_audio(files)), audio).withColumn(
             "reason", F.coalesce("reason", F.when(F.col(audio)["array"].isNull(), "error")))
     elif has_waveforms(explained, audio):
-        waves = resample_waveforms(valid.withColumn(audio, F.when(F.col("reason").isNull(), F.col(audio))), audio)
+        waves = resampled_wavs(valid.withColumn(audio, F.when(F.col("reason").isNull(), F.col(audio))), audio)
     else:
-        waves = valid.withColumn(audio, F.lit(None).cast(WAVEFORM)).withColumn("duration", F.lit(None).cast("double"))
+        waves = valid.withColumn("wav", F.lit(None).cast("binary")).withColumn("duration", F.lit(None).cast("double"))
     name = name_audio_file(F.col("row_idx"), F.col("split") if prefix_split else None)
     return waves.select(
         "row_idx",
@@ -71,7 +70,7 @@ def dataset_waveforms(
         F.concat_ws("/", F.lit(audio_dir.rstrip("/")), "split", name).alias("audio_filepath"),
         F.col("_text").alias("text"),
         "duration",
-        F.col(audio).alias("audio"),
+        "wav",
         "reason",
     )
 
@@ -100,10 +99,7 @@ def prepare_dataset_corpus(
     audio_dir = audio_dir or f"{out}/audio"
     waves = dataset_waveforms(explained, audio_dir, audio, text, language_tag, prefix_split)
     table = written_at(
-        waves.select(
-            "row_idx", "split", "audio_filepath", "text", "duration", "reason",
-            encoded_wav(F.col("audio")).alias("wav"),
-        ),
+        waves.select("row_idx", "split", "audio_filepath", "text", "duration", "reason", "wav"),
         f"{out}/audio_table",
     )
     if save_files:

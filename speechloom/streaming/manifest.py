@@ -9,7 +9,7 @@ from pyspark.sql.window import Window
 
 from speechloom.operators.ladders import to_manifest
 from speechloom.operators.splits import hash_split
-from speechloom.operators.waveforms import encoded_wav, export_audio_files
+from speechloom.operators.waveforms import export_audio_files
 from speechloom.plans.dataset_corpus import dataset_waveforms, explain_dataset
 from speechloom.sources.datasets import first_n
 from speechloom.workspace import path_exists
@@ -37,8 +37,7 @@ def audio_rows(
         rows = hash_split(rows, val_fraction, seed)
     explained = explain_dataset(rows, shortest, longest, audio, text)
     waves = dataset_waveforms(explained, audio_dir, audio, text, language_tag)
-    return waves.select(
-        "row_idx", "split", "audio_filepath", "text", "duration", "reason", encoded_wav(F.col(audio)).alias("wav"))
+    return waves.select("row_idx", "split", "audio_filepath", "text", "duration", "reason", "wav")
 
 
 def manifest_rows(rows: DataFrame, audio_dir: str, **options) -> DataFrame:

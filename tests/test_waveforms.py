@@ -253,6 +253,31 @@ def test_stream_equals_batch_and_restarts(spark, dataset, tmp_path, split_column
     assert run() == batch() and len(batch()) == 4 + split_column
 
 
+def test_resampled_wavs_are_those_of_resampled_waveforms(spark):
+    rows = [
+        (0, (sine(44100, 0.5).tolist(), 44100)), (1, (sine(16000, 0.5).tolist(), 16000)), (2, ([0.5, -2.0, 0.25], None)),
+        (3, (None, 8000)), (4, None), (5, ([], 8000)),
+    ]
+    df = spark.createDataFrame(rows, f"row_idx bigint, audio {WAVEFORM.simpleString()}")
+    want = {r["row_idx"]: (r["wav"], r["duration"]) for r in W.resample_waveforms(df).select(
+        "row_idx", "duration", W.encoded_wav(F.col("audio")).alias("wav")).collect()}
+    assert {r["row_idx"]: (r["wav"], r["duration"]) for r in W.resampled_wavs(df).collect()} == want
+
+
+def arrow_batches(function, *columns):
+    """Sizes of the batches that an Arrow function makes of one batch."""
+    parts = list(function.func(iter([columns if len(columns) > 1 else columns[0]])))
+    return [part.nbytes for part in parts]
+
+
+def test_many_long_waveforms_leave_python_in_small_batches():
+    long = pa.array([[0.1] * 64] * 40, pa.list_(pa.float32()))
+    assert max(arrow_batches(W._encoded, pa.array([[0.1] * 100_000] * 40, pa.list_(pa.float32())), pa.array([16000] * 40))) < 5 << 20
+    assert max(arrow_batches(W._resampled_wav, long, pa.array([2] * 40))) < 6 << 20
+    wav = W.encode_wav(np.zeros(64), 2)
+    assert max(arrow_batches(W._resampled_file, pa.array([wav] * 40, pa.binary()))) < 6 << 20
+
+
 def test_resample_files_query_shuffles_no_wav(spark):
     rows = [(i, [0.1 * (i % 7)] * 64) for i in range(40)]
     with tempfile.TemporaryDirectory() as folder:

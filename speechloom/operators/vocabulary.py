@@ -22,7 +22,11 @@ WORDS_PER_TASK = 200_000
 FEW_WORDS = 5_000  # that are not worth a task of their own
 PENDING = 48  # merges per round
 PAIRS_HELD = 1 << 20  # pairs that a task sums up at a time
+WORDS_PER_PACK = 20_000
+MANY = 0.1  # merges per word of the text after which the packs are written anew
 _PAIRS = "left string, right string, n bigint"
+_PAIR_NUMBERS = "left int, right int, n bigint"
+_PACKS = "symbols binary, sizes binary, n binary"
 _POSTED = "seam bigint, symbols array<int>, n bigint"
 
 
@@ -144,6 +148,37 @@ def seam(last: str | np.ndarray, first: str | np.ndarray):
     return last * FIRST_PIECE + first
 
 
+class Rules:
+    """Merges in their order, none of them twice, to be looked up by their pairs all at once."""
+
+    def __init__(self, merges: list[tuple[int, int, int]]):
+        left, right, self.pieces = np.array(merges, np.int64).reshape(-1, 3).T
+        keys = left << 32 | right
+        self.rank = np.argsort(keys)
+        self.keys = keys[self.rank]
+        self.left, self.right = (np.bincount(x, minlength=1).astype(bool) for x in (left, right))
+
+    def places(self, symbols: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the merges' pairs in words, and the rank of each."""
+        most = max(len(self.left), len(self.right), int(symbols.max(initial=0)) + 1)
+        self.left, self.right = (x if len(x) == most else np.pad(x, (0, most - len(x))) for x in (self.left, self.right))
+        at = np.flatnonzero(self.left[symbols[:-1]] & self.right[symbols[1:]] & (owner[:-1] == owner[1:]))
+        keys = symbols[at] << 32 | symbols[at + 1]
+        found = np.searchsorted(self.keys, keys).clip(max=len(self.keys) - 1)
+        there = self.keys[found] == keys
+        return at[there], self.rank[found[there]]
+
+
+def rules(merges: list[tuple[int, int, int]]) -> list[Rules]:
+    """Merges cut where a pair comes once more, as it may after another way to one of its symbols."""
+    parts: list[dict[tuple[int, int], int]] = [{}]
+    for left, right, piece in merges:
+        if (left, right) in parts[-1]:
+            parts.append({})
+        parts[-1][left, right] = piece
+    return [Rules([(*pair, piece) for pair, piece in part.items()]) for part in parts if part]
+
+
 class Words:
     """The words of an Arrow batch as one row of symbols; ``owner`` has the word of each."""
 
@@ -154,17 +189,58 @@ class Words:
 
     def merge(self, merges: list[tuple[int, int, int]]) -> None:
         """Apply merges one after the other, each from left to right, to all words."""
-        for left, right, piece in merges:
-            s, o = self.symbols, self.owner
-            at = np.flatnonzero((s[:-1] == left) & (s[1:] == right) & (o[:-1] == o[1:]))
-            if left == right and len(at):
+        self.apply(rules(merges))
+
+    def apply(self, parts: list[Rules]) -> None:
+        """The same by rules: each word goes from one merge that it has to the next, all words at a time.
+
+        A word changes at the first merge after its last one whose pair it has, and stays as it is between them.
+        """
+        for part in parts:
+            where = np.flatnonzero(self.having(part)[self.owner])
+            if not len(where):
+                continue
+            s, o, place = self.symbols[where], self.owner[where], where
+            last, ended = np.full(self.owner[-1] + 1, -1), []
+            while True:
+                at, rank = part.places(s, o)
+                later = rank > last[o[at]]
+                at, rank = at[later], rank[later]
+                if not len(at):
+                    break
+                going = np.zeros(len(last), bool)
+                going[o[at]] = True
+                going = going[o]
+                if 2 * np.count_nonzero(going) < len(s):
+                    ended.append((place[~going], s[~going]))
+                    at = (np.cumsum(going) - 1)[at]
+                    s, o, place = s[going], o[going], place[going]
+                starts = np.flatnonzero(np.diff(o[at], prepend=-1))
+                first = np.repeat(np.minimum.reduceat(rank, starts), np.diff(starts, append=len(at)))
+                at, rank = at[rank == first], rank[rank == first]
                 # of a run of overlapping places every other one counts
                 starts = np.flatnonzero(np.diff(at, prepend=-2) != 1)
                 run = np.repeat(starts, np.diff(starts, append=len(at)))
-                at = at[(np.arange(len(at)) - run) % 2 == 0]
-            if len(at):
-                s[at] = piece
-                self.symbols, self.owner = np.delete(s, at + 1), np.delete(o, at + 1)
+                other = (np.arange(len(at)) - run) % 2 == 0
+                at, rank = at[other], rank[other]
+                s[at] = part.pieces[rank]
+                last[o[at]] = rank
+                kept = np.ones(len(s), bool)
+                kept[at + 1] = False
+                s, o, place = s[kept], o[kept], place[kept]
+            kept = np.ones(len(self.symbols), bool)
+            kept[where] = False
+            for place, s in [*ended, (place, s)]:
+                self.symbols[place] = s
+                kept[place] = True
+            self.symbols, self.owner = self.symbols[kept], self.owner[kept]
+
+    def having(self, *parts: Rules) -> np.ndarray:
+        """A mask of the words that have a pair of some merges."""
+        words = np.zeros(self.owner[-1] + 1 if len(self.owner) else 0, bool)
+        for part in parts:
+            words[self.owner[part.places(self.symbols, self.owner)[0]]] = True
+        return words
 
     def only(self, words: np.ndarray) -> "Words":
         """The words that a mask names, under their old numbers."""
@@ -191,25 +267,50 @@ class Words:
         return pa.ListArray.from_arrays(pa.array(offsets), pa.array(self.symbols[words[self.owner]].astype(np.int32)))
 
 
-def _summed(pairs: list[np.ndarray], counts: list[np.ndarray], symbols: Symbols) -> pa.RecordBatch:
-    """Pairs with their summed counts, by name, without those that come to nothing."""
+def _totals(pairs: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Different pairs, as (left, right) rows, with their summed counts, without those that come to nothing."""
     both = np.concatenate(pairs) if pairs else np.empty((0, 2), np.int64)
-    different, which = np.unique(both, axis=0, return_inverse=True)
-    total = np.zeros(len(different), np.int64)
-    np.add.at(total, which.reshape(-1), np.concatenate(counts) if counts else np.empty(0, np.int64))
-    kept = different[total != 0]
+    n = np.concatenate(counts) if counts else np.empty(0, np.int64)
+    there = np.zeros(int(both.max(initial=0)) + 1, bool)
+    there[both.reshape(-1)] = True
+    numbers = np.flatnonzero(there)
+    if len(numbers) ** 2 <= 8 * len(both):
+        place = np.cumsum(there) - 1
+        # sums of whole numbers stay exact in doubles below 2 ** 53
+        total = np.bincount(place[both[:, 0]] * len(numbers) + place[both[:, 1]], n, len(numbers) ** 2).astype(np.int64)
+        kept = np.flatnonzero(total)
+        return np.stack([numbers[kept // len(numbers)], numbers[kept % len(numbers)]], axis=1), total[kept]
+    keys = both[:, 0] << 32 | both[:, 1]
+    order = np.argsort(keys)
+    keys = keys[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    total = np.add.reduceat(n[order], starts) if len(starts) else np.empty(0, np.int64)
+    keys = keys[starts][total != 0]
+    return np.stack([keys >> 32, keys & 0xFFFFFFFF], axis=1), total[total != 0]
+
+
+def _summed(pairs: list[np.ndarray], counts: list[np.ndarray], symbols: Symbols) -> pa.RecordBatch:
+    """Pairs with their summed counts, by name."""
+    kept, total = _totals(pairs, counts)
     return pa.RecordBatch.from_arrays(
         [pa.array([symbols.name(x) for x in kept[:, i].tolist()], pa.string()) for i in (0, 1)]
-        + [pa.array(total[total != 0])], ["left", "right", "n"])
+        + [pa.array(total)], ["left", "right", "n"])
+
+
+def _numbered(pairs: list[np.ndarray], counts: list[np.ndarray]) -> pa.RecordBatch:
+    """Pairs with their summed counts, by number."""
+    kept, total = _totals(pairs, counts)
+    return pa.RecordBatch.from_arrays([pa.array(kept[:, i].astype(np.int32)) for i in (0, 1)] + [pa.array(total)], ["left", "right", "n"])
 
 
 def pair_counts(words: DataFrame, symbols: Symbols, merges: list[tuple[int, int, int]]) -> DataFrame:
     """``left, right, n`` over neighbouring symbols of all words after some merges."""
 
     def run(batches):
+        parts = rules(merges)
         for rows in batches:
             w = Words(rows.column("symbols"))
-            w.merge(merges)
+            w.apply(parts)
             pairs, n = w.pairs(rows.column("n").to_numpy())
             yield _summed([pairs], [n], symbols)
 
@@ -292,6 +393,94 @@ class Postings:
         discard(self.spark, older)
 
 
+def packed(found: list[tuple[Words, np.ndarray]]) -> pa.RecordBatch:
+    """Words of several symbols, with their counts, as one row; no merge can change the others."""
+    symbols, sizes, counts = [np.empty(0)], [np.empty(0)], [np.empty(0)]
+    for w, n in found:
+        size = np.bincount(w.owner, minlength=len(n))
+        symbols.append(w.symbols[(size > 1)[w.owner]])
+        sizes.append(size[size > 1])
+        counts.append(n[size > 1])
+    columns = ((symbols, np.int32), (sizes, np.int32), (counts, np.int64))
+    return pa.RecordBatch.from_arrays(
+        [pa.array([np.concatenate(x).astype(kind).tobytes()], pa.binary()) for x, kind in columns], ["symbols", "sizes", "n"])
+
+
+def unpacked(rows: pa.RecordBatch):
+    """The words of each row and their counts."""
+    for symbols, sizes, n in zip(*(rows.column(x) for x in ("symbols", "sizes", "n"))):
+        w = object.__new__(Words)
+        sizes = np.frombuffer(sizes.as_buffer(), np.int32)
+        w.symbols = np.frombuffer(symbols.as_buffer(), np.int32).astype(np.int64)
+        w.owner = np.repeat(np.arange(len(sizes)), sizes)
+        yield w, np.frombuffer(n.as_buffer(), np.int64)
+
+
+class Packs:
+    """All words, many to a row, so that a round goes over them in few steps and each is kept once.
+
+    Words are kept as they were when the table was written; a task brings them up to date with the merges
+    since. From time to time the table is written again, without words that have become one symbol.
+    """
+
+    def __init__(self, words: DataFrame, symbols: Symbols):
+        def run(batches):
+            held, many = [], 0
+            for rows in batches:
+                held.append((Words(rows.column("symbols")), rows.column("n").to_numpy()))
+                many += rows.num_rows
+                if many >= WORDS_PER_PACK:
+                    yield packed(held)
+                    held, many = [], 0
+            if held:
+                yield packed(held)
+
+        self.spark, self.path, self.symbols = words.sparkSession, fresh_dir(words.sparkSession, "packs"), symbols
+        self.since: list[tuple[str, str]] = []
+        self.table = written_at(words.select("symbols", "n").mapInArrow(run, _PACKS), self.path)
+
+    def changes(self, batch: list[tuple[str, str]]) -> list[tuple[str, str, int]]:
+        """What the merges of a batch add to the count of each pair; bounded by batch and vocabulary."""
+        merged, merging, name = self.symbols.merges(self.since), self.symbols.merges(batch), self.symbols.name
+
+        def run(batches):
+            since, now = rules(merged), rules(merging)
+            pairs, counts = [], []
+            for rows in batches:
+                for w, n in unpacked(rows):
+                    w.apply(since)
+                    w = w.only(w.having(*now))
+                    before, times = w.pairs(n)
+                    w.apply(now)
+                    after, times_after = w.pairs(n)
+                    pairs += [before, after]
+                    counts += [-times, times_after]
+                    if sum(map(len, counts)) > PAIRS_HELD:
+                        yield _numbered(pairs, counts)
+                        pairs, counts = [], []
+            yield _numbered(pairs, counts)
+
+        told = self.table.mapInArrow(run, _PAIR_NUMBERS).groupBy("left", "right").agg(F.sum("n").alias("n")).where("n != 0")
+        self.since = self.since + batch
+        return [(name(left), name(right), n) for left, right, n in zip(*(x.to_pylist() for x in told.toArrow().columns))]
+
+    def compact(self) -> None:
+        """Bring the words up to date and leave out those that no merge can change any more."""
+        merged = self.symbols.merges(self.since)
+
+        def run(batches):
+            since = rules(merged)
+            for rows in batches:
+                for w, n in unpacked(rows):
+                    w.apply(since)
+                    yield packed([(w, n)])
+
+        older, self.path = self.path, fresh_dir(self.spark, "packs")
+        self.table = written_at(self.table.mapInArrow(run, _PACKS), self.path)
+        self.since = []
+        discard(self.spark, older)
+
+
 class Pairs:
     """The most frequent pairs with their counts, on the driver: at most ``CANDIDATES`` and those made since.
 
@@ -308,7 +497,8 @@ class Pairs:
     def top(self, n: int) -> tuple[list[tuple[int, str, str]], bool]:
         """The first of the pairs that are certain, and whether there are no others at all."""
         sure = [(count, *pair) for pair, count in self.counts.items() if count > self.floor]
-        leading = heapq.nsmallest(n, sure, key=lambda x: (-x[0], x[1], x[2]))
+        least = heapq.nlargest(n, (count for count, _, _ in sure))[-1:]
+        leading = sorted((x for x in sure if x[0] >= least[0]), key=lambda x: (-x[0], x[1], x[2]))[:n]
         return leading, len(sure) <= n and not self.floor
 
     def change(self, changes: list[tuple[str, str, int]], made: set[str]) -> None:
@@ -326,32 +516,32 @@ def train_bpe(
     frequencies: DataFrame,
     merges: int,
     coverage: float = 0.9999,
-    table_every: int = 24,
+    table_every: int = 8,
 ) -> list[tuple[int, str, str, str, int]]:
     """Learn byte-pair merges from a word-frequency table until there are ``merges`` pieces.
 
     Returns rank, left, right, piece and count per merge; ties go to the smaller left, then right.
     Pairs are counted over all distinct words once, and the most frequent ones come to the driver. Each
-    round takes every merge that is certain to come next, reads the postings of their seams alone, and
-    gets back what they change. The postings are written anew every ``table_every`` rounds. Pairs are
-    counted over all words again only where the listed ones no longer tell. ``frequencies`` is read
-    several times, so it should be a stored table.
+    round takes every merge that is certain to come next, goes over the packed words and gets back what
+    they change. The packs are written anew every ``table_every`` rounds, or sooner where merges since
+    then have taken place in many words. Pairs are counted over all words again only where the listed
+    ones no longer tell. ``frequencies`` is read several times, so it should be a stored table.
     """
     spark = frequencies.sparkSession
     # words are short but cost many pairs each, so partitions are sized by words, not by bytes
-    n_words = frequencies.count()
+    n_words, occurrences = frequencies.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     slices = max(-(-n_words // WORDS_PER_TASK), min(spark.sparkContext.defaultParallelism, -(-n_words // FEW_WORDS)), 1)
     chars = _covered(char_frequencies(frequencies), coverage)
     uncovered = [r[0] for r in chars.where("NOT covered").select("char").collect()]
     table, symbols = fresh_dir(spark, "bpe"), Symbols()
     words = written_at(numbered_words(frequencies, uncovered).repartition(slices), table)
-    postings = Postings(words, slices, symbols)
+    packs = Packs(words, symbols)
     learned: list[tuple[int, str, str, str, int]] = []
 
     def counted() -> Pairs:
         return Pairs(pair_counts(words, symbols, symbols.merges([(left, right) for _, left, right, _, _ in learned])))
 
-    pairs, fresh, known, rounds = counted(), True, set(), 0
+    pairs, fresh, known, rounds, since = counted(), True, set(), 0, 0
     while len(known) < merges:
         top, complete = pairs.top(LEADING)
         if not top and pairs.floor and not fresh:
@@ -367,15 +557,17 @@ def train_bpe(
         again = {left + right for _, left, right in batch} & {piece for *_, piece, _ in learned}
         for count, left, right in batch:
             learned.append((len(learned), left, right, left + right, count))
-        pairs.change(postings.changes([(left, right) for _, left, right in batch]), {x + y for _, x, y in batch} - again)
+        pairs.change(packs.changes([(left, right) for _, left, right in batch]), {x + y for _, x, y in batch} - again)
         fresh, pairs.first = False, []
         if again and pairs.floor:
             pairs, fresh = counted(), True
         rounds += 1
-        if rounds % table_every == 0:
-            postings.compact()
+        since += sum(count for count, _, _ in batch)
+        if rounds == table_every or since > MANY * occurrences:
+            packs.compact()
+            rounds, since = 0, 0
     discard(spark, table)
-    discard(spark, postings.path)
+    discard(spark, packs.path)
     return learned
 
 

@@ -192,3 +192,41 @@ def test_merges_in_words_at_once():
             plain = merge_word(plain, left, right)
         assert [symbols.name(x) for x in w.symbols[w.owner == i].tolist()] == plain
     assert w.lists(np.ones(200, bool)).to_pylist()[7] == w.symbols[w.owner == 7].tolist()
+
+
+def test_training_stores_every_word_once(spark, monkeypatch):
+    """No table of the training holds more symbols than the words do, and words that are one symbol go."""
+    words = random_words(9, "abcdef", 200)
+    stored = []
+
+    def written_at(df, path, write=V.written_at):
+        table = write(df, path)
+        column = table.schema["symbols"].dataType.simpleString()
+        stored.append(table.select(F.sum(F.length("symbols") / 4 if column == "binary" else F.size("symbols"))).first()[0] or 0)
+        return table
+
+    monkeypatch.setattr(V, "written_at", written_at)
+    got = V.train_bpe(frequencies(spark, words), 12, coverage=1.0, table_every=2)
+    assert [(l, r, n) for _, l, r, _, n in got] == one_at_a_time(words, 12, set("".join(words)))
+    assert max(stored) <= sum(map(len, words)) and stored[-1] < stored[0]
+
+
+def test_merges_whose_pair_comes_twice():
+    """A word goes through merges in their order, also where a pair is merged again later."""
+    import numpy as np
+    import pyarrow as pa
+
+    symbols, merges = V.Symbols(), [("a", "b"), ("ab", "c"), ("b", "c"), ("a", "bc"), ("x", "abc"), ("ab", "c"), ("a", "b"), ("ab", "c")]
+    texts = ["abc", "xabc", "aabcabc", "bc", "abab", "x"]
+    w = V.Words(pa.array([[ord(c) for c in t] for t in texts], pa.list_(pa.int32())))
+    w.merge(symbols.merges(merges))
+    for i, text in enumerate(texts):
+        plain = list(text)
+        for left, right in merges:
+            plain = merge_word(plain, left, right)
+        assert [symbols.name(x) for x in w.symbols[w.owner == i].tolist()] == plain
+    found = V.packed([(w, np.arange(1, 7))])
+    (kept, n), = V.unpacked(found)
+    sizes = np.bincount(w.owner, minlength=6)
+    assert n.tolist() == [i + 1 for i in range(6) if sizes[i] > 1]
+    assert np.bincount(kept.owner).tolist() == sizes[sizes > 1].tolist()

@@ -230,3 +230,13 @@ def test_merges_whose_pair_comes_twice():
     sizes = np.bincount(w.owner, minlength=6)
     assert n.tolist() == [i + 1 for i in range(6) if sizes[i] > 1]
     assert np.bincount(kept.owner).tolist() == sizes[sizes > 1].tolist()
+
+
+def test_registered_training_reads_the_rows_of_its_time(spark, monkeypatch):
+    """A second call in one application, over other rows of the same folder, gives their pieces."""
+    found = []
+    for text in ("low low lower", "new new newer"):
+        df = spark.createDataFrame([(text,)], "text string")
+        monkeypatch.setattr("checks.queries.S.transcripts", lambda spark, sf_dir, df=df: df)
+        found.append({r["piece"] for r in entry.queries()["tokenizer_vocabulary"](spark, "twice").collect()})
+    assert "▁low" in found[0] and "▁new" in found[1] and "▁low" not in found[1]
